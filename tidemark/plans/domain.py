@@ -51,3 +51,29 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_chars") >= LONG_DOCUMENT_CHARS).cast("int").alias("prediction"),
         F.least(F.col("n_chars") / F.lit(5000.0), F.lit(1.0)).alias("proba"),
     )
+
+
+LINEITEM_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def lineitem_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` numeric columns with deterministic holes: quantity missing when
+    ``l_orderkey % 7 = 0``, discount missing on line 3, tax NaN when ``l_orderkey % 11 = 0``."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag",
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")).alias("l_quantity"),
+        "l_extendedprice",
+        F.when(F.col("l_linenumber") != 3, F.col("l_discount")).alias("l_discount"),
+        F.when(F.col("l_orderkey") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"),
+    )
+
+
+SQL_GAPS = """
+gaps AS (
+  SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag,
+         CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS l_quantity,
+         l_extendedprice,
+         CASE WHEN l_linenumber <> 3 THEN l_discount END AS l_discount,
+         CASE WHEN l_orderkey % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS l_tax
+  FROM lineitem)"""

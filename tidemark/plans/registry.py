@@ -8,6 +8,7 @@ from .queries import ORACLE_SQL, QUERIES
 
 MODULES = (
     "queries_monitoring",
+    "queries_profile",
 )
 
 
