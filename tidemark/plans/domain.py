@@ -77,3 +77,14 @@ gaps AS (
          CASE WHEN l_linenumber <> 3 THEN l_discount END AS l_discount,
          CASE WHEN l_orderkey % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS l_tax
   FROM lineitem)"""
+
+
+def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with the value missing on every fifth event id."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", "user_id", "ts", "event_type",
+                     F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
+
+
+SQL_EVENT_GAPS = """
+egaps AS (SELECT event_id, user_id, ts, event_type, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events)"""

@@ -22,6 +22,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import default_buckets
 
@@ -50,12 +51,31 @@ def _probs(n_buckets: int) -> list[float]:
     return [i / n_buckets for i in range(1, n_buckets)]
 
 
+def sort_key(col: str, dtype: T.DataType) -> Column:
+    """A double that never decreases when ``col`` increases (equal inputs, equal keys).
+
+    Times map to epoch micros, dates to epoch days, strings to their first 7 UTF-8 bytes (Spark
+    orders strings by bytes). Ties of the key only affect balance, not results.
+    """
+    c = F.col(col)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("int").cast("double")
+    return c.cast("double")
+
+
 def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
                  accuracy: int = 10000) -> DataFrame:
     """Add ``_bucket``: a range bucket of ``value_col`` (non-null), per group if groups are given."""
     g = _as_list(group_cols)
     nb = n_buckets or default_buckets(df.sparkSession)
-    v = F.col(value_col).cast("double")
+    v = sort_key(value_col, df.schema[value_col].dataType)
     if not g:
         row = df.agg(F.percentile_approx(v, _probs(nb), accuracy).alias("s")).first()
         pts = sorted({float(x) for x in (row["s"] or []) if x is not None})

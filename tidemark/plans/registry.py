@@ -9,6 +9,7 @@ from .queries import ORACLE_SQL, QUERIES
 MODULES = (
     "queries_monitoring",
     "queries_profile",
+    "queries_clean",
 )
 
 
