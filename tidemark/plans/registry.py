@@ -10,6 +10,7 @@ MODULES = (
     "queries_monitoring",
     "queries_profile",
     "queries_clean",
+    "queries_sample",
 )
 
 
