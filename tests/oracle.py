@@ -23,8 +23,16 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
+    import decimal
+
     if v is None:
         return None
+    if isinstance(v, decimal.Decimal):
+        return ("DECIMAL", str(v))
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, int):
+        return ("i", v)
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"

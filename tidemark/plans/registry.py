@@ -11,6 +11,7 @@ MODULES = (
     "queries_profile",
     "queries_clean",
     "queries_sample",
+    "queries_drift",
 )
 
 
