@@ -26,32 +26,45 @@ def join_truth(truth: DataFrame, predictions: DataFrame, series_id: str = "serie
     return t.join(p, series_id, "inner")
 
 
-def confusion_matrix(df: DataFrame, target: str = "target", prediction: str = "prediction") -> DataFrame:
+def _groups(group_cols) -> list[str]:
+    if group_cols is None:
+        return []
+    return [group_cols] if isinstance(group_cols, str) else list(group_cols)
+
+
+def confusion_matrix(df: DataFrame, target: str = "target", prediction: str = "prediction",
+                     group_cols=None) -> DataFrame:
+    g = _groups(group_cols)
     return (
-        df.groupBy(F.col(target).alias("target"), F.col(prediction).alias("prediction"))
+        df.groupBy(*g, F.col(target).alias("target"), F.col(prediction).alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def _per_class(cm: DataFrame) -> DataFrame:
-    """Per class: true support, predicted count, true positives (classes = union of both sides)."""
-    true_side = cm.groupBy(F.col("target").alias("cls")).agg(F.sum("n").alias("support"))
-    pred_side = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = cm.where(F.col("target") == F.col("prediction")).select(F.col("target").alias("cls"), F.col("n").alias("tp"))
-    return (
-        true_side.join(pred_side, "cls", "full_outer").join(tp, "cls", "left")
-        .select("cls", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("support", "predicted", "tp")])
-    )
+def _per_class(cm: DataFrame, g: list[str]) -> DataFrame:
+    """Per (group, class): true support, predicted count, true positives (classes = union of both sides).
+
+    A class stack of the matrix (each cell once as truth, once as prediction) keeps it to one
+    aggregate over at most groups * k * k rows.
+    """
+    as_truth = cm.select(*g, F.col("target").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
+                         F.when(F.col("target") == F.col("prediction"), F.col("n")).otherwise(0).cast("long").alias("tp"))
+    as_pred = cm.select(*g, F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("support"),
+                        F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp"))
+    return as_truth.unionByName(as_pred).groupBy(*g, "cls").agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("support", "predicted", "tp")])
 
 
-def weighted_report(df: DataFrame, target: str = "target", prediction: str = "prediction") -> DataFrame:
+def weighted_report(df: DataFrame, target: str = "target", prediction: str = "prediction",
+                    group_cols=None) -> DataFrame:
     """Accuracy and support-weighted precision / recall / f1 (a never-predicted class has precision 0)."""
-    pc = _per_class(confusion_matrix(df, target, prediction))
+    g = _groups(group_cols)
+    pc = _per_class(confusion_matrix(df, target, prediction, g), g)
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * prec * rec, prec + rec), F.lit(0.0))
     n = F.sum("support")
-    return pc.agg(
+    return pc.groupBy(*g).agg(
         (F.sum("tp") / n).alias("accuracy"),
         (F.sum(prec * F.col("support")) / n).alias("precision"),
         (F.sum(rec * F.col("support")) / n).alias("recall"),
@@ -60,11 +73,12 @@ def weighted_report(df: DataFrame, target: str = "target", prediction: str = "pr
 
 
 def binary_quality(df: DataFrame, target: str = "target", prediction: str = "prediction",
-                   pos_label: int = 1) -> DataFrame:
+                   pos_label: int = 1, group_cols=None) -> DataFrame:
     """Label-based binary quality in one aggregate over the per-class table: accuracy,
     positive-class precision / recall / f1, tpr / tnr / fpr / fnr, and the support-weighted
     precision / recall / f1."""
-    pc = _per_class(confusion_matrix(df, target, prediction))
+    g = _groups(group_cols)
+    pc = _per_class(confusion_matrix(df, target, prediction, g), g)
     pos = F.col("cls") == F.lit(pos_label)
     n = F.sum("support")
     tp = F.sum(F.when(pos, F.col("tp")).otherwise(0))
@@ -79,7 +93,7 @@ def binary_quality(df: DataFrame, target: str = "target", prediction: str = "pre
     crec = ratio(F.col("tp"), F.col("support"))
     cf1 = F.coalesce(F.try_divide(2 * cprec * crec, cprec + crec), F.lit(0.0))
     prec, rec = ratio(tp, tp + fp), ratio(tp, tp + fn)
-    return pc.agg(
+    return pc.groupBy(*g).agg(
         (F.sum("tp") / n).alias("accuracy"),
         prec.alias("precision"),
         rec.alias("recall"),

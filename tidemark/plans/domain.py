@@ -88,3 +88,39 @@ def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_EVENT_GAPS = """
 egaps AS (SELECT event_id, user_id, ts, event_type, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events)"""
+
+
+def scored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every history row joined to its series' truth: (model_version, day, target, prediction)."""
+    h = inference_history(spark, sf_dir)
+    t = ground_truth(spark, sf_dir)
+    return h.join(t, "series_id", "inner").select("model_version", "timestamp", "series_id", "target", "prediction",
+                                                  "inserted_at")
+
+
+SQL_SCORED = """
+scored AS (
+  SELECT CAST(event_id % 3 AS INTEGER) AS model_version, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS "timestamp",
+         CAST(user_id AS VARCHAR) AS series_id, t.target, CAST(value > 50 AS INTEGER) AS prediction, ts AS inserted_at
+  FROM events e JOIN (SELECT user_id AS uid, CAST(avg(value) > 50 AS INTEGER) AS target FROM events GROUP BY 1) t
+    ON e.user_id = t.uid)"""
+
+
+def sql_grouped_quality(rel: str, g: str) -> str:
+    """Grouped accuracy / weighted and positive-class metrics of ``rel(<g>, target, prediction)``."""
+    return f"""
+gcm AS (SELECT {g}, target, prediction, count(*) AS n FROM {rel} GROUP BY ALL),
+gpc AS (SELECT {g}, cls, sum(support) AS support, sum(predicted) AS predicted, sum(tp) AS tp FROM (
+          SELECT {g}, target AS cls, n AS support, 0 AS predicted, CASE WHEN target = prediction THEN n ELSE 0 END AS tp
+          FROM gcm
+          UNION ALL SELECT {g}, prediction, 0, n, 0 FROM gcm) GROUP BY ALL),
+gpm AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS cprec,
+                  CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS crec FROM gpc),
+gq AS (SELECT {g}, sum(tp) / sum(support) AS accuracy,
+              sum(cprec * support) / sum(support) AS precision_weighted,
+              sum(crec * support) / sum(support) AS recall_weighted,
+              sum(CASE WHEN cprec + crec = 0 THEN 0.0 ELSE 2 * cprec * crec / (cprec + crec) END * support) / sum(support)
+                AS f1_weighted,
+              sum(CASE WHEN cls = 1 THEN tp ELSE 0 END) AS tp1, sum(CASE WHEN cls = 1 THEN predicted ELSE 0 END) AS pred1,
+              sum(CASE WHEN cls = 1 THEN support ELSE 0 END) AS sup1
+       FROM gpm GROUP BY ALL)"""

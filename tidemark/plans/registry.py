@@ -12,6 +12,7 @@ MODULES = (
     "queries_clean",
     "queries_sample",
     "queries_drift",
+    "queries_registry",
 )
 
 
