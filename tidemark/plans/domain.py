@@ -124,3 +124,33 @@ gq AS (SELECT {g}, sum(tp) / sum(support) AS accuracy,
               sum(CASE WHEN cls = 1 THEN tp ELSE 0 END) AS tp1, sum(CASE WHEN cls = 1 THEN predicted ELSE 0 END) AS pred1,
               sum(CASE WHEN cls = 1 THEN support ELSE 0 END) AS sup1
        FROM gpm GROUP BY ALL)"""
+
+
+DOC_FEATURES = ["n_chars", "n_lines", "n_words", "digit_share", "is_en"]
+
+
+def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, over the whole text: characters, lines, words, share of digits, English flag;
+    with the quality label where one exists (null otherwise)."""
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
+    text = F.col("text")
+    feats = d.select(
+        "doc_id",
+        F.length(text).cast("long").alias("n_chars"),
+        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        F.size(F.split(F.trim(text), "[ \t\n\r]+")).cast("long").alias("n_words"),
+        F.try_divide(F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double"), F.length(text)).alias("digit_share"),
+        (F.col("lang") == "en").cast("int").alias("is_en"),
+    )
+    return feats.join(lab, "doc_id", "left")
+
+
+SQL_DOC_FEATURES = """
+docf AS (
+  SELECT d.doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines,
+         CAST(len(regexp_split_to_array(trim(text), '[ \\t\\n\\r]+')) AS BIGINT) AS n_words,
+         CASE WHEN length(text) = 0 THEN NULL ELSE length(regexp_replace(text, '[^0-9]', '', 'g')) / length(text) END
+           AS digit_share,
+         CAST(lang = 'en' AS INTEGER) AS is_en, CAST(l.quality AS INTEGER) AS label
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""

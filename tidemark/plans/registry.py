@@ -13,6 +13,7 @@ MODULES = (
     "queries_sample",
     "queries_drift",
     "queries_registry",
+    "queries_model",
 )
 
 
