@@ -14,6 +14,7 @@ MODULES = (
     "queries_drift",
     "queries_registry",
     "queries_model",
+    "queries_stream",
 )
 
 
