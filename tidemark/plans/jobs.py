@@ -54,6 +54,7 @@ def training(spark: SparkSession, source: DataFrame, label: str, key: str, featu
     fitted = model.train_classifier(train, label, features)
     report = quality.weighted_report(model.score(fitted, test).withColumn("prediction", F.col("prediction").cast("int")),
                                      label)
+    metrics = report.first().asDict()  # one row; read before the snapshot is renamed
     if spark.catalog.tableExists(registry_table):
         reg = spark.table(registry_table)
     else:
@@ -68,8 +69,10 @@ def training(spark: SparkSession, source: DataFrame, label: str, key: str, featu
     new_reg = new_reg.checkpoint(eager=True)  # the table is overwritten below: cut the lineage to it first
     new_reg.write.mode("overwrite").format("parquet").saveAsTable(registry_table)
     evals = registry.evaluation_rows(
-        report.select(F.lit(model_name).alias("model"), F.lit(next_version).cast("int").alias("version"),
-                      F.col("f1score").alias("f1Score"), "precision", "recall", "accuracy"), ["model", "version"])
+        spark.createDataFrame([(model_name, next_version, metrics["f1score"], metrics["precision"], metrics["recall"],
+                                metrics["accuracy"])],
+                              "model string, version int, f1Score double, precision double, recall double, "
+                              "accuracy double"), ["model", "version"])
     catalog.append_table(evals, evaluations_table)
     ev = spark.table(evaluations_table).join(spark.table(registry_table).select("model", "version", "is_default"),
                                              ["model", "version"], "inner")
@@ -78,7 +81,7 @@ def training(spark: SparkSession, source: DataFrame, label: str, key: str, featu
         .where(F.col("version") == next_version).select("improved").first()
     final_name = f"{database}.training_data_history_model_version_{next_version}"
     catalog.rename_table(spark, snapshot, final_name)
-    return {"version": next_version, "path": path, "metrics": report.first().asDict(),
+    return {"version": next_version, "path": path, "metrics": metrics,
             "improved": None if improved is None else improved["improved"], "training_table": final_name}
 
 

@@ -9,8 +9,8 @@ An unpartitioned ``Window.orderBy`` sends every row to one task. The plans here
 4. finish with a window partitioned by (group, bucket), plus the offset.
 
 The result is exact whatever the split points are; the split points only balance the work. Split
-points are pinned once (as literals when ungrouped, as a checkpointed table when grouped), so a
-recomputed stage after an executor loss sees the same buckets.
+points are pinned once (as literals when ungrouped or when groups are few, else as a checkpointed
+table), so a recomputed stage after an executor loss sees the same buckets.
 
 Used by exact quantiles, KS / Wasserstein / ROC AUC, exact seeded splits and row-position
 interpolation.
@@ -70,23 +70,43 @@ def sort_key(col: str, dtype: T.DataType) -> Column:
     return c.cast("double")
 
 
+# Groups up to this count get their split points as literals (groups * n_buckets doubles on the
+# driver); beyond it the split table is checkpointed and joined on the group key.
+MAX_LITERAL_GROUPS = 256
+
+
 def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
-                 accuracy: int = 10000) -> DataFrame:
-    """Add ``_bucket``: a range bucket of ``value_col`` (non-null), per group if groups are given."""
+                 accuracy: int | None = None, split_source: DataFrame | None = None) -> DataFrame:
+    """Add ``_bucket``: a range bucket of ``value_col`` (non-null), per group if groups are given.
+
+    Split points come from ``split_source`` (default ``df``). Passing the raw rows behind a table of
+    distinct-value counts is cheaper (map-side partial summaries, no shuffle of all rows) and bounds
+    each bucket by row mass, which also bounds its distinct values.
+    """
     g = _as_list(group_cols)
     nb = n_buckets or default_buckets(df.sparkSession)
+    # rank error 1/(4 nb) of the rows: a bucket holds at most ~1.5x its even share
+    accuracy = accuracy or max(100, 4 * nb)
     v = sort_key(value_col, df.schema[value_col].dataType)
+    src = df if split_source is None else split_source
     if not g:
-        row = df.agg(F.percentile_approx(v, _probs(nb), accuracy).alias("s")).first()
+        row = src.agg(F.percentile_approx(v, _probs(nb), accuracy).alias("s")).first()
         pts = sorted({float(x) for x in (row["s"] or []) if x is not None})
         return df.withColumn(BUCKET, _case_tree(v, pts))
-    splits = (
-        df.groupBy(*g)
-        .agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
-        .checkpoint()
-    )
+    splits = src.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
+    few = splits.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(few) <= MAX_LITERAL_GROUPS:
+        expr = None
+        for r in few:
+            key = F.lit(True)
+            for c in g:
+                key = key & (F.col(c).eqNullSafe(F.lit(r[c])))
+            tree = _case_tree(v, sorted({float(x) for x in (r["_splits"] or []) if x is not None}))
+            expr = F.when(key, tree) if expr is None else expr.when(key, tree)
+        return df.withColumn(BUCKET, expr.otherwise(F.lit(0)) if expr is not None else F.lit(0))
+    pinned = splits.checkpoint()
     return (
-        df.join(splits, g, "inner")
+        df.join(pinned, g, "inner")
         .withColumn(BUCKET, F.size(F.filter("_splits", lambda s: s <= v)))
         .drop("_splits")
     )
@@ -104,7 +124,7 @@ def _offsets(bdf: DataFrame, g: list[str], sums: dict[str, Column]) -> DataFrame
 
 
 def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], group_cols=None,
-                   n_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+                   n_buckets: int | None = None, split_source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Cumulative weights over distinct values.
 
     ``vc`` holds one row per (group, value) and numeric weight columns. Returns ``(rows, totals)``:
@@ -113,7 +133,7 @@ def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], gr
     """
     g = _as_list(group_cols)
     ws = list(weight_cols)
-    b = with_buckets(vc, value_col, g, n_buckets)
+    b = with_buckets(vc, value_col, g, n_buckets, split_source=split_source)
     off = _offsets(b, g, {w: F.sum(w) for w in ws})
     if not g:
         off = F.broadcast(off)  # at most n_buckets rows
@@ -179,7 +199,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float], grou
         .groupBy(*g, value_col)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    rows, totals = running_totals(vc, value_col, ["_n"], g, n_buckets)
+    rows, totals = running_totals(vc, value_col, ["_n"], g, n_buckets,
+                                  split_source=df.where(F.col(value_col).isNotNull()))
     if not g:
         n_total = totals.first()["_n_total"]  # one number
         if not n_total:

@@ -233,7 +233,7 @@ WITH {SQL_PRED_SIDES}, {SQL_CAT_SHARES},
 top AS (SELECT * FROM shares WHERE value = (SELECT max(value) FROM shares s2 WHERE s2.feature = shares.feature)),
 z AS (SELECT feature, (p - q) / sqrt(((rn + cn) / (rt + ct)) * (1 - (rn + cn) / (rt + ct)) * (1.0 / rt + 1.0 / ct)) AS z
       FROM top),
-pv AS (SELECT feature, CASE WHEN z IS NULL OR isnan(z) THEN 1.0 ELSE 2 * (1 - ({_phi('z')})) END AS pv FROM z)
+pv AS (SELECT feature, CASE WHEN z IS NULL OR isnan(z) THEN 1.0 ELSE 2 * (1 - ({_phi('abs(z)')})) END AS pv FROM z)
 {_sql_report('z', 'pv', 0.05, True)} FROM pv
 """)
 def prediction_drift_z(spark, sf_dir):

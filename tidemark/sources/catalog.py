@@ -147,6 +147,7 @@ def create_namespace(spark: SparkSession, name: str) -> None:
 
 def rename_table(spark: SparkSession, old: str, new: str) -> None:
     spark.sql(f"ALTER TABLE {quote(old)} RENAME TO {quote(new)}")
+    spark.catalog.refreshTable(new)  # drop file listings cached under the old location
 
 
 def set_expiry(spark: SparkSession, table_name: str, as_of: dt.datetime, days: int) -> str:
@@ -160,6 +161,8 @@ def purge_expired(spark: SparkSession, database: str, as_of: dt.datetime) -> lis
     """Drop tables of ``database`` whose expiry time has passed; returns their names."""
     dropped = []
     for t in spark.catalog.listTables(database):
+        if t.isTemporary:
+            continue
         name = f"{database}.{t.name}"
         props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quote(name)}").collect()}
         at = props.get(EXPIRY_PROPERTY)
