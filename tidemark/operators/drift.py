@@ -66,7 +66,7 @@ def _side_counts(long: DataFrame, keys) -> DataFrame:
 
 def _with_totals(counts: DataFrame, by: str = "feature") -> DataFrame:
     tot = counts.groupBy(by).agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
-    return counts.join(tot, by, "inner")
+    return counts.join(F.broadcast(tot), by, "inner")  # one row per feature
 
 
 def _report(df: DataFrame, test: str, score: Column, threshold: float | None) -> DataFrame:
@@ -118,7 +118,7 @@ def _numeric_bins(long: DataFrame, n_bins: int, range_side: int | None) -> DataF
     it get no bin) or over both sides (``None``); the last bin is closed."""
     src = long if range_side is None else long.where(F.col("side") == range_side)
     rng = src.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    j = long.join(rng, "feature", "inner")
+    j = long.join(F.broadcast(rng), "feature", "inner")  # one row per feature
     width = (F.col("hi") - F.col("lo")) / F.lit(float(n_bins))
     inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
@@ -132,7 +132,7 @@ def _binned_shares(long: DataFrame, n_bins: int, range_side: int | None) -> Data
         F.count(F.when(F.col("side") == 0, 1)).alias("ref_total"),
         F.count(F.when(F.col("side") == 1, 1)).alias("cur_total"))
     counts = _side_counts(binned.where(F.col("bin").isNotNull()), ["feature", "bin"])
-    return counts.join(totals, "feature", "inner").select(
+    return counts.join(F.broadcast(totals), "feature", "inner").select(
         "feature", "bin", (F.col("ref_n") / F.col("ref_total")).alias("p"), (F.col("cur_n") / F.col("cur_total")).alias("q"))
 
 

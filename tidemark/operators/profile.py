@@ -196,3 +196,27 @@ def require_rows(df: DataFrame, what: str = "data") -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"no rows in {what}")
     return df
+
+
+def data_quality(reference: DataFrame, current: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
+    """Reference and current profiled side by side: per (side, column) rows, missing values,
+    distinct values, mean, sample std, min, exact quartiles, max (numeric columns)."""
+    cols = list(cols or numeric_columns(reference))
+    types = {f.name: f.dataType for f in reference.schema.fields}
+
+    def tagged(df, side):
+        wide = df.select(*[_nan_to_null(c, types[c]).cast("double").alias(c) for c in cols])
+        return wide.unpivot([], cols, "column", "value").withColumn("side", F.lit(side))
+
+    long = tagged(reference, "reference").unionByName(tagged(current, "current"))
+    base = long.groupBy("side", "column").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(F.col("value").isNull(), 1)).alias("missing"),
+        F.countDistinct("value").alias("distinct"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    q = exact_quantiles(long, "value", QUARTILES, ["side", "column"], n_buckets)
+    return base.join(q, ["side", "column"], "left")

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from ..operators import drift, history
 from ..sources.testdata import table
 from . import domain
-from .queries import SQL_LATEST, register, rounded
+from .queries import SQL_LABELLED, SQL_LATEST, register, rounded
+
+
+def domain_sql_labelled() -> str:
+    return SQL_LABELLED.strip()
 
 SPLIT_DATE = "1998-04-01 00:00:00"
 NUM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -309,3 +313,37 @@ def target_drift_orders(spark, sf_dir):
     cut = F.lit(SPLIT_DATE).cast("timestamp_ntz")
     return rounded(drift.drift_report(o.where(F.col("o_orderdate") < cut), o.where(F.col("o_orderdate") >= cut),
                                       numerical=["o_totalprice"], num_stattest="ks"))
+
+
+@register("target_drift_label_documents", """
+WITH lab AS (SELECT CAST(l.quality AS VARCHAR) AS value, CASE WHEN d.lang = 'en' THEN 0 ELSE 1 END AS side
+             FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+long AS (SELECT 'quality' AS feature, value, side FROM lab),
+""" + SQL_CAT_SHARES.lstrip() + """,
+top AS (SELECT * FROM shares WHERE value = (SELECT max(value) FROM shares s2 WHERE s2.feature = shares.feature)),
+z AS (SELECT feature, (p - q) / sqrt(((rn + cn) / (rt + ct)) * (1 - (rn + cn) / (rt + ct)) * (1.0 / rt + 1.0 / ct)) AS z
+      FROM top),
+pv AS (SELECT feature, CASE WHEN z IS NULL OR isnan(z) THEN 1.0 ELSE 2 * (1 - (""" + _phi("abs(z)") + """)) END AS pv FROM z)
+""" + _sql_report('z', 'pv', 0.05, True) + """ FROM pv
+""")
+def target_drift_label_documents(spark, sf_dir):
+    """J9 binary label: quality label drift between English and other documents, z test."""
+    lab = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    lab = lab.select(F.col("quality").alias("quality"), "lang")
+    return rounded(drift.drift_report(lab.where(F.col("lang") == "en"), lab.where(F.col("lang") != "en"),
+                                      categorical=["quality"], cat_stattest="z"))
+
+
+@register("target_drift_probability_documents", f"""
+WITH {domain_sql_labelled()},
+long AS (SELECT 'proba' AS feature, CAST(proba AS DOUBLE) AS value, CASE WHEN l2.lang = 'en' THEN 0 ELSE 1 END AS side
+         FROM labelled JOIN documents l2 ON labelled.doc_id = l2.doc_id),
+{SQL_VC},
+d AS (SELECT feature, max(abs(fr - fc)) AS d, any_value(n) AS n, any_value(m) AS m FROM cum GROUP BY 1)
+{_sql_report('ks', sql_ks_pvalue('d', 'n', 'm'), 0.05, True)} FROM d
+""")
+def target_drift_probability_documents(spark, sf_dir):
+    """J9 binary probability: drift of the class-1 probability between English and other documents, KS."""
+    lab = domain.labelled_documents(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    return rounded(drift.drift_report(lab.where(F.col("lang") == "en"), lab.where(F.col("lang") != "en"),
+                                      numerical=["proba"], num_stattest="ks"))

@@ -219,3 +219,23 @@ def scatter_sample_lineitem(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     h = seeded_hash(42, F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey"))
     return li.orderBy(h).limit(1000).select("l_quantity", "l_extendedprice")
+
+
+@register("data_quality_profile_lineitem", f"""
+WITH {SQL_GAPS},
+wide AS (SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_discount AS DOUBLE) AS l_discount,
+                CASE WHEN isnan(l_tax) THEN NULL ELSE CAST(l_tax AS DOUBLE) END AS l_tax,
+                CASE WHEN l_shipdate < TIMESTAMP '1998-04-01' THEN 'reference' ELSE 'current' END AS side FROM gaps),
+long AS (SELECT * FROM wide UNPIVOT INCLUDE NULLS (value FOR "column" IN (l_quantity, l_discount, l_tax)))
+SELECT side, "column", count(*) AS "rows", count(*) FILTER (WHERE value IS NULL) AS missing,
+       count(DISTINCT value) AS "distinct", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
+       round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max
+FROM long GROUP BY 1, 2
+""")
+def data_quality_profile_lineitem(spark, sf_dir):
+    """Data-quality profile of reference (shipped before 1998-04-01) and current side by side."""
+    g = domain.lineitem_with_gaps(spark, sf_dir)
+    cut = F.lit("1998-04-01 00:00:00").cast("timestamp_ntz")
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    return rounded(profile.data_quality(g.where(F.col("l_shipdate") < cut), g.where(F.col("l_shipdate") >= cut), cols))

@@ -233,3 +233,11 @@ def run_log_versions(spark, sf_dir):
                     F.round("accuracy", 6).alias("accuracy"),
                     F.concat(F.lit("models/churn/build-"), F.col("model_version").cast("string")).alias("artifact"))
     return registry.run_log(runs, "churn-experiment", "run", ["build", "train_split"], ["accuracy"], "artifact")
+
+
+@register("latest_model_version", f"""
+WITH {SQL_REGISTRY} SELECT model, max(version) AS version FROM reg GROUP BY 1
+""")
+def latest_model_version(spark, sf_dir):
+    """The newest version per model."""
+    return registry.latest_version(_registry(spark, sf_dir))
