@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import drift, history
 from ..sources.testdata import table
 from . import domain
-from .queries import SQL_LABELLED, SQL_LATEST, register, rounded
+from .queries import ORACLE_SQL, SQL_LABELLED, SQL_LATEST, register, rounded
 
 
 def domain_sql_labelled() -> str:
@@ -347,3 +347,10 @@ def target_drift_probability_documents(spark, sf_dir):
     lab = domain.labelled_documents(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     return rounded(drift.drift_report(lab.where(F.col("lang") == "en"), lab.where(F.col("lang") != "en"),
                                       numerical=["proba"], num_stattest="ks"))
+
+
+# Automatic choice on these tables: more than 1000 reference rows, so Wasserstein for the numeric
+# features (each has more than 5 values) and Jensen-Shannon for the categorical ones.
+ORACLE_SQL["auto_drift_report_lineitem"] = (
+    "(" + ORACLE_SQL["wasserstein_drift_lineitem"] + ")\nUNION ALL\n(" + ORACLE_SQL["jensenshannon_drift_categorical"] + ")"
+)

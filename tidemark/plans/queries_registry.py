@@ -241,3 +241,22 @@ WITH {SQL_REGISTRY} SELECT model, max(version) AS version FROM reg GROUP BY 1
 def latest_model_version(spark, sf_dir):
     """The newest version per model."""
     return registry.latest_version(_registry(spark, sf_dir))
+
+
+ORACLE_INCIDENTS = f"""
+WITH {SQL_DAILY},
+fired AS (SELECT model_name AS model, 'performance_alert' AS metric,
+                 time_bucket(INTERVAL 60 SECOND, "timestamp") AS period_start,
+                 time_bucket(INTERVAL 60 SECOND, "timestamp") + INTERVAL 60 SECOND AS period_end
+          FROM daily GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE performance_alert) > 0),
+marked AS (SELECT *, CASE WHEN lag(period_start) OVER (PARTITION BY model, metric ORDER BY period_start)
+                             > period_start - INTERVAL 7 DAY THEN 0 ELSE 1 END AS new_incident FROM fired),
+numbered AS (SELECT *, sum(new_incident) OVER (PARTITION BY model, metric ORDER BY period_start
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS incident FROM marked)
+SELECT model, metric, min(period_start) AS opened_at, max(period_end) AS last_firing_end, count(*) AS firing_periods,
+       max(period_start) + INTERVAL 7 DAY AS closes_at
+FROM numbered GROUP BY model, metric, incident
+"""
+from .queries import ORACLE_SQL  # noqa: E402
+
+ORACLE_SQL["alert_incidents_by_day"] = ORACLE_INCIDENTS.strip()
