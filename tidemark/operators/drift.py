@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,8 +65,9 @@ def _side_counts(long: DataFrame, keys) -> DataFrame:
 
 
 def _with_totals(counts: DataFrame, by: str = "feature") -> DataFrame:
-    tot = counts.groupBy(by).agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
-    return counts.join(F.broadcast(tot), by, "inner")  # one row per feature
+    """Side totals per feature from a window over the (small) per-category counts."""
+    w = Window.partitionBy(by)
+    return counts.withColumns({"ref_total": F.sum("ref_n").over(w), "cur_total": F.sum("cur_n").over(w)})
 
 
 def _report(df: DataFrame, test: str, score: Column, threshold: float | None) -> DataFrame:
@@ -127,13 +128,20 @@ def _numeric_bins(long: DataFrame, n_bins: int, range_side: int | None) -> DataF
 
 
 def _binned_shares(long: DataFrame, n_bins: int, range_side: int | None) -> DataFrame:
-    binned = _numeric_bins(long, n_bins, range_side)
-    totals = binned.groupBy("feature").agg(
-        F.count(F.when(F.col("side") == 0, 1)).alias("ref_total"),
-        F.count(F.when(F.col("side") == 1, 1)).alias("cur_total"))
-    counts = _side_counts(binned.where(F.col("bin").isNotNull()), ["feature", "bin"])
-    return counts.join(F.broadcast(totals), "feature", "inner").select(
-        "feature", "bin", (F.col("ref_n") / F.col("ref_total")).alias("p"), (F.col("cur_n") / F.col("cur_total")).alias("q"))
+    """Shares per (feature, bin) of each side; side totals include values outside every bin.
+
+    One aggregate over (feature, bin) - the null bin holds the out-of-range values - and the totals
+    come from a window over that small table (at most features * (n_bins + 1) rows).
+    """
+    counts = _side_counts(_numeric_bins(long, n_bins, range_side), ["feature", "bin"])
+    w = Window.partitionBy("feature")
+    return (
+        counts.select("feature", "bin", "ref_n", "cur_n",
+                      F.sum("ref_n").over(w).alias("ref_total"), F.sum("cur_n").over(w).alias("cur_total"))
+        .where(F.col("bin").isNotNull())
+        .select("feature", "bin", (F.col("ref_n") / F.col("ref_total")).alias("p"),
+                (F.col("cur_n") / F.col("cur_total")).alias("q"))
+    )
 
 
 def _psi(shares: DataFrame) -> DataFrame:

@@ -44,15 +44,15 @@ def confusion_matrix(df: DataFrame, target: str = "target", prediction: str = "p
 def _per_class(cm: DataFrame, g: list[str]) -> DataFrame:
     """Per (group, class): true support, predicted count, true positives (classes = union of both sides).
 
-    A class stack of the matrix (each cell once as truth, once as prediction) keeps it to one
-    aggregate over at most groups * k * k rows.
+    Each matrix cell is emitted twice by a generator - once as truth, once as prediction - and one
+    aggregate over at most groups * k * k * 2 rows folds them; the matrix is computed once.
     """
-    as_truth = cm.select(*g, F.col("target").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
-                         F.when(F.col("target") == F.col("prediction"), F.col("n")).otherwise(0).cast("long").alias("tp"))
-    as_pred = cm.select(*g, F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("support"),
-                        F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp"))
-    return as_truth.unionByName(as_pred).groupBy(*g, "cls").agg(
-        *[F.sum(c).cast("long").alias(c) for c in ("support", "predicted", "tp")])
+    as_truth = F.struct(F.col("target").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
+                        F.when(F.col("target") == F.col("prediction"), F.col("n")).otherwise(0).cast("long").alias("tp"))
+    as_pred = F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("support"),
+                       F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp"))
+    cells = cm.select(*g, F.explode(F.array(as_truth, as_pred)).alias("c")).select(*g, "c.*")
+    return cells.groupBy(*g, "cls").agg(*[F.sum(c).cast("long").alias(c) for c in ("support", "predicted", "tp")])
 
 
 def weighted_report(df: DataFrame, target: str = "target", prediction: str = "prediction",
