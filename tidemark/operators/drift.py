@@ -83,8 +83,8 @@ def _report(df: DataFrame, test: str, score: Column, threshold: float | None) ->
 def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """Two-sample KS per feature: D = max |F_ref - F_cur|, asymptotic p-value."""
     vc = _side_counts(long, ["feature", "value"])
-    rows, totals = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
-    d = rows.join(totals, "feature", "inner").groupBy("feature").agg(
+    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
+    d = rows.groupBy("feature").agg(
         F.max(F.abs(F.col("ref_n_upto") / F.col("ref_n_total") - F.col("cur_n_upto") / F.col("cur_n_total")))
         .alias("d"),
         F.first("ref_n_total").alias("n"), F.first("cur_n_total").alias("m"))
@@ -93,8 +93,8 @@ def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | No
 
 def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
     vc = _side_counts(long, ["feature", "value"])
-    rows, totals = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
-    return rows.join(totals, "feature", "inner").groupBy("feature").agg(
+    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
+    return rows.groupBy("feature").agg(
         F.max(F.abs(F.col("ref_n_upto") / F.col("ref_n_total") - F.col("cur_n_upto") / F.col("cur_n_total")))
         .alias("ks_d"),
         F.first("ref_n_total").alias("ref_rows"), F.first("cur_n_total").alias("cur_rows"))
@@ -103,11 +103,11 @@ def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
 def wasserstein_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """W1 distance between the empirical distributions, divided by max(std_pop(reference), 0.001)."""
     vc = _side_counts(long, ["feature", "value"])
-    rows, totals = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
+    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
     rows = next_value(rows, "value", ["feature"])
     gap = F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))
     cdf_gap = F.abs(F.col("ref_n_upto") / F.col("ref_n_total") - F.col("cur_n_upto") / F.col("cur_n_total"))
-    w = rows.join(totals, "feature", "inner").groupBy("feature").agg(F.sum(cdf_gap * gap).alias("w"))
+    w = rows.groupBy("feature").agg(F.sum(cdf_gap * gap).alias("w"))
     sd = long.where(F.col("side") == 0).groupBy("feature").agg(F.stddev_pop("value").alias("sd"))
     j = w.join(sd, "feature", "inner")
     score = F.col("w") / F.greatest(F.col("sd"), F.lit(WASSERSTEIN_MIN_STD))

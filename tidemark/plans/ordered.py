@@ -113,12 +113,16 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
 
 
 def _offsets(bdf: DataFrame, g: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Per (group, bucket): bucket total ``_t_k``, offset ``_o_k`` (earlier buckets) and group total
+    ``_g_k``; at most ``n_buckets`` rows per group."""
     totals = bdf.groupBy(*g, BUCKET).agg(*[c.alias(f"_t_{k}") for k, c in sums.items()])
     w = Window.partitionBy(*g).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    wg = Window.partitionBy(*g)
     out = totals.select(
         *g, BUCKET,
         *[F.coalesce(F.sum(f"_t_{k}").over(w), F.lit(0)).alias(f"_o_{k}") for k in sums],
         *[F.col(f"_t_{k}") for k in sums],
+        *[F.sum(f"_t_{k}").over(wg).alias(f"_g_{k}") for k in sums],
     )
     return out
 
@@ -128,8 +132,8 @@ def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], gr
     """Cumulative weights over distinct values.
 
     ``vc`` holds one row per (group, value) and numeric weight columns. Returns ``(rows, totals)``:
-    rows gain ``<w>_upto`` (weights of values <= this one) and ``<w>_before`` (strictly smaller);
-    totals hold one row per group with ``<w>_total``.
+    rows gain ``<w>_upto`` (weights of values <= this one), ``<w>_before`` (strictly smaller) and
+    ``<w>_total`` (the group's total); totals hold one row per group with ``<w>_total``.
     """
     g = _as_list(group_cols)
     ws = list(weight_cols)
@@ -142,7 +146,8 @@ def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], gr
     for w in ws:
         j = j.withColumn(f"{w}_upto", F.col(f"_o_{w}") + F.sum(w).over(win))
         j = j.withColumn(f"{w}_before", F.col(f"{w}_upto") - F.col(w))
-    rows = j.drop(*[f"_o_{w}" for w in ws], *[f"_t_{w}" for w in ws])
+    rows = j.withColumnsRenamed({f"_g_{w}": f"{w}_total" for w in ws}) \
+        .drop(*[f"_o_{w}" for w in ws], *[f"_t_{w}" for w in ws])
     totals = off.groupBy(*g).agg(*[F.sum(f"_t_{w}").alias(f"{w}_total") for w in ws])
     return rows, totals
 
@@ -163,7 +168,7 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
         off = F.broadcast(off)
     win = Window.partitionBy(*g, BUCKET).orderBy(*order)
     return (
-        b.join(off.drop("_t_n"), g + [BUCKET], "inner")
+        b.join(off.drop("_t_n", "_g_n"), g + [BUCKET], "inner")
         .withColumn(rank_col, F.col("_o_n") + F.row_number().over(win))
         .drop("_o_n", BUCKET)
     )
@@ -199,17 +204,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float], grou
         .groupBy(*g, value_col)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    rows, totals = running_totals(vc, value_col, ["_n"], g, n_buckets,
-                                  split_source=df.where(F.col(value_col).isNotNull()))
-    if not g:
-        n_total = totals.first()["_n_total"]  # one number
-        if not n_total:
-            return df.sparkSession.createDataFrame(
-                [tuple([None] * len(probs))], ", ".join(f"`{k}` double" for k in probs)
-            )
-        rows = rows.withColumn("_n_total", F.lit(n_total))
-    else:
-        rows = rows.join(totals, g, "inner")
+    rows, _ = running_totals(vc, value_col, ["_n"], g, n_buckets,
+                             split_source=df.where(F.col(value_col).isNotNull()))
     aggs = []
     for name, p in probs.items():
         h = (F.col("_n_total") - 1) * F.lit(float(p))
