@@ -73,41 +73,64 @@ def sort_key(col: str, dtype: T.DataType) -> Column:
 # Groups up to this count get their split points as literals (groups * n_buckets doubles on the
 # driver); beyond it the split table is checkpointed and joined on the group key.
 MAX_LITERAL_GROUPS = 256
+# A group with at most this many rows stays in one bucket: its window task is bounded anyway.
+DEFAULT_MIN_SPLIT_ROWS = 1 << 20
 
 
 def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
-                 accuracy: int | None = None, split_source: DataFrame | None = None) -> DataFrame:
+                 accuracy: int | None = None, split_source: DataFrame | None = None,
+                 min_rows: int | None = None) -> DataFrame:
     """Add ``_bucket``: a range bucket of ``value_col`` (non-null), per group if groups are given.
 
     Split points come from ``split_source`` (default ``df``). Passing the raw rows behind a table of
     distinct-value counts is cheaper (map-side partial summaries, no shuffle of all rows) and bounds
-    each bucket by row mass, which also bounds its distinct values.
+    each bucket by row mass, which also bounds its distinct values. Groups with at most
+    ``min_rows`` rows are not split (bucket 0): no window task ever holds more than
+    ``max(min_rows, ~1.5 * rows / n_buckets)`` rows. With ``n_buckets`` given explicitly every group
+    is split unless ``min_rows`` says otherwise.
     """
     g = _as_list(group_cols)
     nb = n_buckets or default_buckets(df.sparkSession)
+    if min_rows is None:
+        min_rows = 0 if n_buckets else DEFAULT_MIN_SPLIT_ROWS
     # rank error 1/(4 nb) of the rows: a bucket holds at most ~1.5x its even share
     accuracy = accuracy or max(100, 4 * nb)
     v = sort_key(value_col, df.schema[value_col].dataType)
     src = df if split_source is None else split_source
     if not g:
+        if min_rows and src.count() <= min_rows:
+            return df.withColumn(BUCKET, F.lit(0))
         row = src.agg(F.percentile_approx(v, _probs(nb), accuracy).alias("s")).first()
         pts = sorted({float(x) for x in (row["s"] or []) if x is not None})
         return df.withColumn(BUCKET, _case_tree(v, pts))
-    splits = src.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
-    few = splits.limit(MAX_LITERAL_GROUPS + 1).collect()
+    # first a cheap count per group; quantile summaries only for the groups that need splitting
+    big = src.groupBy(*g).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > F.lit(min_rows)).drop("_cnt")
+    few = big.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if not few:
+        return df.withColumn(BUCKET, F.lit(0))
+
+    def summaries(rows):
+        return rows.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
+
     if len(few) <= MAX_LITERAL_GROUPS:
-        expr = None
-        for r in few:
-            key = F.lit(True)
+        def key_of(r):
+            k = F.lit(True)
             for c in g:
-                key = key & (F.col(c).eqNullSafe(F.lit(r[c])))
+                k = k & F.col(c).eqNullSafe(F.lit(r[c]))
+            return k
+
+        wanted = F.lit(False)
+        for r in few:
+            wanted = wanted | key_of(r)
+        expr = None
+        for r in summaries(src.where(wanted)).collect():
             tree = _case_tree(v, sorted({float(x) for x in (r["_splits"] or []) if x is not None}))
-            expr = F.when(key, tree) if expr is None else expr.when(key, tree)
+            expr = F.when(key_of(r), tree) if expr is None else expr.when(key_of(r), tree)
         return df.withColumn(BUCKET, expr.otherwise(F.lit(0)) if expr is not None else F.lit(0))
-    pinned = splits.checkpoint()
+    pinned = summaries(src.join(big, g, "left_semi")).checkpoint()
     return (
-        df.join(pinned, g, "inner")
-        .withColumn(BUCKET, F.size(F.filter("_splits", lambda s: s <= v)))
+        df.join(pinned, g, "left")
+        .withColumn(BUCKET, F.coalesce(F.size(F.filter("_splits", lambda s: s <= v)), F.lit(0)))
         .drop("_splits")
     )
 
