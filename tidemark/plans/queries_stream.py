@@ -34,7 +34,9 @@ def stream_scoring_documents(spark, sf_dir):
     fitted = model.train_classifier(labelled, "label", domain.DOC_FEATURES)
     src, sink, ckpt = _scratch(spark, "requests"), _scratch(spark, "scores"), _scratch(spark, "scores-ckpt")
     inst = feats.select("doc_id", *[F.col(c).cast("double").alias(c) for c in domain.DOC_FEATURES])
-    reqs = scoring.to_requests(inst.withColumn("_batch", F.col("doc_id") % 64), ["doc_id", *domain.DOC_FEATURES], "_batch")
+    # requests of at most 100 instances each (consecutive ids), however large the table grows
+    reqs = scoring.to_requests(inst.withColumn("_batch", F.floor(F.col("doc_id") / 100)), ["doc_id", *domain.DOC_FEATURES],
+                               "_batch")
     reqs.select("value").write.mode("overwrite").text(src)
     q = scoring.start_scoring(spark, src, INSTANCE, fitted, "doc_id", sink, ckpt)
     q.awaitTermination()

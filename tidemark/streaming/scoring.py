@@ -23,7 +23,8 @@ def parse_requests(raw: DataFrame, instance: T.StructType, payload_col: str = "v
 
 
 def to_requests(df: DataFrame, cols, batch_col: str) -> DataFrame:
-    """Group rows into request payloads (one JSON line per ``batch_col`` value)."""
+    """Group rows into request payloads (one JSON line per ``batch_col`` value). The caller's batch
+    key must bound the rows per request (a request is one record)."""
     return df.groupBy(batch_col).agg(F.to_json(F.struct(F.collect_list(F.struct(*cols)).alias("instances"))).alias("value"))
 
 
