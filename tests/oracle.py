@@ -52,10 +52,22 @@ def rows_of(cols, records):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+# Spark type -> DuckDB type of the same values
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+            "timestamp_ntz": "TIMESTAMP", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(sdf, sql, con):
+    sch = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return [(c, sch.get(c), d.get(c)) for c in sorted(set(sch) | set(d)) if TYPE_MAP.get(sch.get(c), sch.get(c)) != d.get(c)]
+
+
 def compare(spark, sf_dir, name, fn, sql, con):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    types = type_diffs(sdf, sql, con)
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
@@ -64,7 +76,8 @@ def compare(spark, sf_dir, name, fn, sql, con):
     ok_cols = sorted(s_cols) == sorted(d_cols)
     ok_n = len(s_rows) == len(d_rows)
     ok_v = ok_cols and ok_n and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
-    return dict(name=name, ok=ok_cols and ok_n and ok_v, cols=ok_cols, rows=(len(s_rows), len(d_rows)),
+    return dict(name=name, ok=ok_cols and ok_n and ok_v and not types, cols=ok_cols, rows=(len(s_rows), len(d_rows)),
+                types=types,
                 values=ok_v, sec=round(t1 - t0, 2), spark_cols=s_cols, sql_cols=d_cols,
                 sample=(rows_of(s_cols, s_rows)[:3], rows_of(d_cols, d_rows)[:3]))
 
@@ -96,7 +109,7 @@ def main(argv):
             print(f"OK {name} rows={r['rows'][0]} {r['sec']}s")
         else:
             bad += 1
-            print(f"MISMATCH {name}: cols={r['cols']} rows={r['rows']} values={r['values']}\n"
+            print(f"MISMATCH {name}: cols={r['cols']} rows={r['rows']} values={r['values']} types={r['types']}\n"
                   f"  spark={r['spark_cols']}\n  sql={r['sql_cols']}\n  s={r['sample'][0]}\n  d={r['sample'][1]}")
     print(f"{bad} failing")
     return bad

@@ -20,6 +20,7 @@ def test_matches_sql(spark, sf_small, con, name):
     assert r["cols"], (r["spark_cols"], r["sql_cols"])
     assert r["rows"][0] == r["rows"][1]
     assert r["values"], r["sample"]
+    assert not r["types"], r["types"]
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))

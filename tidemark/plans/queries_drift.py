@@ -92,7 +92,8 @@ def ks_drift_lineitem(spark, sf_dir):
 WITH long AS (SELECT 'o_totalprice' AS feature, o_totalprice AS value,
                      CASE WHEN o_orderdate < TIMESTAMP '1998-04-01' THEN 0 ELSE 1 END AS side FROM orders),
 """ + SQL_VC.lstrip() + """
-SELECT feature, round(max(abs(fr - fc)), 6) AS ks_d, any_value(n) AS ref_rows, any_value(m) AS cur_rows
+SELECT feature, round(max(abs(fr - fc)), 6) AS ks_d, CAST(any_value(n) AS BIGINT) AS ref_rows,
+       CAST(any_value(m) AS BIGINT) AS cur_rows
 FROM cum GROUP BY 1
 """)
 def ks_statistic_totalprice(spark, sf_dir):

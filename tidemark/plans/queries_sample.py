@@ -177,7 +177,7 @@ def strict_casts_rename(spark, sf_dir):
 
 @register("features_sorted_attached", """
 SELECT c_acctbal, c_custkey, c_nationkey, round(c_acctbal / 1000.0, 6) AS f_acctbal_k,
-       length(c_name) AS f_name_len FROM customer
+       CAST(length(c_name) AS INTEGER) AS f_name_len FROM customer
 """)
 def features_sorted_attached(spark, sf_dir):
     """B12 + B13 + B7: features (label dropped) in sorted column order, generated features attached."""
