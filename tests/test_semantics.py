@@ -207,3 +207,35 @@ def test_gaussian_noise_moments(spark):
     df = spark.range(20000).select(sample.gaussian_noise(F.col("id"), 1, 3.0).alias("z"))
     r = df.agg(F.avg("z").alias("m"), F.stddev_pop("z").alias("s")).first()
     assert abs(r["m"]) < 0.1 and r["s"] == pytest.approx(3.0, rel=0.03)
+
+
+def test_quantiles_many_groups_use_pinned_split_table(spark):
+    """More groups than the literal limit: split points are checkpointed and joined on the key."""
+    from tidemark.plans import ordered
+
+    n_groups = ordered.MAX_LITERAL_GROUPS + 44
+    rows = [(g, float((g * 37 + i * 11) % 101)) for g in range(n_groups) for i in range(7)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r["g"]: r["m"] for r in profile.quantiles(df, "v", {"m": 0.5}, ["g"], n_buckets=3).collect()}
+    want = pd.DataFrame(rows, columns=["g", "v"]).groupby("g")["v"].quantile(0.5).to_dict()
+    assert len(got) == n_groups and all(got[g] == pytest.approx(want[g]) for g in want)
+
+
+def test_hot_series_interpolation_and_rank(spark):
+    """One series holds a third of the rows; chunked interpolation and bucketed ranks stay exact."""
+    from tidemark.plans.ordered import global_rank
+
+    rows = []
+    for s in range(6):
+        n = 600 if s == 0 else 120
+        for t in range(n):
+            rows.append((s, t, None if (t * 7 + s) % 5 == 0 else float((t * 13) % 17)))
+    df = spark.createDataFrame(rows, "s int, t int, v double")
+    got = {(r["s"], r["t"]): r["v"] for r in clean.interpolate_linear(df, "v", "t", "s", chunk_rows=50).collect()}
+    pdf = pd.DataFrame(rows, columns=["s", "t", "v"]).sort_values(["s", "t"])
+    pdf["w"] = pdf.groupby("s")["v"].transform(lambda x: x.interpolate())
+    for s, t, w in pdf[["s", "t", "w"]].itertuples(index=False):
+        g = got[(s, t)]
+        assert (g is None and math.isnan(w)) or g == pytest.approx(w)
+    ranks = global_rank(df, ["t"], "s", n_buckets=8).where("s = 0").select("t", "_rank").collect()
+    assert all(r["_rank"] == r["t"] + 1 for r in ranks)

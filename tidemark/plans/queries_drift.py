@@ -355,3 +355,16 @@ def target_drift_probability_documents(spark, sf_dir):
 ORACLE_SQL["auto_drift_report_lineitem"] = (
     "(" + ORACLE_SQL["wasserstein_drift_lineitem"] + ")\nUNION ALL\n(" + ORACLE_SQL["jensenshannon_drift_categorical"] + ")"
 )
+
+
+@register("target_drift_multiclass_customers", f"""
+WITH long AS (SELECT 'c_mktsegment' AS feature, c_mktsegment AS value, CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 END AS side
+              FROM customer),
+{SQL_CAT_SHARES.lstrip()}, {SQL_JS}
+{_sql_report('jensenshannon', 's', 0.1, False)} FROM js
+""")
+def target_drift_multiclass_customers(spark, sf_dir):
+    """J9 multiclass: market-segment distribution of customers in debt against the others."""
+    c = table(spark, sf_dir, "customer")
+    return rounded(drift.drift_report(c.where(F.col("c_acctbal") < 0), c.where(F.col("c_acctbal") >= 0),
+                                      categorical=["c_mktsegment"], cat_stattest="jensenshannon"))
