@@ -185,8 +185,9 @@ def missing_dates(df: DataFrame, date_col: str, group_col: str | None = None) ->
     spark = df.sparkSession
     dtype = df.schema[date_col].dataType
     d = F.col(date_col) if not isinstance(dtype, T.StringType) else F.to_timestamp(F.col(date_col))
+    # distinct days first: a day (or group) with very many rows collapses on the map side
     present = df.select(*([group_col] if group_col else []), d.alias("missing_date")).where(
-        F.col("missing_date").isNotNull())
+        F.col("missing_date").isNotNull()).distinct()
     dt = present.schema["missing_date"].dataType
     if group_col is None:
         b = present.agg(F.min("missing_date").alias("lo"), F.max("missing_date").alias("hi")).first()

@@ -65,9 +65,10 @@ def _side_counts(long: DataFrame, keys) -> DataFrame:
 
 
 def _with_totals(counts: DataFrame, by: str = "feature") -> DataFrame:
-    """Side totals per feature from a window over the (small) per-category counts."""
-    w = Window.partitionBy(by)
-    return counts.withColumns({"ref_total": F.sum("ref_n").over(w), "cur_total": F.sum("cur_n").over(w)})
+    """Side totals per feature, aggregated and broadcast back (one row per feature), so a feature
+    with very many categories is never gathered into one task."""
+    tot = counts.groupBy(by).agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
+    return counts.join(F.broadcast(tot), by, "inner")
 
 
 def _report(df: DataFrame, test: str, score: Column, threshold: float | None) -> DataFrame:

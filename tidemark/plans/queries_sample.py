@@ -201,7 +201,7 @@ def missing_days_anti_join(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     bounds = o.agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    have = o.where(F.col("o_orderpriority") == "1-URGENT").select(F.to_date("o_orderdate").alias("day"))
+    have = o.where(F.col("o_orderpriority") == "1-URGENT").select(F.to_date("o_orderdate").alias("day")).distinct()
     return days.join(have, "day", "left_anti")
 
 
