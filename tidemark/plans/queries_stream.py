@@ -89,3 +89,12 @@ def performance_monitoring_job(spark, sf_dir):
                                       domain.AS_OF, "churn", None, domain.LOOKBACK_PERFORMANCE_DAYS,
                                       tiebreak="insert_seq")
     return rounded(out)
+
+
+@register("parse_event_props", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+""")
+def parse_event_props(spark, sf_dir):
+    """H11 batch twin: JSON text column parsed into typed fields with ``from_json``."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.from_json("props", "k int").getField("k").alias("k"))
