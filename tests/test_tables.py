@@ -146,3 +146,16 @@ def test_alert_stream_drops_late_points(spark):
     q.awaitTermination()
     got = spark.read.parquet(base + "/sink").collect()
     assert len(got) == 1 and got[0]["fires"] is True
+
+
+def test_performance_job_writes_metrics_and_points(spark, sf_small):
+    db = _db(spark)
+    row = jobs.performance_monitoring(domain.inference_history(spark, sf_small), domain.ground_truth(spark, sf_small),
+                                      domain.AS_OF, "churn", 2, 730, tiebreak="insert_seq",
+                                      metrics_table=f"{db}.monitor_performance", points_table=f"{db}.metric_points")
+    got = row.first()
+    assert got["accuracy"] == pytest.approx(0.508621, abs=1e-6) and got["performance_alert"] is True
+    assert spark.table(f"{db}.monitor_performance").count() == 1
+    pts = spark.table(f"{db}.metric_points")
+    assert pts.where("metric LIKE '%performance_alert' AND bool_value").count() == 1
+    assert pts.where("double_value IS NOT NULL").count() == 11

@@ -17,10 +17,14 @@ from ..sources import catalog
 
 def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str, model_name: str,
                            model_version=None, lookback_days: int = 1200, rules=None,
-                           tiebreak: str | None = None) -> DataFrame | None:
+                           tiebreak: str | None = None, metrics_table: str | None = None,
+                           points_table: str | None = None, project: str = "project",
+                           location: str = "location", task_id: str = "task") -> DataFrame | None:
     """Resolve the version (highest when none is given), read the newest prediction per series and
     day, join the truth, compute quality and the alert flag. Returns the metrics row, or ``None``
-    when there is no history or nothing joins (the original early exits)."""
+    when there is no history or nothing joins (the original early exits). With table names given,
+    the row is appended to the metrics table (new metric columns are added) and its long gauge
+    points to the points table."""
     if model_version is None:
         version_col = history_df.select(F.max("model_version")).scalar()
         h = history_df.where(F.col("model_version") == version_col)
@@ -35,8 +39,15 @@ def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str,
     if profile.is_empty(joined):
         return None
     m = alerts.with_alert_flag(quality.binary_quality(joined), rules or alerts.DEFAULT_PERFORMANCE_RULES)
-    return m.select(F.lit(model_name).alias("model_name"), version_text.alias("model_version"),
-                    F.lit(as_of).cast("timestamp_ntz").alias("timestamp"), *m.columns)
+    row = m.select(F.lit(model_name).alias("model_name"), version_text.alias("model_version"),
+                   F.lit(as_of).cast("timestamp_ntz").alias("timestamp"), *m.columns)
+    if metrics_table or points_table:
+        row = row.checkpoint(eager=True)  # one row, written to two sinks: compute it once
+        if metrics_table:
+            catalog.write_metrics(row, metrics_table)
+        if points_table:
+            catalog.append_table(registry.metric_points(row, project, location, task_id), points_table)
+    return row
 
 
 def training(spark: SparkSession, source: DataFrame, label: str, key: str, features, database: str,
