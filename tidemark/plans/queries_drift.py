@@ -202,7 +202,18 @@ def chisquare_statistic_categorical(spark, sf_dir):
     return rounded(drift.chisquare_statistic(drift.stack_sides(ref, cur, CAT_FEATURES, numeric=False)))
 
 
-@register("chisquare_drift_categorical")
+@register("chisquare_drift_categorical", f"""
+WITH {SQL_CAT_LONG}, {SQL_CAT_SHARES},
+st AS (SELECT feature, sum((cn - p * ct) * (cn - p * ct) / (p * ct)) AS chi2, count(*) - 1 AS dof
+       FROM shares WHERE rn > 0 GROUP BY 1),
+-- upper tail Q(k/2, x/2) = 1 - sum_n exp(-z + (a + n) ln z - lgamma(a + n + 1)), z = x/2, a = k/2
+terms AS (SELECT feature, chi2, dof, n FROM st, range(0, 3000) t(n)),
+pv AS (SELECT feature, CASE WHEN any_value(chi2) <= 0 THEN 1.0 WHEN any_value(chi2) / 2 > 1200 THEN 0.0
+                       ELSE greatest(0.0, 1 - sum(exp(-chi2 / 2 + (dof / 2.0 + n) * ln(chi2 / 2)
+                                                       - lgamma(dof / 2.0 + n + 1)))) END AS pv
+       FROM terms GROUP BY feature)
+{_sql_report('chisquare', 'pv', 0.05, True)} FROM pv
+""")
 def chisquare_drift_categorical(spark, sf_dir):
     """Chi-square test with p-value (regularized incomplete gamma in an Arrow UDF, one row per feature)."""
     ref, cur = _sides(spark, sf_dir)
