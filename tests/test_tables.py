@@ -48,12 +48,12 @@ def test_append_and_metrics_schema_evolution(spark):
     db = _db(spark)
     t = f"{db}.monitor_performance"
     ts = dt.datetime(2024, 2, 1, 9, 0)
-    catalog.write_metrics(catalog.metrics_row(spark, "churn", 2, ts, {"accuracy": 0.8}), t)
-    catalog.write_metrics(catalog.metrics_row(spark, "churn", 2, ts, {"accuracy": 0.7, "performance_alert": False}), t)
+    catalog.write_metrics(catalog.metrics_row(spark, "classifier", 2, ts, {"accuracy": 0.8}), t)
+    catalog.write_metrics(catalog.metrics_row(spark, "classifier", 2, ts, {"accuracy": 0.7, "performance_alert": False}), t)
     got = spark.table(t)
     assert "performance_alert" in got.columns and got.count() == 2
     with pytest.raises(TypeError):
-        catalog.write_metrics(catalog.metrics_row(spark, "churn", 2, ts, {"accuracy": "high"}), t)
+        catalog.write_metrics(catalog.metrics_row(spark, "classifier", 2, ts, {"accuracy": "high"}), t)
     with pytest.raises(TypeError):
         catalog.python_type_to_spark(object())
 
@@ -110,7 +110,7 @@ def test_performance_job_early_exit(spark):
     empty = spark.createDataFrame([], "inserted_at timestamp_ntz, series_id string, timestamp timestamp_ntz, "
                                       "prediction int, model_version int")
     truth = spark.createDataFrame([("1", 1)], "series_id string, target int")
-    assert jobs.performance_monitoring(empty, truth, "2024-02-01 00:00:00", "churn", 2) is None
+    assert jobs.performance_monitoring(empty, truth, "2024-02-01 00:00:00", "classifier", 2) is None
 
 
 def test_training_and_inference_jobs(spark, sf_small):
@@ -151,7 +151,7 @@ def test_alert_stream_drops_late_points(spark):
 def test_performance_job_writes_metrics_and_points(spark, sf_small):
     db = _db(spark)
     row = jobs.performance_monitoring(domain.inference_history(spark, sf_small), domain.ground_truth(spark, sf_small),
-                                      domain.AS_OF, "churn", 2, 730, tiebreak="insert_seq",
+                                      domain.AS_OF, "classifier", 2, 730, tiebreak="insert_seq",
                                       metrics_table=f"{db}.monitor_performance", points_table=f"{db}.metric_points")
     got = row.first()
     assert got["accuracy"] == pytest.approx(0.508621, abs=1e-6) and got["performance_alert"] is True

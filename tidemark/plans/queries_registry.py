@@ -37,7 +37,7 @@ def quality_by_model_version(spark, sf_dir):
 
 def _evaluations(spark, sf_dir):
     q = _quality_by_version(spark, sf_dir).select(
-        F.lit("churn").alias("model"), (F.col("model_version") + 1).cast("int").alias("version"),
+        F.lit("classifier").alias("model"), (F.col("model_version") + 1).cast("int").alias("version"),
         *[F.col(k).alias(v) for k, v in EVAL_METRICS.items()])
     return registry.evaluation_rows(q, ["model", "version"])
 
@@ -45,7 +45,7 @@ def _evaluations(spark, sf_dir):
 SQL_EVALS = f"""
 {SQL_SCORED}, {sql_grouped_quality('scored', 'model_version')},
 evals AS (
-  SELECT 'churn' AS model, CAST(model_version + 1 AS INTEGER) AS version, metric, value FROM (
+  SELECT 'classifier' AS model, CAST(model_version + 1 AS INTEGER) AS version, metric, value FROM (
     UNPIVOT (SELECT model_version, precision_weighted AS precision, recall_weighted AS recall, f1_weighted AS "f1Score"
              FROM gq) ON precision, recall, "f1Score" INTO NAME metric VALUE value))"""
 
@@ -62,13 +62,13 @@ def evaluation_rows_by_version(spark, sf_dir):
 def _registry(spark, sf_dir):
     h = domain.inference_history(spark, sf_dir)
     uploads = h.groupBy("model_version").agg(F.min("inserted_at").alias("uploaded_at")).select(
-        F.lit("churn").alias("model"), F.concat(F.lit("models/churn/build-"), F.col("model_version")).alias("path"),
+        F.lit("classifier").alias("model"), F.concat(F.lit("models/classifier/build-"), F.col("model_version")).alias("path"),
         "uploaded_at")
     return registry.register_versions(registry.empty_registry(spark), uploads)
 
 
 SQL_REGISTRY = """
-uploads AS (SELECT 'churn' AS model, 'models/churn/build-' || CAST(event_id % 3 AS VARCHAR) AS path, min(ts) AS uploaded_at
+uploads AS (SELECT 'classifier' AS model, 'models/classifier/build-' || CAST(event_id % 3 AS VARCHAR) AS path, min(ts) AS uploaded_at
             FROM events GROUP BY event_id % 3),
 reg AS (SELECT model, CAST(row_number() OVER (PARTITION BY model ORDER BY uploaded_at, path) AS INTEGER) AS version,
                path, false AS is_default FROM uploads)"""
@@ -125,14 +125,14 @@ def _daily_metrics(spark, sf_dir):
     s = domain.scored_history(spark, sf_dir)
     q = quality.binary_quality(s, group_cols=["model_version", "timestamp"])
     q = alerts.with_alert_flag(q.select("model_version", "timestamp", "accuracy"), alerts.DEFAULT_PERFORMANCE_RULES)
-    return q.select(F.lit("churn").alias("model_name"), "model_version",
+    return q.select(F.lit("classifier").alias("model_name"), "model_version",
                     (F.col("timestamp") + F.expr("INTERVAL 9 HOURS")).alias("timestamp"), "accuracy",
                     "performance_alert")
 
 
 SQL_DAILY = f"""
 {SQL_SCORED}, {sql_grouped_quality('scored', 'model_version, "timestamp"')},
-daily AS (SELECT 'churn' AS model_name, model_version, "timestamp" + INTERVAL 9 HOUR AS "timestamp", accuracy,
+daily AS (SELECT 'classifier' AS model_name, model_version, "timestamp" + INTERVAL 9 HOUR AS "timestamp", accuracy,
                  accuracy < 0.7 AS performance_alert FROM gq)"""
 
 
@@ -219,11 +219,11 @@ def policy_reconcile(spark, sf_dir):
 WITH {SQL_SCORED}, {sql_grouped_quality('scored', 'model_version')},
 runs AS (SELECT 'run-' || CAST(model_version AS VARCHAR) AS run, CAST(model_version AS VARCHAR) AS build,
                 '0.8' AS train_split, CAST(round(accuracy, 6) AS VARCHAR) AS accuracy,
-                'models/churn/build-' || CAST(model_version AS VARCHAR) AS artifact FROM gq)
-SELECT 'churn-experiment' AS experiment, run, 'param' AS kind, 'build' AS key, build AS value FROM runs
-UNION ALL SELECT 'churn-experiment', run, 'param', 'train_split', train_split FROM runs
-UNION ALL SELECT 'churn-experiment', run, 'metric', 'accuracy', accuracy FROM runs
-UNION ALL SELECT 'churn-experiment', run, 'artifact', 'model', artifact FROM runs
+                'models/classifier/build-' || CAST(model_version AS VARCHAR) AS artifact FROM gq)
+SELECT 'model-experiment' AS experiment, run, 'param' AS kind, 'build' AS key, build AS value FROM runs
+UNION ALL SELECT 'model-experiment', run, 'param', 'train_split', train_split FROM runs
+UNION ALL SELECT 'model-experiment', run, 'metric', 'accuracy', accuracy FROM runs
+UNION ALL SELECT 'model-experiment', run, 'artifact', 'model', artifact FROM runs
 """)
 def run_log_versions(spark, sf_dir):
     """K8: experiment run log (parameters, metrics, artifact path per run), long form."""
@@ -231,8 +231,8 @@ def run_log_versions(spark, sf_dir):
     runs = q.select(F.concat(F.lit("run-"), F.col("model_version").cast("string")).alias("run"),
                     F.col("model_version").cast("string").alias("build"), F.lit("0.8").alias("train_split"),
                     F.round("accuracy", 6).alias("accuracy"),
-                    F.concat(F.lit("models/churn/build-"), F.col("model_version").cast("string")).alias("artifact"))
-    return registry.run_log(runs, "churn-experiment", "run", ["build", "train_split"], ["accuracy"], "artifact")
+                    F.concat(F.lit("models/classifier/build-"), F.col("model_version").cast("string")).alias("artifact"))
+    return registry.run_log(runs, "model-experiment", "run", ["build", "train_split"], ["accuracy"], "artifact")
 
 
 @register("latest_model_version", f"""

@@ -208,7 +208,7 @@ def missing_days_anti_join(spark, sf_dir):
 @register("scalar_functions_orders", """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day,
        strftime(o_orderdate, '%Y_%m_%dT%H_%M_%S') || '_' || lpad(CAST(CAST(floor(microsecond(o_orderdate) / 1000) AS INTEGER) AS VARCHAR), 3, '0') || 'Z' AS snapshot_suffix,
-       split_part('models/churn/' || o_orderstatus || '@' || CAST(o_custkey AS VARCHAR), '@', 1) AS model_uri,
+       split_part('models/classifier/' || o_orderstatus || '@' || CAST(o_custkey AS VARCHAR), '@', 1) AS model_uri,
        CAST(o_orderdate AS DATE) BETWEEN DATE '1998-08-01' - INTERVAL 1 DAY - INTERVAL 30 DAY
                                      AND DATE '1998-08-01' - INTERVAL 1 DAY AS in_training_window,
        round(CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_totalprice / (o_custkey % 5) END, 6) AS price_ratio,
@@ -227,7 +227,7 @@ def scalar_functions_orders(spark, sf_dir):
         "o_orderkey",
         S.day_string("o_orderdate").alias("order_day"),
         S.millis_string("o_orderdate").alias("snapshot_suffix"),
-        S.uri_without_version(F.concat(F.lit("models/churn/"), "o_orderstatus", F.lit("@"), F.col("o_custkey").cast("string")))
+        S.uri_without_version(F.concat(F.lit("models/classifier/"), "o_orderstatus", F.lit("@"), F.col("o_custkey").cast("string")))
         .alias("model_uri"),
         ((d >= earlier) & (d <= yesterday)).alias("in_training_window"),
         S.safe_ratio(F.col("o_totalprice"), F.col("o_custkey") % 5).alias("price_ratio"),

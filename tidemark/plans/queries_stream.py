@@ -79,14 +79,14 @@ latest AS (
 {SQL_TRUTH},
 j AS (SELECT t.target, l.prediction FROM truth t JOIN latest l ON t.series_id = l.series_id),
 {sql_binary_quality('j')}
-SELECT 'churn' AS model_name, (SELECT CAST(max(model_version) AS VARCHAR) FROM hist) AS model_version,
+SELECT 'classifier' AS model_name, (SELECT CAST(max(model_version) AS VARCHAR) FROM hist) AS model_version,
        TIMESTAMP '2024-02-01 00:00:00' AS "timestamp", {SQL_BQ_COLUMNS}, accuracy < 0.7 AS performance_alert FROM bqf
 """)
 def performance_monitoring_job(spark, sf_dir):
     """Default version (highest), latest history (1200-day look-back), truth, guards, join,
     quality, alert; one metrics row."""
     out = jobs.performance_monitoring(domain.inference_history(spark, sf_dir), domain.ground_truth(spark, sf_dir),
-                                      domain.AS_OF, "churn", None, domain.LOOKBACK_PERFORMANCE_DAYS,
+                                      domain.AS_OF, "classifier", None, domain.LOOKBACK_PERFORMANCE_DAYS,
                                       tiebreak="insert_seq")
     return rounded(out)
 
