@@ -239,3 +239,32 @@ def test_hot_series_interpolation_and_rank(spark):
         assert (g is None and math.isnan(w)) or g == pytest.approx(w)
     ranks = global_rank(df, ["t"], "s", n_buckets=8).where("s = 0").select("t", "_rank").collect()
     assert all(r["_rank"] == r["t"] + 1 for r in ranks)
+
+
+def test_featurizer_is_identity_on_ordered_columns(spark):
+    from tidemark.operators import model
+
+    df = spark.createDataFrame([(0, 0, 1), (1, 1, 0)], "`0` int, `1` int, `2` int")
+    out = model.featurize(df)
+    assert out.columns == df.columns and out.collect() == df.collect()
+
+
+def test_features_and_label(spark):
+    df = spark.createDataFrame([(0, 0, 1)] * 6 + [(1, 1, 0)] * 4, "`1` int, `2` int, label int")
+    x, y, names = projection.features_and_label(df, "label")
+    assert x.columns == ["1", "2"] and y.columns == ["label"] and names == ["1", "2"]
+    assert y.where("label = 1").count() == 6
+
+
+def test_cleaning_hooks_are_identity(spark):
+    df = spark.createDataFrame([(0, 0, 1), (1, 1, 0)], "a int, b int, c int")
+    assert clean.clean_chain(df, [clean.clean_data, clean.fill_missing_data]).collect() == df.collect()
+
+
+def test_exact_split_is_reproducible_and_ceil(spark):
+    df = spark.range(0, 101).withColumnRenamed("id", "k")
+    a = sample.exact_split(df, "k", 0.2, 42, n_buckets=4)
+    b = sample.exact_split(df, "k", 0.2, 42, n_buckets=9)
+    ta = sorted(r["k"] for r in a.where("split = 'TEST'").collect())
+    tb = sorted(r["k"] for r in b.where("split = 'TEST'").collect())
+    assert len(ta) == 21 and ta == tb  # ceil(0.2 * 101) = 21, independent of the bucket count
