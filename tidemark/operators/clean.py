@@ -59,11 +59,24 @@ def column_stats(df: DataFrame, cols: Iterable[str], how: str) -> dict:
         got = {r["column"]: r["m"] for r in q.collect()}  # one row per column
         return {c: got.get(c) for c in cols}
     if how == "mode":
+        from .profile import long_values
+
+        types = {f.name: f.dataType for f in df.schema.fields}
+        exact_in_double = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
+        num = [c for c in cols if isinstance(types[c], exact_in_double)]
         out = {}
-        for c in cols:
+        if num:  # these columns in one job: counts per (column, value), best value per column
+            counts = long_values(df, num).where(F.col("value").isNotNull()).groupBy("column", "value") \
+                .agg(F.count(F.lit(1)).alias("n"))
+            best = counts.groupBy("column").agg(F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("m"))
+            got = {r["column"]: r["m"] for r in best.collect()}  # one row per column
+            out.update({c: got.get(c) for c in num})
+        for c in cols:  # other types keep their own values (no lossy cast): one small job each
+            if c in out:
+                continue
             counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-            best = counts.agg(F.max("n").alias("m")).first()["m"]
-            out[c] = counts.where(F.col("n") == best).agg(F.min(c).alias("v")).first()["v"] if best else None
+            top = counts.agg(F.max("n").alias("m")).first()["m"]
+            out[c] = counts.where(F.col("n") == top).agg(F.min(c).alias("v")).first()["v"] if top else None
         return out
     raise ValueError(f"unknown statistic {how}")
 
