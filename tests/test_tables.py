@@ -159,3 +159,8 @@ def test_performance_job_writes_metrics_and_points(spark, sf_small):
     pts = spark.table(f"{db}.metric_points")
     assert pts.where("metric LIKE '%performance_alert' AND bool_value").count() == 1
     assert pts.where("double_value IS NOT NULL").count() == 11
+
+
+def test_set_default_on_empty_registry_raises(spark):
+    with pytest.raises(LookupError):
+        registry.set_default(registry.empty_registry(spark))

@@ -74,7 +74,10 @@ def register_versions(registry: DataFrame, uploads: DataFrame) -> DataFrame:
 
 def set_default(registry: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
     """Mark one version per model as default: the chosen ``(model, version)`` rows, or the latest
-    version. The previous default loses the flag. A chosen version absent from the registry raises."""
+    version. The previous default loses the flag. A chosen version absent from the registry raises,
+    and so does an empty registry (reads at most one row to check)."""
+    if registry.isEmpty():
+        raise LookupError("no model versions to label")
     if chosen is None:
         pick = registry.groupBy("model").agg(F.max("version").alias("_pick"))
     else:

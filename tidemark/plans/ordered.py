@@ -47,6 +47,15 @@ def _case_tree(v: Column, pts: Sequence[float], lo: int = 0) -> Column:
     )
 
 
+def _literal(value, dtype: T.DataType) -> Column:
+    """A literal of exactly ``dtype``; times go through text so no zone conversion applies."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        return F.lit(value.isoformat()).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def _probs(n_buckets: int) -> list[float]:
     return [i / n_buckets for i in range(1, n_buckets)]
 
@@ -113,10 +122,12 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
         return rows.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
 
     if len(few) <= MAX_LITERAL_GROUPS:
+        types = {f.name: f.dataType for f in src.schema.fields}
+
         def key_of(r):
             k = F.lit(True)
             for c in g:
-                k = k & F.col(c).eqNullSafe(F.lit(r[c]))
+                k = k & F.col(c).eqNullSafe(_literal(r[c], types[c]))
             return k
 
         wanted = F.lit(False)
