@@ -164,3 +164,16 @@ def test_performance_job_writes_metrics_and_points(spark, sf_small):
 def test_set_default_on_empty_registry_raises(spark):
     with pytest.raises(LookupError):
         registry.set_default(registry.empty_registry(spark))
+
+
+def test_bucketed_history_reads_without_shuffle(spark, sf_small):
+    db = _db(spark)
+    t = f"{db}.history_bucketed"
+    h = domain.inference_history(spark, sf_small)
+    rows = history.to_history_rows(h, "series_id", "timestamp", "prediction", "model_version", "inserted_at")
+    history.append_history(rows, t, buckets=4)
+    history.append_history(rows, t)  # appends keep the bucketing
+    latest = history.latest_per_series(spark.table(t), domain.AS_OF, 730, 2)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert latest.count() == history.latest_per_series(rows, domain.AS_OF, 730, 2).count()

@@ -88,11 +88,19 @@ def read_history(spark: SparkSession, table_name: str) -> DataFrame:
     return spark.table(table_name)
 
 
-def append_history(rows: DataFrame, table_name: str) -> None:
-    """Append scored rows; the table is partitioned by model version so version reads prune."""
+def append_history(rows: DataFrame, table_name: str, buckets: int | None = None) -> None:
+    """Append scored rows; the table is partitioned by model version so version reads prune.
+
+    With ``buckets``, the table is created bucketed (and sorted) by ``series_id``: the latest-value
+    aggregate per (series, day) and joins on the series id then read co-located buckets without a
+    shuffle of the history.
+    """
     spark = rows.sparkSession
     rows = rows.select([f.name for f in HISTORY_SCHEMA.fields])
     if spark.catalog.tableExists(table_name):
         rows.write.mode("append").insertInto(table_name)
-    else:
-        rows.write.mode("append").partitionBy("model_version").format("parquet").saveAsTable(table_name)
+        return
+    w = rows.write.mode("append").partitionBy("model_version").format("parquet")
+    if buckets:
+        w = w.bucketBy(int(buckets), "series_id").sortBy("series_id", "timestamp")
+    w.saveAsTable(table_name)
