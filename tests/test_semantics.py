@@ -268,3 +268,21 @@ def test_exact_split_is_reproducible_and_ceil(spark):
     ta = sorted(r["k"] for r in a.where("split = 'TEST'").collect())
     tb = sorted(r["k"] for r in b.where("split = 'TEST'").collect())
     assert len(ta) == 21 and ta == tb  # ceil(0.2 * 101) = 21, independent of the bucket count
+
+
+@pytest.mark.parametrize("ttype", ["timestamp", "timestamp_ntz"])
+def test_latest_per_series_tiebreak(spark, ttype):
+    from tidemark.operators import history
+
+    t1, t2 = "2024-01-01 10:00:00", "2024-01-01 11:00:00"
+    rows = [("a", "2024-01-01", t1, -5, 1), ("a", "2024-01-01", t2, -7, 0), ("a", "2024-01-01", t2, -3, 1),
+            ("b", "2024-01-01", t1, 9_000_000_000_000_000_000, 1), ("b", "2024-01-01", t1, -9_000_000_000_000_000_000, 0)]
+    df = spark.createDataFrame(rows, "series_id string, d string, ins string, seq long, prediction int").select(
+        "series_id", F.col("d").cast(ttype).alias("timestamp"), F.col("ins").cast(ttype).alias("inserted_at"),
+        "seq", "prediction")
+    out = {r["series_id"]: r["prediction"]
+           for r in history.latest_per_series(df, "2024-02-01 00:00:00", None, tiebreak="seq").collect()}
+    assert out == {"a": 1, "b": 1}
+    plan = history.latest_per_series(df, "2024-02-01 00:00:00", None, tiebreak="seq")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "SortAggregate" not in plan

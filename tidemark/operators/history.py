@@ -54,7 +54,7 @@ def latest_per_series(history: DataFrame, as_of, lookback_days: int | None, mode
         h = h.where(ts > days_before(F.lit(as_of).cast(h.schema["timestamp"].dataType), lookback_days))
     if model_version is not None:
         h = h.where(F.col("model_version") == F.lit(int(model_version)))
-    order_key = F.struct("inserted_at", tiebreak) if tiebreak else F.col("inserted_at")
+    order_key = _newest_first_key(h, "inserted_at", tiebreak)
     out = h.groupBy("series_id", "timestamp").agg(
         F.max_by("prediction", order_key).alias("prediction")
     ).select("series_id", "prediction", "timestamp")
@@ -63,6 +63,29 @@ def latest_per_series(history: DataFrame, as_of, lookback_days: int | None, mode
     return out
 
 
+# Packing (time, tie-break) into one DECIMAL(38, 0) keeps the max_by buffer fixed-width, so the
+# aggregate stays a hash aggregate (a struct ordering falls back to sort-based aggregation).
+_TIE_SPAN = 2 ** 64          # a long tie-break shifted by 2^63 lies in [0, 2^64)
+_TIE_SHIFT = 2 ** 63
+
+
+def _newest_first_key(df: DataFrame, time_col: str, tiebreak: str | None) -> Column:
+    t = df.schema[time_col].dataType
+    if tiebreak is None:
+        return F.col(time_col)
+    tb = df.schema[tiebreak].dataType
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)) and isinstance(tb, (T.IntegerType, T.LongType,
+                                                                                 T.ShortType, T.ByteType)):
+        if isinstance(t, T.TimestampNTZType):  # zone-free micros, no session time zone involved
+            micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time_col}`)")
+        else:
+            micros = F.unix_micros(F.col(time_col))
+        dec = "decimal(38,0)"
+        return (micros.cast(dec) * F.lit(str(_TIE_SPAN)).cast(dec)
+                + (F.col(tiebreak).cast(dec) + F.lit(str(_TIE_SHIFT)).cast(dec))).cast(dec)
+    return F.struct(time_col, tiebreak)
+
+
 def newest_batch(history: DataFrame) -> DataFrame:
     """Rows of the newest insert batch, without ``inserted_at`` (scalar subquery form)."""
     newest = history.agg(F.max("inserted_at").alias("_newest"))
