@@ -161,11 +161,16 @@ def interpolate_linear(df: DataFrame, value_col: str, order_cols, series_cols=No
     v = F.col(value_col).cast("double")
     ranked = global_rank(df, order, s, rank_col="_pos").withColumn(
         "_chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_rows)))
-    known = F.when(v.isNotNull() & ~F.isnan(v), F.struct(F.col("_pos").alias("p"), v.alias("v")))
+    is_known = v.isNotNull() & ~F.isnan(v)
+    known = F.when(is_known, F.struct(F.col("_pos").alias("p"), v.alias("v")))
+    kpos = F.when(is_known, F.col("_pos"))
+    # fixed-width aggregation buffers (hash aggregate); the structs are built on the small result
     chunks = ranked.groupBy(*s, "_chunk").agg(
-        F.max_by(known, F.when(known.isNotNull(), F.col("_pos"))).alias("_last"),
-        F.min_by(known, F.when(known.isNotNull(), F.col("_pos"))).alias("_first"),
-    )
+        F.max(kpos).alias("_lp"), F.max_by(F.when(is_known, v), kpos).alias("_lv"),
+        F.min(kpos).alias("_fp"), F.min_by(F.when(is_known, v), kpos).alias("_fv"),
+    ).select(*s, "_chunk",
+             F.when(F.col("_lp").isNotNull(), F.struct(F.col("_lp").alias("p"), F.col("_lv").alias("v"))).alias("_last"),
+             F.when(F.col("_fp").isNotNull(), F.struct(F.col("_fp").alias("p"), F.col("_fv").alias("v"))).alias("_first"))
     wc = Window.partitionBy(*s).orderBy("_chunk")
     carry = chunks.select(
         *s, "_chunk",
