@@ -68,7 +68,9 @@ def column_stats(df: DataFrame, cols: Iterable[str], how: str) -> dict:
         if num:  # these columns in one job: counts per (column, value), best value per column
             counts = long_values(df, num).where(F.col("value").isNotNull()).groupBy("column", "value") \
                 .agg(F.count(F.lit(1)).alias("n"))
-            best = counts.groupBy("column").agg(F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("m"))
+            top = counts.groupBy("column").agg(F.max("n").alias("_top"))
+            best = (counts.join(F.broadcast(top), "column", "inner").where(F.col("n") == F.col("_top"))
+                    .groupBy("column").agg(F.min("value").alias("m")))
             got = {r["column"]: r["m"] for r in best.collect()}  # one row per column
             out.update({c: got.get(c) for c in num})
         for c in cols:  # other types keep their own values (no lossy cast): one small job each

@@ -77,8 +77,11 @@ def central_values(df: DataFrame, cols=None, n_buckets: int | None = None) -> Da
     """Mean, median and mode per numeric column; among several modes the smallest."""
     long = long_values(df, cols).where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    mode = counts.groupBy("column").agg(
-        F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("mode"))
+    # highest count per column (one row per column, broadcast back), then the smallest value with it:
+    # hash aggregates only, and no task ever holds all distinct values of a column
+    top = counts.groupBy("column").agg(F.max("n").alias("_top"))
+    mode = (counts.join(F.broadcast(top), "column", "inner").where(F.col("n") == F.col("_top"))
+            .groupBy("column").agg(F.min("value").alias("mode")))
     mean = long.groupBy("column").agg(F.avg("value").alias("mean"))
     med = exact_quantiles(long, "value", {"median": 0.5}, ["column"], n_buckets)
     return mean.join(med, "column", "left").join(mode, "column", "left")
