@@ -116,7 +116,8 @@ WHERE NOT c.is_default GROUP BY 1, 2
 def champion_challenger_versions(spark, sf_dir):
     """J11 + C5 + C6: each challenger against its model's default; improved if any rule passes."""
     reg = registry.set_default(_registry(spark, sf_dir)).select("model", "version", "is_default")
-    ev = _evaluations(spark, sf_dir).join(reg, ["model", "version"], "inner")
+    # the evaluation table is small and read twice (champion and challenger sides): pin it once
+    ev = _evaluations(spark, sf_dir).join(reg, ["model", "version"], "inner").checkpoint()
     rules = spark.createDataFrame(alerts.CLASSIFICATION_CHALLENGE_RULES, "metric_name string, op string")
     return alerts.champion_challenger(ev, rules)
 
