@@ -187,6 +187,7 @@ WITH {SQL_CAT_LONG}, {SQL_CAT_SHARES}, {SQL_JS}
 {_sql_report('jensenshannon', 's', 0.1, False)} FROM js
 """)
 def jensenshannon_drift_categorical(spark, sf_dir):
+    """Jensen-Shannon distance per categorical feature over the union of categories."""
     ref, cur = _sides(spark, sf_dir)
     return rounded(drift.jensenshannon_categorical(drift.stack_sides(ref, cur, CAT_FEATURES, numeric=False)))
 
