@@ -286,3 +286,14 @@ def test_latest_per_series_tiebreak(spark, ttype):
     plan = history.latest_per_series(df, "2024-02-01 00:00:00", None, tiebreak="seq")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_quantiles_over_literal_budget_use_array_search(spark):
+    """Few groups but many split points each: the searched split array path, exact results."""
+    rows = [(g, float((g * 31 + i * 17) % 997)) for g in range(50) for i in range(120)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r["g"]: r for r in profile.quantiles(df, "v", {"a": 0.1, "b": 0.5}, ["g"], n_buckets=100).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    for g, part in pdf.groupby("g"):
+        assert got[g]["a"] == pytest.approx(part["v"].quantile(0.1))
+        assert got[g]["b"] == pytest.approx(part["v"].quantile(0.5))

@@ -47,6 +47,17 @@ def _case_tree(v: Column, pts: Sequence[float], lo: int = 0) -> Column:
     )
 
 
+def _array_tree(v: Column, arr: Column, lo: int, hi: int) -> Column:
+    """Number of elements <= v among sorted ``arr[lo:hi]``: a binary search whose shape depends only
+    on the array length bound, so one expression serves every group (log2 comparisons per row).
+    Positions past the end of a shorter array read as +infinity."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    e = F.try_element_at(arr, F.lit(mid + 1))
+    return F.when(e.isNull() | (v < e), _array_tree(v, arr, lo, mid)).otherwise(_array_tree(v, arr, mid + 1, hi))
+
+
 def _literal(value, dtype: T.DataType) -> Column:
     """A literal of exactly ``dtype``; times go through text so no zone conversion applies."""
     if value is None:
@@ -80,8 +91,10 @@ def sort_key(col: str, dtype: T.DataType) -> Column:
 
 
 # Groups up to this count get their split points as literals (groups * n_buckets doubles on the
-# driver); beyond it the split table is checkpointed and joined on the group key.
+# driver), as long as all their split points together stay within the literal budget; beyond it
+# the split table is checkpointed and joined on the group key.
 MAX_LITERAL_GROUPS = 256
+LITERAL_SPLIT_BUDGET = 4096
 # A group with at most this many rows stays in one bucket: its window task is bounded anyway.
 DEFAULT_MIN_SPLIT_ROWS = 1 << 20
 
@@ -121,7 +134,7 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
     def summaries(rows):
         return rows.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
 
-    if len(few) <= MAX_LITERAL_GROUPS:
+    if len(few) <= MAX_LITERAL_GROUPS and len(few) * (nb - 1) <= LITERAL_SPLIT_BUDGET:
         types = {f.name: f.dataType for f in src.schema.fields}
 
         def key_of(r):
@@ -141,7 +154,8 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
     pinned = summaries(src.join(big, g, "left_semi")).checkpoint()
     return (
         df.join(pinned, g, "left")
-        .withColumn(BUCKET, F.coalesce(F.size(F.filter("_splits", lambda s: s <= v)), F.lit(0)))
+        .withColumn(BUCKET, F.when(F.col("_splits").isNull(), F.lit(0))
+                    .otherwise(_array_tree(v, F.col("_splits"), 0, nb - 1)))
         .drop("_splits")
     )
 
