@@ -48,10 +48,10 @@ def exact_split(df: DataFrame, key_cols, test_fraction: float = 0.2, seed: int =
     """
     keys = _key(key_cols)
     h = random_order(df, keys, seed)
-    n_test = F.ceil(df.select(F.count(F.lit(1))).scalar() * F.lit(float(test_fraction)))
-    ranked = global_rank(h, ["_h", *keys], n_buckets=n_buckets)
+    ranked = global_rank(h, ["_h", *keys], n_buckets=n_buckets, total_col="_n")
+    n_test = F.ceil(F.col("_n") * F.lit(float(test_fraction)))
     return ranked.withColumn(split_col, F.when(F.col("_rank") <= n_test, F.lit(test_tag)).otherwise(F.lit(train_tag))) \
-        .drop("_h", "_rank")
+        .drop("_h", "_rank", "_n")
 
 
 def fraction_sample(df: DataFrame, key_cols, fraction: float, seed: int = 5, flag_col: str = "in_sample",
@@ -59,9 +59,9 @@ def fraction_sample(df: DataFrame, key_cols, fraction: float, seed: int = 5, fla
     """Flag exactly round(fraction * n) rows (pandas ``sample(frac=)`` size); the rest is the complement."""
     keys = _key(key_cols)
     h = random_order(df, keys, seed)
-    n_in = F.round(df.select(F.count(F.lit(1))).scalar() * F.lit(float(fraction)), 0)
-    ranked = global_rank(h, ["_h", *keys], n_buckets=n_buckets)
-    return ranked.withColumn(flag_col, F.col("_rank") <= n_in).drop("_h", "_rank")
+    ranked = global_rank(h, ["_h", *keys], n_buckets=n_buckets, total_col="_n")
+    n_in = F.round(F.col("_n") * F.lit(float(fraction)), 0)
+    return ranked.withColumn(flag_col, F.col("_rank") <= n_in).drop("_h", "_rank", "_n")
 
 
 def complement(df: DataFrame, taken: DataFrame, key_cols) -> DataFrame:

@@ -201,12 +201,12 @@ def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], gr
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
-                n_buckets: int | None = None, rank_col: str = "_rank") -> DataFrame:
+                n_buckets: int | None = None, rank_col: str = "_rank", total_col: str | None = None) -> DataFrame:
     """1-based row number per group ordered by ``order_cols`` (ties broken by the later columns).
 
     Buckets follow the first order column, so rows equal on it share a bucket and the order inside
     buckets is the global order. The first order column must not hold one value for a large share
-    of rows (hashes and keys qualify).
+    of rows (hashes and keys qualify). With ``total_col`` the group's row count is kept as well.
     """
     g = _as_list(group_cols)
     order = list(order_cols)
@@ -215,11 +215,12 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
     if not g:
         off = F.broadcast(off)
     win = Window.partitionBy(*g, BUCKET).orderBy(*order)
-    return (
-        b.join(off.drop("_t_n", "_g_n"), g + [BUCKET], "inner")
+    out = (
+        b.join(off.drop("_t_n"), g + [BUCKET], "inner")
         .withColumn(rank_col, F.col("_o_n") + F.row_number().over(win))
         .drop("_o_n", BUCKET)
     )
+    return out.withColumnRenamed("_g_n", total_col) if total_col else out.drop("_g_n")
 
 
 def next_value(rows: DataFrame, value_col: str, group_cols=None, out_col: str = "_next") -> DataFrame:
