@@ -61,15 +61,22 @@ def evaluation_rows(metrics: DataFrame, id_cols=("model", "version")) -> DataFra
 
 def register_versions(registry: DataFrame, uploads: DataFrame) -> DataFrame:
     """Append uploads ``(model, path, uploaded_at)`` as new versions: max existing version + rank of
-    the upload within its model; a first upload creates version 1. New versions are never default."""
-    current = registry.groupBy("model").agg(F.max("version").alias("_max"))
-    w = Window.partitionBy("model").orderBy("uploaded_at", "path")
-    new = (
-        uploads.join(current, "model", "left")
-        .select("model", (F.coalesce("_max", F.lit(0)) + F.row_number().over(w)).cast("int").alias("version"),
-                "path", F.lit(False).alias("is_default"))
-    )
-    return registry.unionByName(new)
+    the upload within its model; a first upload creates version 1. New versions are never default.
+
+    The current maximum travels with the uploads in one union (one row per model), so the numbering
+    is a window per model over that model's uploads only; no join is needed.
+    """
+    current = registry.groupBy("model").agg(F.max("version").alias("_max")).select(
+        "model", F.lit(None).cast("string").alias("path"), F.lit(None).cast("timestamp").alias("uploaded_at"),
+        "_max", F.lit(False).alias("_new"))
+    new = uploads.select("model", "path", F.col("uploaded_at").cast("timestamp").alias("uploaded_at"),
+                         F.lit(None).cast("int").alias("_max"), F.lit(True).alias("_new"))
+    both = current.unionByName(new)
+    base = F.coalesce(F.max("_max").over(Window.partitionBy("model")), F.lit(0))
+    numbered = both.withColumn("_base", base).where("_new").select(
+        "model", (F.col("_base") + F.row_number().over(Window.partitionBy("model").orderBy("uploaded_at", "path")))
+        .cast("int").alias("version"), "path", F.lit(False).alias("is_default"))
+    return registry.unionByName(numbered)
 
 
 def set_default(registry: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
@@ -78,8 +85,9 @@ def set_default(registry: DataFrame, chosen: DataFrame | None = None) -> DataFra
     and so does an empty registry (reads at most one row to check)."""
     if registry.isEmpty():
         raise LookupError("no model versions to label")
-    if chosen is None:
-        pick = registry.groupBy("model").agg(F.max("version").alias("_pick"))
+    if chosen is None:  # latest version per model: a window over each model's versions, no join
+        latest = F.max("version").over(Window.partitionBy("model"))
+        return registry.withColumn("is_default", F.coalesce(F.col("version") == latest, F.lit(False)))
     else:
         pick = chosen.select("model", F.col("version").alias("_pick"))
         known = pick.join(registry, (pick["model"] == registry["model"]) & (F.col("_pick") == registry["version"]),

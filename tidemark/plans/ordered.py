@@ -102,6 +102,13 @@ DEFAULT_MIN_SPLIT_ROWS = 1 << 20
 def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
                  accuracy: int | None = None, split_source: DataFrame | None = None,
                  min_rows: int | None = None) -> DataFrame:
+    """Add ``_bucket`` (see :func:`_bucketize`)."""
+    return _bucketize(df, value_col, group_cols, n_buckets, accuracy, split_source, min_rows)[0]
+
+
+def _bucketize(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
+               accuracy: int | None = None, split_source: DataFrame | None = None,
+               min_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_bucket``: a range bucket of ``value_col`` (non-null), per group if groups are given.
 
     Split points come from ``split_source`` (default ``df``). Passing the raw rows behind a table of
@@ -109,7 +116,8 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
     each bucket by row mass, which also bounds its distinct values. Groups with at most
     ``min_rows`` rows are not split (bucket 0): no window task ever holds more than
     ``max(min_rows, ~1.5 * rows / n_buckets)`` rows. With ``n_buckets`` given explicitly every group
-    is split unless ``min_rows`` says otherwise.
+    is split unless ``min_rows`` says otherwise. Also returns whether any group was split; when
+    none was, callers use plain per-group windows (each bounded by ``min_rows``) and no offsets.
     """
     g = _as_list(group_cols)
     nb = n_buckets or default_buckets(df.sparkSession)
@@ -121,15 +129,15 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
     src = df if split_source is None else split_source
     if not g:
         if min_rows and src.count() <= min_rows:
-            return df.withColumn(BUCKET, F.lit(0))
+            return df.withColumn(BUCKET, F.lit(0)), False
         row = src.agg(F.percentile_approx(v, _probs(nb), accuracy).alias("s")).first()
         pts = sorted({float(x) for x in (row["s"] or []) if x is not None})
-        return df.withColumn(BUCKET, _case_tree(v, pts))
+        return df.withColumn(BUCKET, _case_tree(v, pts)), True
     # first a cheap count per group; quantile summaries only for the groups that need splitting
     big = src.groupBy(*g).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > F.lit(min_rows)).drop("_cnt")
     few = big.limit(MAX_LITERAL_GROUPS + 1).collect()
     if not few:
-        return df.withColumn(BUCKET, F.lit(0))
+        return df.withColumn(BUCKET, F.lit(0)), False
 
     def summaries(rows):
         return rows.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
@@ -150,14 +158,14 @@ def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int
         for r in summaries(src.where(wanted)).collect():
             tree = _case_tree(v, sorted({float(x) for x in (r["_splits"] or []) if x is not None}))
             expr = F.when(key_of(r), tree) if expr is None else expr.when(key_of(r), tree)
-        return df.withColumn(BUCKET, expr.otherwise(F.lit(0)) if expr is not None else F.lit(0))
+        return df.withColumn(BUCKET, expr.otherwise(F.lit(0)) if expr is not None else F.lit(0)), True
     pinned = summaries(src.join(big, g, "left_semi")).checkpoint()
     return (
         df.join(pinned, g, "left")
         .withColumn(BUCKET, F.when(F.col("_splits").isNull(), F.lit(0))
                     .otherwise(_array_tree(v, F.col("_splits"), 0, nb - 1)))
         .drop("_splits")
-    )
+    ), True
 
 
 def _offsets(bdf: DataFrame, g: list[str], sums: dict[str, Column]) -> DataFrame:
@@ -185,7 +193,15 @@ def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], gr
     """
     g = _as_list(group_cols)
     ws = list(weight_cols)
-    b = with_buckets(vc, value_col, g, n_buckets, split_source=split_source)
+    b, split = _bucketize(vc, value_col, g, n_buckets, split_source=split_source)
+    if not split:  # every group within the row bound: one window per group, no offsets
+        b = b.drop(BUCKET)
+        win = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*g)
+        for w in ws:
+            b = b.withColumns({f"{w}_upto": F.sum(w).over(win), f"{w}_total": F.sum(w).over(whole)})
+            b = b.withColumn(f"{w}_before", F.col(f"{w}_upto") - F.col(w))
+        return b, vc.groupBy(*g).agg(*[F.sum(w).alias(f"{w}_total") for w in ws])
     off = _offsets(b, g, {w: F.sum(w) for w in ws})
     if not g:
         off = F.broadcast(off)  # at most n_buckets rows
@@ -210,7 +226,12 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
     """
     g = _as_list(group_cols)
     order = list(order_cols)
-    b = with_buckets(df, order[0], g, n_buckets)
+    b, split = _bucketize(df, order[0], g, n_buckets)
+    if not split:  # every group within the row bound: a plain row number per group
+        out = b.drop(BUCKET).withColumn(rank_col, F.row_number().over(Window.partitionBy(*g).orderBy(*order)))
+        if total_col:
+            out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy(*g)))
+        return out
     off = _offsets(b, g, {"n": F.count(F.lit(1))})
     if not g:
         off = F.broadcast(off)
@@ -226,6 +247,8 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
 def next_value(rows: DataFrame, value_col: str, group_cols=None, out_col: str = "_next") -> DataFrame:
     """For rows carrying ``_bucket`` from :func:`running_totals`, the next larger distinct value."""
     g = _as_list(group_cols)
+    if BUCKET not in rows.columns:  # rows of unsplit groups: one bounded window per group
+        return rows.withColumn(out_col, F.lead(value_col).over(Window.partitionBy(*g).orderBy(value_col)))
     mins = rows.groupBy(*g, BUCKET).agg(F.min(value_col).alias("_bmin"))
     wb = Window.partitionBy(*g).orderBy(BUCKET)
     nxt = mins.select(*g, BUCKET, F.lead("_bmin").over(wb).alias("_first_next_bucket"))
