@@ -248,8 +248,8 @@ def chisquare_test(long: DataFrame, threshold: float | None = None) -> DataFrame
 def z_test(long: DataFrame, threshold: float | None = None) -> DataFrame:
     """Two-proportion z test on the share of the largest category (binary features)."""
     s = _category_shares(long)
-    top = s.groupBy("feature").agg(F.max("value").alias("_top"))
-    j = s.join(top, "feature", "inner").where(F.col("value") == F.col("_top"))
+    # binary features: at most two category rows per feature, so a window over them is tiny
+    j = s.withColumn("_top", F.max("value").over(Window.partitionBy("feature"))).where(F.col("value") == F.col("_top"))
     pooled = (F.col("ref_n") + F.col("cur_n")) / (F.col("ref_total") + F.col("cur_total"))
     se = F.sqrt(pooled * (1 - pooled) * (1 / F.col("ref_total") + 1 / F.col("cur_total")))
     z = F.try_divide(F.col("p") - F.col("q"), se)
