@@ -28,10 +28,12 @@ def test_membership_pushed(spark, sf_small):
     assert "PushedFilters" in plan and "In(c_nationkey" in plan
 
 
-def test_no_cartesian_products_anywhere(spark, sf_small):
-    """No registered query plans a cross product (streams excluded: they run when built)."""
+def test_no_cartesian_products_or_sort_aggregates_anywhere(spark, sf_small):
+    """No registered query plans a cross product, and every aggregate is a hash aggregate
+    (streams excluded: they run when built)."""
     for name, fn in Q.items():
         if name.startswith("stream_"):
             continue
         plan = _plan(fn(spark, sf_small))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        assert "SortAggregate" not in plan, name
