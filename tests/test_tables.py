@@ -177,3 +177,30 @@ def test_bucketed_history_reads_without_shuffle(spark, sf_small):
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert latest.count() == history.latest_per_series(rows, domain.AS_OF, 730, 2).count()
+
+
+def test_reconcile_actions_ignore_keyless_rows(spark):
+    from tidemark.operators import alerts
+
+    desired = spark.createDataFrame([("a", 1), ("b", 2)], "intent string, x int")
+    existing = spark.createDataFrame([("b", 9), ("c", 3), (None, 4)], "intent string, x int")
+    got = {r["intent"]: r["action"] for r in alerts.reconcile(desired, existing).collect()}
+    assert got == {"a": "create", "b": "update", "c": "delete"}
+
+
+def test_metric_points_types(spark):
+    row = catalog.metrics_row(spark, "m", 3, dt.datetime(2024, 2, 1, 9), {"accuracy": 0.8, "n": 10,
+                                                                       "performance_alert": True, "note": "x"})
+    pts = {r["metric"]: r for r in registry.metric_points(row, "p", "loc", "task").collect()}
+    assert pts["custom.metrics/accuracy"]["double_value"] == 0.8
+    assert pts["custom.metrics/n"]["double_value"] == 10.0
+    assert pts["custom.metrics/performance_alert"]["bool_value"] is True
+    assert "custom.metrics/note" not in pts  # other types are not metrics
+
+
+def test_set_default_chosen_version(spark):
+    reg = spark.createDataFrame([("m", 1, "p1", True), ("m", 2, "p2", False), ("k", 1, "q1", True)],
+                                "model string, version int, path string, is_default boolean")
+    out = registry.set_default(reg, spark.createDataFrame([("m", 2)], "model string, version int"))
+    got = {(r["model"], r["version"]): r["is_default"] for r in out.collect()}
+    assert got == {("m", 1): False, ("m", 2): True, ("k", 1): True}

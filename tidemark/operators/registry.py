@@ -80,8 +80,8 @@ def register_versions(registry: DataFrame, uploads: DataFrame) -> DataFrame:
 
 
 def set_default(registry: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
-    """Mark one version per model as default: the chosen ``(model, version)`` rows, or the latest
-    version. The previous default loses the flag. A chosen version absent from the registry raises,
+    """Mark one version per model as default: the chosen ``(model, version)`` rows (other models
+    keep their flags), or the latest version of every model. The previous default loses the flag. A chosen version absent from the registry raises,
     and so does an empty registry (reads at most one row to check)."""
     if registry.isEmpty():
         raise LookupError("no model versions to label")
@@ -95,9 +95,11 @@ def set_default(registry: DataFrame, chosen: DataFrame | None = None) -> DataFra
         pick = pick.join(known.select("model", F.lit(True).alias("_unknown")), "model", "left").withColumn(
             "_pick", F.when(F.assert_true(F.col("_unknown").isNull(), F.lit("unknown model version")).isNull(),
                             F.col("_pick"))).drop("_unknown")
+    # models without a chosen version keep their flags
     return (
         registry.join(pick, "model", "left")
-        .withColumn("is_default", F.coalesce(F.col("version") == F.col("_pick"), F.lit(False)))
+        .withColumn("is_default", F.when(F.col("_pick").isNull(), F.coalesce(F.col("is_default"), F.lit(False)))
+                    .otherwise(F.col("version") == F.col("_pick")))
         .drop("_pick")
     )
 
