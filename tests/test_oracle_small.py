@@ -32,3 +32,12 @@ def test_entry(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and "performance_alert" in df.columns
+
+
+@pytest.mark.parametrize("sf,accuracy,precision", [("sf0.01", 0.549128, 0.541048), ("sf0.001", 0.508621, 0.577453)])
+def test_flagship_matches_surveyed_values(spark, sf, accuracy, precision):
+    """Values probed independently when the build was planned (accuracy, weighted precision, alert)."""
+    r = QUERIES["latest_prediction_quality"](spark, f"/root/testdata/{sf}").first()
+    assert r["accuracy"] == pytest.approx(accuracy, abs=1e-6)
+    assert r["precision_weighted"] == pytest.approx(precision, abs=1e-6)
+    assert r["performance_alert"] is True
