@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import secrets
+from . import exact_dedup, secrets, sharding
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -25,3 +26,31 @@ def register(name: str, sql: str | None = None):
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, and weak parts linked to their complements."""
     return secrets.span_digest(secrets.link_credentials(table(spark, sf_dir, "documents")))
+
+
+SQL_COPIES = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm
+  FROM documents),
+s AS (SELECT doc_id, t, sha256(norm) AS text_sha256 FROM d)
+SELECT doc_id,
+       first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(t) DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id = first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(t) DESC, doc_id) AS kept,
+       text_sha256
+FROM s"""
+
+
+@register("op7_exact_dedup", SQL_COPIES)
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies among all documents, by streaming state keyed on the digest of the text."""
+    return exact_dedup.copies_report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes, range-partitioned by sampled splitters."""
+    placed = sharding.shard_records(table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
