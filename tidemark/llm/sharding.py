@@ -84,7 +84,8 @@ def shard_records(df: DataFrame, n_shards: int, id_col: str = "doc_id", text_col
     # a record larger than a step enters as often as it is drawn; the sample has a bounded number of entries
     points = drawn.select(F.explode(F.array_repeat(key_struct(F.col("h"), F.col("g")), F.col("times"))).alias("k"))
     bounds = points.agg(quantile_bounds(F.collect_list("k"), F.lit(n_ranges)).alias("b"))
-    ranged = rec.withColumn("rng", bisect(bounds.scalar(), key_struct(F.col("h"), F.col("g"))))
+    ranged = (rec.withColumn("cuts", bounds.scalar())
+              .withColumn("rng", bisect(F.col("cuts"), key_struct(F.col("h"), F.col("g")))).drop("cuts"))
 
     share_b, share_n = total.b / n_ranges, total.n / n_ranges
     full = ranged.groupBy("rng").agg(F.sum("size").alias("rb"), F.count(F.lit(1)).alias("rn"))
