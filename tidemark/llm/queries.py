@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import exact_dedup, secrets, sharding
+from . import exact_dedup, mixing, secrets, sharding
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -54,3 +54,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_records(table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' target weights: words that the mix takes of each."""
+    _, decisions = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return decisions.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
