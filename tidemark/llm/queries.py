@@ -7,9 +7,19 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import exact_dedup, mixing, secrets, sharding
+from . import exact_dedup, mixing, packing, secrets, sharding
 
 QUERIES: dict = {}
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the public tokenizer's file lies (the same place on every machine)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 ORACLE_SQL: dict = {}
 
 
@@ -61,3 +71,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target weights: words that the mix takes of each."""
     _, decisions = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return decisions.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@register("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in windows of 1024, packed by minimum bin slack."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
