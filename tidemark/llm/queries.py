@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import exact_dedup, mixing, packing, secrets, sharding
+from . import exact_dedup, mixing, packing, secrets, sharding, toxicity
+from .common import id_remainder
 
 QUERIES: dict = {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -77,3 +78,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in windows of 1024, packed by minimum bin slack."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by compression distance, learned from the rows not held out."""
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
