@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import exact_dedup, mixing, packing, secrets, sharding, toxicity
+from . import ann, exact_dedup, mixing, packing, secrets, sharding, toxicity
 from .common import id_remainder
 
 QUERIES: dict = {}
@@ -86,3 +86,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op2_ann")
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one, by learned partitions and exact reranking."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
