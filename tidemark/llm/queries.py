@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import ann, exact_dedup, mixing, packing, secrets, sharding, toxicity
+from . import ann, exact_dedup, hmm, mixing, packing, secrets, sharding, toxicity
 from .common import id_remainder
 
 QUERIES: dict = {}
@@ -92,3 +92,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every hundredth one, by learned partitions and exact reranking."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
+@register("op1_hmm")
+def op1_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a hidden Markov model, and under smoothed word counts."""
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
