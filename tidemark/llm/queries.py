@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import ann, exact_dedup, hmm, mixing, packing, secrets, sharding, toxicity
+from . import ann, exact_dedup, hmm, jaccard, mixing, packing, secrets, sharding, toxicity
 from .common import id_remainder
 
 QUERIES: dict = {}
@@ -98,3 +98,10 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under a hidden Markov model, and under smoothed word counts."""
     return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
+@register("op4_jaccard")
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles agree to three quarters."""
+    groups = jaccard.group_documents(table(spark, sf_dir, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
