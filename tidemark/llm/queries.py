@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import ann, exact_dedup, hmm, jaccard, mixing, packing, secrets, sharding, toxicity
+from . import ann, exact_dedup, hmm, jaccard, mixing, packing, repeats, secrets, sharding, toxicity
 from .common import id_remainder
 
 QUERIES: dict = {}
@@ -105,3 +105,10 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles agree to three quarters."""
     groups = jaccard.group_documents(table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@register("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 400-byte strings that occur elsewhere."""
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
