@@ -14,6 +14,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -24,31 +25,38 @@ from pyspark.sql import DataFrame
 from .common import col, text_or_empty, worker_cache
 
 POOL = 8192          # remainders held before they are packed
-CACHE_ENTRIES = 400_000  # chunks whose ids a worker remembers
-CHUNK = r"\s*\S+|\s+"  # ids of a text are those of its chunks: no token reaches from a letter into white space
+CACHE_ENTRIES = 600_000  # chunks whose ids a worker remembers
+# Ids of a text are those of its chunks. No token reaches from a character into white space after it, nor from a
+# letter into a character that is none; the second cut is made in texts of plain letters only, where both are clear.
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+CHUNK = r"\s*\S+|\s+"
+PLAIN_CHUNK = rf"\s*[^\s{LETTER}]*[{LETTER}]+|\s*[^\s{LETTER}]+|\s+"
+SPECIAL = "<|"  # texts that may hold the text of a special token keep their words whole
+UNPLAIN = rf"[^\x00-\x7f{LETTER}]"
 
 
 class ChunkEncoder:
     """Ids of a text as little-endian 32-bit bytes; remembers the ids of chunks (white space and a word)."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = re.compile(CHUNK).findall
+        self.find, self.find_plain = re.compile(CHUNK).findall, re.compile(PLAIN_CHUNK).findall
+        self.unplain = re.compile(UNPLAIN).search
         self.known: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
-        chunks = self.find(text)
+        chunks = self.find(text) if SPECIAL in text or self.unplain(text) else self.find_plain(text)
         ids = list(map(self.known.get, chunks))
         if None in ids:
             new = list({c for c, i in zip(chunks, ids) if i is None})
             coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
             fresh = {c: b"".join([i.to_bytes(4, "little") for i in e.ids]) for c, e in zip(new, coded)}
             ids = [fresh[c] if i is None else i for c, i in zip(chunks, ids)]
-            if len(self.known) + len(fresh) > CACHE_ENTRIES:
-                self.known.clear()
-            self.known.update(fresh)
+            if len(self.known) < CACHE_ENTRIES:
+                self.known.update(fresh)
         return b"".join(ids)
 
 
