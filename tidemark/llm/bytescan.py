@@ -72,7 +72,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         power = np.full(len(rest), STEP)
         power[0] = 1
         power = np.multiply.accumulate(power)
-        out[i] = out[i] * (power[-1] * STEP) + (rest * power[::-1]).sum(dtype=np.uint64)
+        out[i:i + 1] = out[i:i + 1] * (power[-1:] * STEP) + (rest * power[::-1]).sum(dtype=np.uint64, keepdims=True)
     return mixed(out ^ (size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 

@@ -40,7 +40,8 @@ MIN_DOCS = 3                                # toxic documents that a sample must
 SCORES = (3.0, 5.0, 8.0, 12.0)              # least standard scores to choose from
 MARGINS = (1, 2, 3, 4)                      # least differences of a hit to choose from
 SAMPLES = 40_000                            # ordinary windows that train the ordinary dictionary
-LEVEL = 12
+LEVEL = 15
+PAD = b"\n" * 24                            # ends a window: the coder looks for no matches in its last bytes
 LONGEST = 4096                              # bytes of a window at most; longer ones are cut into several
 
 
@@ -53,7 +54,7 @@ def windows(text: str) -> list[bytes]:
     out = []
     for i in range(0, len(found), SPAN):
         raw = f" {' '.join(found[i:i + SPAN])} ".encode("utf-8", "surrogatepass")
-        out.extend(raw[j:j + LONGEST] for j in range(0, len(raw), LONGEST))
+        out.extend(raw[j:j + LONGEST] + PAD for j in range(0, len(raw), LONGEST))
     return out
 
 
