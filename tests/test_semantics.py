@@ -153,10 +153,12 @@ def test_fill_requires_value_or_method(spark):
         clean.fill_missing(df, method="max")
 
 
-def test_chi2_sf_and_ks_pvalue():
-    assert drift._chi2_sf(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
-    assert drift._chi2_sf(18.307038053275146, 10) == pytest.approx(0.05, abs=1e-9)
-    assert drift._chi2_sf(0.0, 3) == 1.0
+def test_chi2_sf_and_ks_pvalue(spark):
+    sf = lambda x, k: spark.range(1).select(drift.chi2_pvalue(F.lit(x), F.lit(k))).first()[0]
+    assert sf(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
+    assert sf(18.307038053275146, 10) == pytest.approx(0.05, abs=1e-9)
+    assert sf(19.67513757268249, 11) == pytest.approx(0.05, abs=1e-9)
+    assert sf(0.0, 3) == 1.0 and sf(5000.0, 3) == pytest.approx(0.0, abs=1e-12)
 
 
 def test_ks_pvalue_known_point(spark):

@@ -33,7 +33,7 @@ def test_sql_with_casts_and_args(spark):
 
 
 def test_sql_file_drops_bom():
-    text = catalog.read_sql_file(os.path.join(catalog.resource_folder(), "sample_query.sql"))
+    text = catalog.query_text("sample_query.sql")
     assert text.startswith("SELECT")
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import log1p_safe, sqrt_safe
-from ..plans.ordered import exact_quantiles, global_rank
+from ..plans.ordered import exact_quantiles, global_rank, null_safe_join, quantiles_of_counts
+from ..session import pin
 from .profile import numeric_columns
 
 # ------------------------------------------------------------------ missing values
@@ -83,7 +84,15 @@ def column_stats(df: DataFrame, cols: Iterable[str], how: str) -> dict:
     raise ValueError(f"unknown statistic {how}")
 
 
-def _fill_with(df: DataFrame, values: dict) -> DataFrame:
+def _with_gaps(df: DataFrame, cols) -> set[str]:
+    """The whole-number columns among ``cols`` that have a null (one row from one aggregate)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    whole = [c for c in cols if isinstance(types[c], T.IntegralType)]
+    row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in whole]).first() if whole else {}
+    return {c for c in whole if row[c]}
+
+
+def _fill_with(df: DataFrame, values: dict, widen=()) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for f in df.schema.fields:
@@ -93,7 +102,9 @@ def _fill_with(df: DataFrame, values: dict) -> DataFrame:
             missing = x.isNull()
             if isinstance(types[c], (T.DoubleType, T.FloatType)):
                 missing = missing | F.isnan(x)
-            exprs.append(F.when(missing, F.lit(values[c]).cast(types[c])).otherwise(x).alias(c))
+            # a mean or median of whole numbers isn't one: a filled column becomes double, as in pandas
+            kind = T.DoubleType() if c in widen else types[c]
+            exprs.append(F.when(missing, F.lit(values[c]).cast(kind)).otherwise(x.cast(kind)).alias(c))
         else:
             exprs.append(F.col(c))
     return df.select(*exprs)
@@ -107,12 +118,13 @@ def fill_missing(df: DataFrame, value=None, method: str | None = None) -> DataFr
         cols = [f.name for f in df.schema.fields if _compatible(value, f.dataType)]
         return _fill_with(df, {c: value for c in cols})
     if method is None:
-        raise ValueError("Specify either a value or a method.")
+        raise ValueError("fill_missing needs value= or method=")
     if method in ("mean", "median"):
-        return _fill_with(df, column_stats(df, numeric_columns(df), method))
+        cols = numeric_columns(df)
+        return _fill_with(df, column_stats(df, cols, method), _with_gaps(df, cols))
     if method == "mode":
         return _fill_with(df, column_stats(df, df.columns, "mode"))
-    raise ValueError("Invalid method. Choose 'mean', 'median', or 'mode'.")
+    raise ValueError(f"fill_missing knows mean, median and mode, not {method!r}")
 
 
 def _compatible(value, dtype) -> bool:
@@ -128,7 +140,8 @@ def _compatible(value, dtype) -> bool:
 def impute(df: DataFrame, strategy: str = "mean", fill_value=None) -> DataFrame:
     """Imputer strategies: mean, median, most_frequent, constant (0 / 'missing_value' by default)."""
     if strategy in ("mean", "median"):
-        return _fill_with(df, column_stats(df, numeric_columns(df), strategy))
+        cols = numeric_columns(df)
+        return _fill_with(df, column_stats(df, cols, strategy), _with_gaps(df, cols))
     if strategy == "most_frequent":
         return _fill_with(df, column_stats(df, df.columns, "mode"))
     if strategy == "constant":
@@ -179,7 +192,7 @@ def interpolate_linear(df: DataFrame, value_col: str, order_cols, series_cols=No
         F.last("_last", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_prev"),
         F.first("_first", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_carry_next"),
     )
-    j = ranked.join(carry, s + ["_chunk"], "inner")
+    j = null_safe_join(ranked, carry, s + ["_chunk"])
     w = Window.partitionBy(*s, "_chunk").orderBy("_pos")
     prev = F.coalesce(F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
                       F.col("_carry_prev"))
@@ -228,24 +241,31 @@ def missing_dates(df: DataFrame, date_col: str, group_col: str | None = None) ->
 # ------------------------------------------------------------------ outliers
 
 
-def _whole_stats(df: DataFrame, col: str) -> tuple[Column, Column]:
+def _number(col: str) -> Column:
+    """The column as double, NaN as null."""
     x = F.col(col).cast("double")
-    return df.select(F.avg(x)).scalar(), df.select(F.stddev_pop(x)).scalar()
+    return F.when(~F.isnan(x), x)
+
+
+def _whole_stats(df: DataFrame, col: str) -> tuple[Column, Column]:
+    x = _number(col)
+    both = df.select(F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))).scalar()
+    return both["mean"], both["std"]
 
 
 def _group_stats(df: DataFrame, col: str, group_col: str) -> DataFrame:
-    x = F.col(col).cast("double")
+    x = _number(col)
     return df.groupBy(group_col).agg(F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_std"))
 
 
 def with_zscore(df: DataFrame, col: str, group_col: str | None = None, out: str = "zscore") -> DataFrame:
-    """z = (x - mean) / std_pop, whole table or per group; zero std gives null."""
-    x = F.col(col).cast("double")
+    """z = (x - mean) / std_pop, whole table or per group (null is a group); zero std, null and NaN give null."""
+    x = _number(col)
     if group_col is None:
         mean, std = _whole_stats(df, col)
         return df.withColumn(out, F.try_divide(x - mean, std))
     st = _group_stats(df, col, group_col)
-    return df.join(st, group_col, "left").withColumn(out, F.try_divide(x - F.col("_mean"), F.col("_std"))) \
+    return null_safe_join(df, st, [group_col], "left").withColumn(out, F.try_divide(x - F.col("_mean"), F.col("_std"))) \
         .drop("_mean", "_std")
 
 
@@ -258,37 +278,38 @@ def modified_zscore_outliers(df: DataFrame, col: str, group_col: str | None = No
                              threshold: float = 3.0) -> DataFrame:
     """Modified z = 0.6745 (x - median) / MAD; rows above ``threshold`` in absolute value."""
     # Fixed value: 0.6745, the normal quantile factor of the published definition.
-    x = F.col(col).cast("double")
     g = [group_col] if group_col else []
-    base = df.withColumn("_x", x)
-    med = exact_quantiles(base, "_x", {"_med": 0.5}, g)
+    # both medians from the number of rows per distinct value, counted once
+    vc = pin(df.select(*g, _number(col).alias("_x")).where(F.col("_x").isNotNull()).groupBy(*g, "_x")
+             .agg(F.count(F.lit(1)).alias("_n")), "counts")
+    med = pin(quantiles_of_counts(vc, "_x", "_n", {"_med": 0.5}, g), "median")
     if g:
-        j = base.join(med, g, "left")
+        dev = null_safe_join(vc, med, g)
     else:
-        j = base.withColumn("_med", med.select("_med").scalar())
-    dev = j.withColumn("_dev", F.abs(F.col("_x") - F.col("_med")))
-    mad = exact_quantiles(dev, "_dev", {"_mad": 0.5}, g)
+        dev = vc.withColumn("_med", med.select("_med").scalar())
+    dev = dev.groupBy(*g, F.abs(F.col("_x") - F.col("_med")).alias("_dev")).agg(F.sum("_n").alias("_n"))
+    mad = quantiles_of_counts(dev, "_dev", "_n", {"_mad": 0.5}, g)
     if g:
-        k = dev.join(mad, g, "left")
+        k = null_safe_join(df, null_safe_join(med, mad, g), g, "left")
     else:
-        k = dev.withColumn("_mad", mad.select("_mad").scalar())
-    mz = F.try_divide(F.lit(0.6745) * (F.col("_x") - F.col("_med")), F.col("_mad"))
+        k = df.withColumns({"_med": med.select("_med").scalar(), "_mad": mad.select("_mad").scalar()})
+    mz = F.try_divide(F.lit(0.6745) * (_number(col) - F.col("_med")), F.col("_mad"))
     return k.withColumn("modified_zscore", mz).where(F.abs(F.col("modified_zscore")) > F.lit(threshold)) \
-        .drop("_x", "_med", "_dev", "_mad")
+        .drop("_med", "_mad")
 
 
 def remove_outliers(df: DataFrame, col: str, method: str = "iqr", multiplier: float = 1.5) -> DataFrame:
-    """iqr: keep q1 - m*iqr <= x <= q3 + m*iqr; std: keep abs(z) <= m. Nulls are dropped by both."""
-    x = F.col(col).cast("double")
+    """iqr: keep q1 - m*iqr <= x <= q3 + m*iqr; std: keep abs(z) <= m. Nulls and NaN are dropped by both."""
+    x = _number(col)
     if method == "iqr":
-        q = exact_quantiles(df.withColumn("_x", x), "_x", {"q1": 0.25, "q3": 0.75})
-        q1, q3 = q.select("q1").scalar(), q.select("q3").scalar()
+        both = exact_quantiles(df.select(x.alias("_x")), "_x", {"q1": 0.25, "q3": 0.75}).select(F.struct("q1", "q3")).scalar()
+        q1, q3 = both["q1"], both["q3"]
         iqr = q3 - q1
         return df.where((x >= q1 - multiplier * iqr) & (x <= q3 + multiplier * iqr))
     if method == "std":
         mean, std = _whole_stats(df, col)
         return df.where(F.abs(F.try_divide(x - mean, std)) <= F.lit(multiplier))
-    raise ValueError("Invalid method. Choose 'iqr' or 'std'.")
+    raise ValueError(f"remove_outliers knows iqr and std, not {method!r}")
 
 
 def transform_outliers(df: DataFrame, col: str, method: str = "log") -> DataFrame:
@@ -296,7 +317,7 @@ def transform_outliers(df: DataFrame, col: str, method: str = "log") -> DataFram
         return df.withColumn(col, log1p_safe(col))
     if method == "sqrt":
         return df.withColumn(col, sqrt_safe(col))
-    raise ValueError("Invalid method. Choose 'log' or 'sqrt'.")
+    raise ValueError(f"transform_outliers knows log and sqrt, not {method!r}")
 
 
 def impute_outliers(df: DataFrame, col: str, method: str = "mean") -> DataFrame:
@@ -305,14 +326,14 @@ def impute_outliers(df: DataFrame, col: str, method: str = "mean") -> DataFrame:
     x = F.col(col).cast("double")
     if method == "mean":
         mean, std = _whole_stats(df, col)
-        return df.withColumn(col, F.when(F.abs(x - mean) > 2 * std, mean).otherwise(x))
+        return df.withColumn(col, F.when(F.abs(_number(col) - mean) > 2 * std, mean).otherwise(x))
     if method == "median":
         q = exact_quantiles(df.withColumn("_x", x), "_x", {"m": 0.5})
         med = q.select("m").scalar()
         nulls = df.select(F.count(F.when(x.isNull() | F.isnan(x), 1))).scalar()
         hit = (nulls == 0) & (F.abs(x - med) > 2 * med)
         return df.withColumn(col, F.when(hit, med).otherwise(x))
-    raise ValueError("Invalid method. Choose 'mean' or 'median'.")
+    raise ValueError(f"impute_outliers knows mean and median, not {method!r}")
 
 
 # ------------------------------------------------------------------ hooks and text

@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import ks_pvalue, std_normal_cdf
 from ..plans.ordered import next_value, running_totals
+from .profile import count_statistics
 
 # Default thresholds and bin counts of the drift tests.
 DEFAULT_THRESHOLDS = {
@@ -31,8 +31,7 @@ P_VALUE_TESTS = ("ks", "chisquare", "z")  # drift when p < threshold; the others
 PSI_EMPTY_SHARE = 0.0001
 N_BINS = 30
 WASSERSTEIN_MIN_STD = 0.001
-SMALL_REFERENCE_ROWS = 1000
-MAX_CATEGORICAL_UNIQUES = 5
+DEFAULT_TESTS = {"num": "wasserstein", "cat": "jensenshannon"}
 DATASET_DRIFT_SHARE = 0.5
 
 REPORT_COLUMNS = ["feature", "stattest", "drift_score", "threshold", "drift_detected"]
@@ -73,7 +72,8 @@ def _with_totals(counts: DataFrame, by: str = "feature") -> DataFrame:
 
 def _report(df: DataFrame, test: str, score: Column, threshold: float | None) -> DataFrame:
     thr = DEFAULT_THRESHOLDS[test] if threshold is None else float(threshold)
-    detected = (score < F.lit(thr)) if test in P_VALUE_TESTS else (score >= F.lit(thr))
+    # a side without rows has no score and no drift
+    detected = F.coalesce((score < F.lit(thr)) if test in P_VALUE_TESTS else (score >= F.lit(thr)), F.lit(False))
     return df.select("feature", F.lit(test).alias("stattest"), score.alias("drift_score"),
                      F.lit(thr).alias("threshold"), detected.alias("drift_detected"))
 
@@ -84,9 +84,9 @@ def _report(df: DataFrame, test: str, score: Column, threshold: float | None) ->
 def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """Two-sample KS per feature: D = max |F_ref - F_cur|, asymptotic p-value."""
     vc = _side_counts(long, ["feature", "value"])
-    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
+    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
     d = rows.groupBy("feature").agg(
-        F.max(F.abs(F.col("ref_n_upto") / F.col("ref_n_total") - F.col("cur_n_upto") / F.col("cur_n_total")))
+        F.max(F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total")))
         .alias("d"),
         F.first("ref_n_total").alias("n"), F.first("cur_n_total").alias("m"))
     return _report(d, "ks", ks_pvalue(F.col("d"), F.col("n"), F.col("m")), threshold)
@@ -94,9 +94,9 @@ def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | No
 
 def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
     vc = _side_counts(long, ["feature", "value"])
-    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
+    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
     return rows.groupBy("feature").agg(
-        F.max(F.abs(F.col("ref_n_upto") / F.col("ref_n_total") - F.col("cur_n_upto") / F.col("cur_n_total")))
+        F.max(F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total")))
         .alias("ks_d"),
         F.first("ref_n_total").alias("ref_rows"), F.first("cur_n_total").alias("cur_rows"))
 
@@ -104,12 +104,12 @@ def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
 def wasserstein_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """W1 distance between the empirical distributions, divided by max(std_pop(reference), 0.001)."""
     vc = _side_counts(long, ["feature", "value"])
-    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, split_source=long)
+    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
     rows = next_value(rows, "value", ["feature"])
     gap = F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))
-    cdf_gap = F.abs(F.col("ref_n_upto") / F.col("ref_n_total") - F.col("cur_n_upto") / F.col("cur_n_total"))
+    cdf_gap = F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total"))
     w = rows.groupBy("feature").agg(F.sum(cdf_gap * gap).alias("w"))
-    sd = long.where(F.col("side") == 0).groupBy("feature").agg(F.stddev_pop("value").alias("sd"))
+    sd = count_statistics(rows, ["feature"], "value", "ref_n").select("feature", F.col("std_pop").alias("sd"))
     j = w.join(sd, "feature", "inner")
     score = F.col("w") / F.greatest(F.col("sd"), F.lit(WASSERSTEIN_MIN_STD))
     return _report(j, "wasserstein", score, threshold)
@@ -140,8 +140,8 @@ def _binned_shares(long: DataFrame, n_bins: int, range_side: int | None) -> Data
         counts.select("feature", "bin", "ref_n", "cur_n",
                       F.sum("ref_n").over(w).alias("ref_total"), F.sum("cur_n").over(w).alias("cur_total"))
         .where(F.col("bin").isNotNull())
-        .select("feature", "bin", (F.col("ref_n") / F.col("ref_total")).alias("p"),
-                (F.col("cur_n") / F.col("cur_total")).alias("q"))
+        .select("feature", "bin", F.try_divide("ref_n", "ref_total").alias("p"),
+                F.try_divide("cur_n", "cur_total").alias("q"))
     )
 
 
@@ -155,7 +155,9 @@ def _js(shares: DataFrame) -> DataFrame:
     m = (F.col("p") + F.col("q")) / 2
     kl_p = F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / m)).otherwise(F.lit(0.0))
     kl_q = F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / m)).otherwise(F.lit(0.0))
-    return shares.groupBy("feature").agg(F.sqrt(F.greatest((F.sum(kl_p) + F.sum(kl_q)) / 2, F.lit(0.0))).alias("score"))
+    known = F.bool_and(F.col("p").isNotNull() & F.col("q").isNotNull())
+    return shares.groupBy("feature").agg(
+        F.when(known, F.sqrt(F.greatest((F.sum(kl_p) + F.sum(kl_q)) / 2, F.lit(0.0)))).alias("score"))
 
 
 def psi_numeric(long: DataFrame, threshold: float | None = None, n_bins: int = N_BINS) -> DataFrame:
@@ -176,7 +178,7 @@ def jensenshannon_numeric(long: DataFrame, threshold: float | None = None, n_bin
 def _category_shares(long: DataFrame) -> DataFrame:
     c = _with_totals(_side_counts(long, ["feature", "value"]))
     return c.select("feature", "value", "ref_n", "cur_n", "ref_total", "cur_total",
-                    (F.col("ref_n") / F.col("ref_total")).alias("p"), (F.col("cur_n") / F.col("cur_total")).alias("q"))
+                    F.try_divide("ref_n", "ref_total").alias("p"), F.try_divide("cur_n", "cur_total").alias("q"))
 
 
 def psi_categorical(long: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -193,68 +195,59 @@ def chisquare_statistic(long: DataFrame) -> DataFrame:
     s = _category_shares(long).where(F.col("ref_n") > 0)
     e = F.col("p") * F.col("cur_total")
     return s.groupBy("feature").agg(
-        F.sum((F.col("cur_n") - e) * (F.col("cur_n") - e) / e).alias("chi2"),
+        F.sum(F.try_divide((F.col("cur_n") - e) * (F.col("cur_n") - e), e)).alias("chi2"),
         (F.count(F.lit(1)) - 1).alias("dof"))
 
 
-def _chi2_sf(x: float, k: float) -> float:
-    """Upper tail of the chi-square distribution: Q(k/2, x/2), regularized incomplete gamma."""
-    if x is None or k is None or k <= 0 or math.isnan(x):
-        return float("nan")
-    if x <= 0:
-        return 1.0
-    a, z = k / 2.0, x / 2.0
-    lg = math.lgamma(a)
-    if z < a + 1.0:  # series for P
-        term = total = 1.0 / a
-        ap = a
-        for _ in range(10000):
-            ap += 1.0
-            term *= z / ap
-            total += term
-            if abs(term) < abs(total) * 1e-15:
-                break
-        return max(0.0, 1.0 - total * math.exp(-z + a * math.log(z) - lg))
-    b = z + 1.0 - a  # continued fraction for Q (modified Lentz)
-    c = 1.0 / 1e-300
-    d = 1.0 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            break
-    return min(1.0, math.exp(-z + a * math.log(z) - lg) * h)
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_pvalue(x: pd.Series, k: pd.Series) -> pd.Series:
-    """Arrow-batched p-value of a chi-square statistic (applied to one row per feature)."""
-    return pd.Series([_chi2_sf(a, b) for a, b in zip(x.astype(float), k.astype(float))])
+def _erfc_sqrt(z: Column) -> Column:
+    """erfc(sqrt(z)) as one minus the series of the lower tail; its number of terms follows ``z`` (beyond 1000 the
+    tail is below the smallest double)."""
+    first = F.log(z) / 2 - z - F.lit(math.lgamma(1.5))
+    near = F.least(z, F.lit(1000.0))
+    steps = F.sequence(F.lit(1), F.ceil(near + 12 * F.sqrt(near) + 60).cast("int"))
+    lower = F.aggregate(
+        steps, F.struct(first.alias("t"), F.exp(first).alias("s")),
+        lambda a, n: F.struct((a["t"] + F.log(z) - F.log(n + 0.5)).alias("t"),
+                              (a["s"] + F.exp(a["t"] + F.log(z) - F.log(n + 0.5))).alias("s")))["s"]
+    return F.when(z > 1000, F.lit(0.0)).otherwise(1 - lower)
+
+
+def chi2_pvalue(x: Column, k: Column) -> Column:
+    """Upper tail of the chi-square distribution with ``k`` (whole) degrees of freedom: the finite series of the
+    regularised gamma function, its terms carried as logarithms. One term for every two degrees."""
+    z, half = x / 2, F.floor(k / 2).cast("int")
+    odd = k % 2 == 1
+    first = F.when(odd, F.lit(0.5 * math.log(4 / math.pi)) + F.log(z) / 2).otherwise(F.lit(0.0)) - z
+    shift = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    # the term of i over the one before: z / (i + shift)
+    steps = F.when(half > 1, F.sequence(F.lit(1), half - 1)).otherwise(F.array().cast("array<int>"))
+    series = F.aggregate(
+        steps, F.struct(first.alias("t"), F.exp(first).alias("s")),
+        lambda a, i: F.struct((a["t"] + F.log(z) - F.log(i + shift)).alias("t"),
+                              (a["s"] + F.exp(a["t"] + F.log(z) - F.log(i + shift))).alias("s")))["s"]
+    tail = F.when(odd, _erfc_sqrt(z)).otherwise(F.lit(0.0)) + F.when(half > 0, series).otherwise(F.lit(0.0))
+    return F.when((k <= 0) | x.isNull() | F.isnan(x), F.lit(float("nan"))).when(x <= 0, F.lit(1.0)) \
+        .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))
 
 
 def chisquare_test(long: DataFrame, threshold: float | None = None) -> DataFrame:
     st = chisquare_statistic(long)
-    return _report(st, "chisquare", chi2_pvalue(F.col("chi2"), F.col("dof")), threshold)
+    p = F.when(F.col("chi2").isNotNull(), chi2_pvalue(F.col("chi2"), F.col("dof")))
+    return _report(st, "chisquare", p, threshold)
 
 
 def z_test(long: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Two-proportion z test on the share of the largest category (binary features)."""
+    """Two-proportion z test on the share of the larger of two categories; more categories are an error."""
     s = _category_shares(long)
-    # binary features: at most two category rows per feature, so a window over them is tiny
-    j = s.withColumn("_top", F.max("value").over(Window.partitionBy("feature"))).where(F.col("value") == F.col("_top"))
-    pooled = (F.col("ref_n") + F.col("cur_n")) / (F.col("ref_total") + F.col("cur_total"))
-    se = F.sqrt(pooled * (1 - pooled) * (1 / F.col("ref_total") + 1 / F.col("cur_total")))
+    top = s.groupBy("feature").agg(F.max("value").alias("_top"), F.count(F.lit(1)).alias("_k"))  # one row per feature
+    j = s.join(F.broadcast(top), "feature", "inner").where(F.col("value") == F.col("_top"))
+    pooled = F.try_divide(F.col("ref_n") + F.col("cur_n"), F.col("ref_total") + F.col("cur_total"))
+    se = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("ref_total")) + F.try_divide(F.lit(1), F.col("cur_total"))))
     z = F.try_divide(F.col("p") - F.col("q"), se)
     p_value = F.when(z.isNull(), F.lit(1.0)).otherwise(2 * (1 - std_normal_cdf(F.abs(z))))
-    return _report(j, "z", p_value, threshold)
+    two = F.when(F.col("_k") > 2, F.raise_error(F.concat(F.lit("the z test needs a feature of two categories: "), F.col("feature"))).cast("double"))
+    empty = (F.col("ref_total") == 0) | (F.col("cur_total") == 0)
+    return _report(j, "z", two.when(empty, F.lit(None).cast("double")).otherwise(p_value), threshold)
 
 
 # ---------------------------------------------------------------------- reports
@@ -266,26 +259,16 @@ CATEGORICAL_TESTS = {"psi": psi_categorical, "jensenshannon": jensenshannon_cate
 
 
 def choose_tests(reference: DataFrame, features, numeric_hint: dict | None = None) -> dict:
-    """Automatic choice per feature from one aggregate (row count, distinct counts):
-    numeric with more than 5 values: KS for <= 1000 reference rows, else Wasserstein;
-    otherwise categorical: z for binary, chi-square for <= 1000 rows, else Jensen-Shannon."""
-    feats = list(features)
-    row = reference.agg(F.count(F.lit(1)).alias("\u0001n"),
-                        *[F.approx_count_distinct(c).alias(c) for c in feats]).first()
-    n = row["\u0001n"]
+    """The default test of each feature's kind: numeric by type unless ``numeric_hint`` says otherwise. Neither row
+    counts nor distinct counts play a part, so a job behaves alike at every size; other tests are named."""
     types = {f.name: f.dataType for f in reference.schema.fields}
     out = {}
-    for c in feats:
-        numeric = isinstance(types[c], T.NumericType) and not isinstance(types[c], T.BooleanType)
+    for c in features:
+        numeric = isinstance(types[c], T.NumericType)
         if numeric_hint and c in numeric_hint:
             numeric = numeric_hint[c]
-        uniq = row[c]
-        if numeric and uniq > MAX_CATEGORICAL_UNIQUES:
-            out[c] = ("num", "ks" if n <= SMALL_REFERENCE_ROWS else "wasserstein")
-        elif uniq <= 2:
-            out[c] = ("cat", "z" if n <= SMALL_REFERENCE_ROWS else "jensenshannon")
-        else:
-            out[c] = ("cat", "chisquare" if n <= SMALL_REFERENCE_ROWS else "jensenshannon")
+        kind = "num" if numeric else "cat"
+        out[c] = (kind, DEFAULT_TESTS[kind])
     return out
 
 
@@ -294,8 +277,8 @@ def drift_report(reference: DataFrame, current: DataFrame, numerical=(), categor
                  num_threshold: float | None = None, cat_threshold: float | None = None) -> DataFrame:
     """Per-feature drift rows ``(feature, stattest, drift_score, threshold, drift_detected)``.
 
-    With a test named per kind, it is used for all features of that kind; otherwise the automatic
-    choice applies.
+    With a test named per kind, it is used for all features of that kind; otherwise the default of the
+    kind applies. A feature without rows on one side has a null score or no row, and never drift.
     """
     plan = {}
     if num_stattest is None or cat_stattest is None:
@@ -333,3 +316,17 @@ def dataset_drift(report: DataFrame, share: float = DATASET_DRIFT_SHARE) -> Data
         (F.col("number_of_drifted_columns") / F.col("number_of_columns")).alias("share_of_drifted_columns"),
         (F.col("number_of_drifted_columns") / F.col("number_of_columns") >= F.lit(share)).alias("dataset_drift"),
     )
+
+
+def drift_metrics(report: DataFrame, features, share: float = DATASET_DRIFT_SHARE) -> DataFrame:
+    """One row with the keys of the monitoring table: drift_detected, drift_score (share of drifted columns),
+    number_of_drifted_columns, number_of_columns, and ``{col}__drift_score``, ``{col}__drift_detected``."""
+    one = lambda c, x: F.max(F.when(F.col("feature") == c, F.col(x)))
+    n, drifted = F.count(F.lit(1)), F.count(F.when(F.col("drift_detected"), 1))
+    wide = report.agg(n.alias("number_of_columns"), drifted.alias("number_of_drifted_columns"),
+                      *[one(c, "drift_score").alias(f"{c}__drift_score") for c in features],
+                      *[one(c, "drift_detected").alias(f"{c}__drift_detected") for c in features])
+    ratio = F.try_divide(F.col("number_of_drifted_columns"), F.col("number_of_columns"))
+    return wide.select(F.coalesce(ratio >= F.lit(share), F.lit(False)).alias("drift_detected"), ratio.alias("drift_score"),
+                       "number_of_drifted_columns", "number_of_columns",
+                       *[x for c in features for x in (f"{c}__drift_score", f"{c}__drift_detected")])

@@ -40,13 +40,12 @@ def to_history_rows(predictions: DataFrame, series_id: str | Column, timestamp:
 
 
 def latest_per_series(history: DataFrame, as_of, lookback_days: int | None, model_version=None,
-                      tiebreak: str | None = None, data_limit: int | None = None) -> DataFrame:
+                      tiebreak: str | None = None) -> DataFrame:
     """Per (series_id, timestamp), the prediction of the newest insert.
 
     Look-back is strict (``timestamp > as_of - lookback``). Ties on ``inserted_at`` are broken by
     ``tiebreak`` (largest wins) so the result is deterministic. ``max_by`` aggregates partially on
     the map side, so a series holding a large share of rows is collapsed before the shuffle.
-    ``data_limit`` is the optional load cap of the original job; queries leave it unset.
     """
     h = history
     if lookback_days is not None:
@@ -55,12 +54,9 @@ def latest_per_series(history: DataFrame, as_of, lookback_days: int | None, mode
     if model_version is not None:
         h = h.where(F.col("model_version") == F.lit(int(model_version)))
     order_key = _newest_first_key(h, "inserted_at", tiebreak)
-    out = h.groupBy("series_id", "timestamp").agg(
+    return h.groupBy("series_id", "timestamp").agg(
         F.max_by("prediction", order_key).alias("prediction")
     ).select("series_id", "prediction", "timestamp")
-    if data_limit is not None:
-        out = out.limit(int(data_limit))
-    return out
 
 
 # Packing (time, tie-break) into one DECIMAL(38, 0) keeps the max_by buffer fixed-width, so the

@@ -47,9 +47,11 @@ def positive_probability(scored: DataFrame, out: str = "proba") -> DataFrame:
     return scored.withColumn(out, vector_to_array("probability")[1])
 
 
-def batch_predictions(model: PipelineModel, df: DataFrame, series_id, as_of_date, model_version: int) -> DataFrame:
-    """Score a batch: prediction as int, date text, series id as text, model version."""
-    s = model.transform(df)
+def batch_predictions(model: PipelineModel, df: DataFrame, series_id, as_of_date, model_version: int,
+                      with_probability: bool = False) -> DataFrame:
+    """Score a batch: prediction as int, date text, series id as text, model version; optionally the class-1
+    probability of the same transform."""
+    s = positive_probability(model.transform(df))
     sid = F.col(series_id) if isinstance(series_id, str) else series_id
     keep = [c for c in df.columns]
     return s.select(
@@ -58,6 +60,7 @@ def batch_predictions(model: PipelineModel, df: DataFrame, series_id, as_of_date
         day_string(F.lit(as_of_date).cast("date")).alias("prediction_timestamp"),
         sid.cast("string").alias("series_id"),
         F.lit(int(model_version)).alias("model_version"),
+        *(["proba"] if with_probability else []),
     )
 
 

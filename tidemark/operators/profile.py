@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.ordered import exact_quantiles
+from ..plans.ordered import exact_quantiles, null_safe_join, present, quantiles_of_counts
+from ..session import pin
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -42,17 +43,28 @@ def long_values(df: DataFrame, cols=None, column_name: str = "column", value_nam
     return wide.unpivot([], cols, column_name, value_name)
 
 
+def count_statistics(vc: DataFrame, by, value: str = "value", n: str = "_n") -> DataFrame:
+    """Per group of ``by``: count, mean, std (sample), std_pop, min and max of values that occur ``n`` times each.
+    Nulls are skipped. The spread is taken around the mean in a second pass over the counts."""
+    by = list(by)
+    k = F.when(F.col(value).isNotNull(), F.col(n))
+    first = vc.groupBy(*by).agg(
+        F.coalesce(F.sum(k), F.lit(0)).alias("count"), F.try_divide(F.sum(F.col(value) * k), F.sum(k)).alias("mean"),
+        F.min(value).alias("min"), F.max(value).alias("max"))
+    centre = F.broadcast(first.select(*by, F.col("mean").alias("_mean")))  # one row per profiled column
+    d = F.col(value) - F.col("_mean")
+    spread_ = vc.join(centre, by, "inner").groupBy(*by).agg(F.sum(d * d * k).alias("_ss"))
+    return first.join(spread_, by, "inner").select(
+        *by, "count", "mean", F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)).alias("std"),
+        F.sqrt(F.try_divide(F.col("_ss"), F.col("count"))).alias("std_pop"), "min", "max")
+
+
 def describe(df: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
     """count, mean, sample std, min, exact 25/50/75 % (linear), max per numeric column."""
-    long = long_values(df, cols)
-    base = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = exact_quantiles(long, "value", QUARTILES, group_cols=["column"], n_buckets=n_buckets)
+    # the number of rows per (column, value), counted once; every statistic comes from it
+    vc = pin(long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n")), "counts")
+    base = count_statistics(vc, ["column"])
+    q = quantiles_of_counts(vc.where(F.col("value").isNotNull()), "value", "_n", QUARTILES, ["column"], n_buckets)
     return base.join(q, "column", "left").select(
         "column", "count", "mean", "std", "min", F.col("p25").alias("25%"), F.col("p50").alias("50%"),
         F.col("p75").alias("75%"), "max")
@@ -75,15 +87,15 @@ def null_percentage(df: DataFrame, cols=None) -> DataFrame:
 
 def central_values(df: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
     """Mean, median and mode per numeric column; among several modes the smallest."""
-    long = long_values(df, cols).where(F.col("value").isNotNull())
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = pin(long_values(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value")
+                 .agg(F.count(F.lit(1)).alias("n")), "counts")
     # highest count per column (one row per column, broadcast back), then the smallest value with it:
     # hash aggregates only, and no task ever holds all distinct values of a column
     top = counts.groupBy("column").agg(F.max("n").alias("_top"))
     mode = (counts.join(F.broadcast(top), "column", "inner").where(F.col("n") == F.col("_top"))
             .groupBy("column").agg(F.min("value").alias("mode")))
-    mean = long.groupBy("column").agg(F.avg("value").alias("mean"))
-    med = exact_quantiles(long, "value", {"median": 0.5}, ["column"], n_buckets)
+    mean = counts.groupBy("column").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    med = quantiles_of_counts(counts, "value", "n", {"median": 0.5}, ["column"], n_buckets)
     return mean.join(med, "column", "left").join(mode, "column", "left")
 
 
@@ -107,14 +119,14 @@ def date_range(df: DataFrame, date_col: str, group_col: str | None = None) -> Da
 
 
 def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
-    """Pearson correlation of every column pair, pairwise-complete, long form ``(col_a, col_b, corr)``."""
+    """Pearson correlation of every column pair, pairwise-complete (NaN counts as missing), long form
+    ``(col_a, col_b, corr)``; a constant column has no correlation, also not with itself."""
     cols = list(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     names = [f"{a}\u0001{b}" for a, b in pairs]
-    row = df.agg(*[
-        (F.lit(1.0) if a == b else F.corr(F.col(a).cast("double"), F.col(b).cast("double"))).alias(n)
-        for (a, b), n in zip(pairs, names)
-    ])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    x = {c: _nan_to_null(c, types[c]).cast("double") for c in cols}
+    row = df.agg(*[F.corr(x[a], x[b]).alias(n) for (a, b), n in zip(pairs, names)])
     long = row.unpivot([], names, "_pair", "corr")
     parts = F.split(F.col("_pair"), "\u0001")
     half = long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "corr")
@@ -148,12 +160,15 @@ def box_stats(df: DataFrame, col: str, group_col: str | None = None, whisker: fl
               n_buckets: int | None = None) -> DataFrame:
     """Quartiles, whiskers at the furthest points within ``whisker`` IQR, outlier count."""
     g = [group_col] if group_col else []
-    d = df.where(F.col(col).isNotNull()).select(*g, F.col(col).cast("double").alias("_v"))
-    q = exact_quantiles(d, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, g, n_buckets)
+    d = df.where(present(df, col)).select(*g, F.col(col).cast("double").alias("_v"))
+    # everything from the number of rows per distinct value: one scan, one range exchange
+    vc = pin(d.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
+    q = quantiles_of_counts(vc, "_v", "_n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, g, n_buckets)
     if g:
-        j = d.join(q, g, "inner")
+        j = null_safe_join(vc, q, g)
     else:
-        j = d.withColumns({k: q.select(k).scalar() for k in ("q1", "median", "q3")})
+        s = q.select(F.struct("q1", "median", "q3")).scalar()
+        j = vc.withColumn("_q", s).select("_v", "_n", "_q.*")
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
     inside = (F.col("_v") >= lo_fence) & (F.col("_v") <= hi_fence)
@@ -161,7 +176,7 @@ def box_stats(df: DataFrame, col: str, group_col: str | None = None, whisker: fl
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.count(F.when(~inside, 1)).alias("outliers"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
     )
 
 
@@ -201,6 +216,21 @@ def require_rows(df: DataFrame, what: str = "data") -> DataFrame:
     return df
 
 
+def category_quality(reference: DataFrame, current: DataFrame, cols) -> DataFrame:
+    """Reference and current side by side for categorical columns: per (side, column, value) the rows, with the
+    side's rows and number of distinct values (null is a value of its own, not counted as distinct)."""
+    cols = list(cols)
+
+    def tagged(df, side):
+        return df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value") \
+            .withColumn("side", F.lit(side))
+
+    counts = tagged(reference, "reference").unionByName(tagged(current, "current")).groupBy("side", "column", "value") \
+        .agg(F.count(F.lit(1)).alias("count"))
+    totals = counts.groupBy("side", "column").agg(F.sum("count").alias("rows"), F.count("value").alias("distinct"))
+    return counts.join(F.broadcast(totals), ["side", "column"], "inner")  # one row per side and column
+
+
 def data_quality(reference: DataFrame, current: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
     """Reference and current profiled side by side: per (side, column) rows, missing values,
     distinct values, mean, sample std, min, exact quartiles, max (numeric columns)."""
@@ -212,14 +242,11 @@ def data_quality(reference: DataFrame, current: DataFrame, cols=None, n_buckets:
         return wide.unpivot([], cols, "column", "value").withColumn("side", F.lit(side))
 
     long = tagged(reference, "reference").unionByName(tagged(current, "current"))
-    base = long.groupBy("side", "column").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.col("value").isNull(), 1)).alias("missing"),
-        F.countDistinct("value").alias("distinct"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = exact_quantiles(long, "value", QUARTILES, ["side", "column"], n_buckets)
-    return base.join(q, ["side", "column"], "left")
+    keys = ["side", "column"]
+    vc = pin(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")), "counts")
+    rows = vc.groupBy(*keys).agg(
+        F.sum("_n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("missing"),
+        F.count("value").alias("distinct"))
+    base = rows.join(count_statistics(vc, keys).drop("count", "std_pop"), keys, "inner")
+    q = quantiles_of_counts(vc.where(F.col("value").isNotNull()), "value", "_n", QUARTILES, keys, n_buckets)
+    return base.join(q, keys, "left")

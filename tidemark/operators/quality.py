@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ordered import running_totals
+from ..plans.ordered import present, running_totals
 
 
 def join_truth(truth: DataFrame, predictions: DataFrame, series_id: str = "series_id",
@@ -114,17 +114,18 @@ def threshold_predictions(df: DataFrame, proba: str, threshold: float = 0.7, out
 
 
 def roc_auc(df: DataFrame, target: str, score: str, group_cols=None, n_buckets: int | None = None) -> DataFrame:
-    """ROC AUC by the rank formula: P(score_pos > score_neg) + 0.5 P(tie), via bucketed running counts."""
+    """ROC AUC by the rank formula: P(score_pos > score_neg) + 0.5 P(tie), via bucketed running counts. Rows
+    without a label or without a score take no part."""
     g = [] if group_cols is None else ([group_cols] if isinstance(group_cols, str) else list(group_cols))
     vc = (
-        df.where(F.col(score).isNotNull())
+        df.where(present(df, score) & F.col(target).isNotNull())
         .groupBy(*g, score)
         .agg(
             F.sum(F.when(F.col(target) == 1, 1).otherwise(0)).cast("long").alias("pos"),
             F.sum(F.when(F.col(target) == 1, 0).otherwise(1)).cast("long").alias("neg"),
         )
     )
-    rows, _ = running_totals(vc, score, ["neg"], g, n_buckets, split_source=df.where(F.col(score).isNotNull()))
+    rows, _ = running_totals(vc, score, ["neg"], g, n_buckets)
     part = rows.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))).alias("_s"),
         F.sum("pos").alias("_p"),
@@ -133,11 +134,13 @@ def roc_auc(df: DataFrame, target: str, score: str, group_cols=None, n_buckets:
     return part.select(*g, F.try_divide(F.col("_s"), F.col("_p") * F.col("_n")).alias("roc_auc"))
 
 
-def regression_quality(df: DataFrame, target: str, prediction: str) -> DataFrame:
-    """rmse, mae, r2 in one pass (r2 = 1 - SSE / SST with SST from the same aggregate)."""
+def regression_quality(df: DataFrame, target: str, prediction: str, group_cols=None) -> DataFrame:
+    """rmse, mae, r2 in one pass over the rows that have both numbers (r2 = 1 - SSE / SST of those rows)."""
+    pair = [F.col(c).cast("double") for c in (target, prediction)]
+    df = df.where(~F.isnan(F.coalesce(pair[0], F.lit(float("nan")))) & ~F.isnan(F.coalesce(pair[1], F.lit(float("nan")))))
     e = F.col(prediction).cast("double") - F.col(target).cast("double")
     y = F.col(target).cast("double")
-    return df.agg(
+    return df.groupBy(*_groups(group_cols)).agg(
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
         (1 - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"),

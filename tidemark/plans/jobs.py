@@ -12,9 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import alerts, drift, history, model, profile, quality, registry, sample
+from ..session import pin
 from ..sources import catalog
 
 
+# The monitoring tables of the inference job.
+FEATURE_DRIFT_TABLE, PREDICTION_DRIFT_TABLE = "monitor_feature_drift", "monitor_prediction_drift"
+METRIC_POINTS_TABLE = "metric_points"
+
+
 def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str, model_name: str,
                            model_version=None, lookback_days: int = 1200, rules=None,
                            tiebreak: str | None = None, metrics_table: str | None = None,
@@ -25,24 +31,20 @@ def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str,
     when there is no history or nothing joins (the original early exits). With table names given,
     the row is appended to the metrics table (new metric columns are added) and its long gauge
     points to the points table."""
-    if model_version is None:
-        version_col = history_df.select(F.max("model_version")).scalar()
-        h = history_df.where(F.col("model_version") == version_col)
-        version_text = history_df.select(F.max("model_version").cast("string")).scalar()
-    else:
-        h = history_df.where(F.col("model_version") == F.lit(int(model_version)))
-        version_text = F.lit(str(model_version))
-    latest = history.latest_per_series(h, as_of, lookback_days, None, tiebreak)
-    if profile.is_empty(latest):
-        return None
-    joined = quality.join_truth(truth, latest)
-    if profile.is_empty(joined):
-        return None
+    if model_version is None:  # a literal, so that the read below prunes partitions
+        model_version = history_df.agg(F.max("model_version")).first()[0]
+        if model_version is None:
+            return None
+    h = history_df.where(F.col("model_version") == F.lit(int(model_version)))
+    joined = quality.join_truth(truth, history.latest_per_series(h, as_of, lookback_days, None, tiebreak))
     m = alerts.with_alert_flag(quality.binary_quality(joined), rules or alerts.DEFAULT_PERFORMANCE_RULES)
-    row = m.select(F.lit(model_name).alias("model_name"), version_text.alias("model_version"),
+    row = m.select(F.lit(model_name).alias("model_name"), F.lit(str(model_version)).alias("model_version"),
                    F.lit(as_of).cast("timestamp_ntz").alias("timestamp"), *m.columns)
+    # one pass: the row itself says whether anything joined
+    row = pin(row, "metrics")
+    if row.where(F.col("accuracy").isNotNull()).isEmpty():
+        return None
     if metrics_table or points_table:
-        row = row.checkpoint(eager=True)  # one row, written to two sinks: compute it once
         if metrics_table:
             catalog.write_metrics(row, metrics_table)
         if points_table:
@@ -50,6 +52,23 @@ def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str,
     return row
 
 
+def drift_monitoring(report: DataFrame, features, model_name: str, model_version, as_of: str, prefix: str,
+                     metrics_table: str | None = None, points_table: str | None = None, project: str = "project",
+                     location: str = "location", task_id: str = "task") -> DataFrame:
+    """The monitoring row of a drift report (dataset drift and one pair of columns per feature). With table names it is
+    appended to the metrics table, and its gauge points, named ``prefix/<key>``, to the points table."""
+    m = drift.drift_metrics(report, features)
+    row = m.select(F.lit(model_name).alias("model_name"), F.lit(str(model_version)).alias("model_version"),
+                   F.lit(as_of).cast("timestamp_ntz").alias("timestamp"), *m.columns)
+    if metrics_table or points_table:
+        row = pin(row, "drift-row")
+        if metrics_table:
+            catalog.write_metrics(row, metrics_table)
+        if points_table:
+            catalog.append_table(registry.metric_points(row, project, location, task_id, prefix), points_table)
+    return row
+
+
 def training(spark: SparkSession, source: DataFrame, label: str, key: str, features, database: str,
              model_root: str, model_name: str, as_of: dt.datetime, registry_table: str,
              evaluations_table: str) -> dict:
@@ -110,13 +129,19 @@ def inference(spark: SparkSession, batch: DataFrame, key: str, features, registr
     preds = spark.table(snap)
     hist = history.read_history(spark, history_table)
     out = {"predictions_table": snap, "version": version}
-    if not hist.isEmpty():
-        ref = history.latest_per_series(hist, as_of.strftime("%Y-%m-%d %H:%M:%S"), 730, version)
-        cur = preds.select(F.col("prediction_value").alias("prediction"))
-        pd_rep = drift.drift_report(ref.select("prediction"), cur, categorical=["prediction"])
-        out["prediction_drift"] = [r.asDict() for r in pd_rep.collect()]  # one row
+    at = as_of.strftime("%Y-%m-%d %H:%M:%S")
+    points = f"{database}.{METRIC_POINTS_TABLE}"
+    if "model_version" in hist.columns:
+        ref = history.latest_per_series(hist, at, 730, version, tiebreak="prediction")
+        if not ref.isEmpty():  # the first batch of a version has nothing to compare with
+            cur = preds.select(F.col("prediction_value").alias("prediction"))
+            pd_rep = pin(drift.drift_report(ref.select("prediction"), cur, categorical=["prediction"]), "drift")
+            drift_monitoring(pd_rep, ["prediction"], model_name, version, at, "prediction_drift",
+                             f"{database}.{PREDICTION_DRIFT_TABLE}", points)
+            out["prediction_drift"] = [r.asDict() for r in pd_rep.collect()]  # one row
     train = spark.table(training_table)
-    fd = drift.drift_report(train, batch, numerical=list(features))
+    fd = pin(drift.drift_report(train, batch, numerical=list(features)), "drift")
+    drift_monitoring(fd, list(features), model_name, version, at, "feature_drift", f"{database}.{FEATURE_DRIFT_TABLE}", points)
     out["feature_drift"] = drift.dataset_drift(fd).first().asDict()
     rows = history.to_history_rows(preds, "series_id", F.to_timestamp("prediction_timestamp"), "prediction_value",
                                    "model_version", F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))

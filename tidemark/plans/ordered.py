@@ -1,19 +1,16 @@
-"""Global-order statistics without a single-partition window.
+"""Global-order statistics without a single-partition window; one plan for every size.
 
-An unpartitioned ``Window.orderBy`` sends every row to one task. The plans here instead
+1. The rows are exchanged by range on the full order key (group columns first, nulls first) into a bounded
+   number of partitions, sorted there, and written once to the shared folder with their partition and
+   position. The written table pins the ranges: a stage recomputed after an executor loss sees the same.
+2. Totals per partition (or per group and partition) - as many rows as there are partitions, and groups -
+   become offsets by prefix sums over that small table.
+3. Row numbers are offset plus position; running weights are offset plus a window inside the partition.
 
-1. draw split points from an approximate quantile summary (bounded memory, partial aggregation),
-2. map each value to a range bucket with a codegen'd comparison tree (monotone in the value),
-3. total each (group, bucket) - a table of at most ``n_buckets`` rows per group - and turn the
-   totals into per-bucket offsets,
-4. finish with a window partitioned by (group, bucket), plus the offset.
+Rows that are equal on the whole key share a partition; equal first columns don't have to. Nulls are a value
+of their own, in groups and in order. No split point enters an expression.
 
-The result is exact whatever the split points are; the split points only balance the work. Split
-points are pinned once (as literals when ungrouped or when groups are few, else as a checkpointed
-table), so a recomputed stage after an executor loss sees the same buckets.
-
-Used by exact quantiles, KS / Wasserstein / ROC AUC, exact seeded splits and row-position
-interpolation.
+Used by exact quantiles, KS / Wasserstein / ROC AUC, exact seeded splits and row-position interpolation.
 """
 
 from __future__ import annotations
@@ -24,265 +21,149 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import default_buckets
+from ..session import pin
 
 BUCKET = "_bucket"
+POS = "_at"
+SHIFT = 33  # monotonically_increasing_id holds the partition above this bit, the row below
+
+BYTES_PER_BUCKET = 64 << 20
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+UNKNOWN_BYTES = 1 << 60  # leaves without size statistics report more than this
 
 
 def _as_list(cols) -> list[str]:
     if cols is None:
         return []
-    if isinstance(cols, str):
-        return [cols]
-    return list(cols)
-
-
-def _case_tree(v: Column, pts: Sequence[float], lo: int = 0) -> Column:
-    """Bucket index of ``v`` = number of split points <= v, as a balanced CASE tree."""
-    if not pts:
-        return F.lit(lo)
-    mid = len(pts) // 2
-    return F.when(v < F.lit(pts[mid]), _case_tree(v, pts[:mid], lo)).otherwise(
-        _case_tree(v, pts[mid + 1:], lo + mid + 1)
-    )
-
-
-def _array_tree(v: Column, arr: Column, lo: int, hi: int) -> Column:
-    """Number of elements <= v among sorted ``arr[lo:hi]``: a binary search whose shape depends only
-    on the array length bound, so one expression serves every group (log2 comparisons per row).
-    Positions past the end of a shorter array read as +infinity."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    e = F.try_element_at(arr, F.lit(mid + 1))
-    return F.when(e.isNull() | (v < e), _array_tree(v, arr, lo, mid)).otherwise(_array_tree(v, arr, mid + 1, hi))
-
-
-def _literal(value, dtype: T.DataType) -> Column:
-    """A literal of exactly ``dtype``; times go through text so no zone conversion applies."""
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return F.lit(value.isoformat()).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _probs(n_buckets: int) -> list[float]:
-    return [i / n_buckets for i in range(1, n_buckets)]
-
-
-def sort_key(col: str, dtype: T.DataType) -> Column:
-    """A double that never decreases when ``col`` increases (equal inputs, equal keys).
-
-    Times map to epoch micros, dates to epoch days, strings to their first 7 UTF-8 bytes (Spark
-    orders strings by bytes). Ties of the key only affect balance, not results.
-    """
-    c = F.col(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("int").cast("double")
-    return c.cast("double")
-
-
-# Groups up to this count get their split points as literals (groups * n_buckets doubles on the
-# driver), as long as all their split points together stay within the literal budget; beyond it
-# the split table is checkpointed and joined on the group key.
-MAX_LITERAL_GROUPS = 256
-LITERAL_SPLIT_BUDGET = 4096
-# A group with at most this many rows stays in one bucket: its window task is bounded anyway.
-DEFAULT_MIN_SPLIT_ROWS = 1 << 20
-
-
-def with_buckets(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
-                 accuracy: int | None = None, split_source: DataFrame | None = None,
-                 min_rows: int | None = None) -> DataFrame:
-    """Add ``_bucket`` (see :func:`_bucketize`)."""
-    return _bucketize(df, value_col, group_cols, n_buckets, accuracy, split_source, min_rows)[0]
-
-
-def _bucketize(df: DataFrame, value_col: str, group_cols=None, n_buckets: int | None = None,
-               accuracy: int | None = None, split_source: DataFrame | None = None,
-               min_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_bucket``: a range bucket of ``value_col`` (non-null), per group if groups are given.
-
-    Split points come from ``split_source`` (default ``df``). Passing the raw rows behind a table of
-    distinct-value counts is cheaper (map-side partial summaries, no shuffle of all rows) and bounds
-    each bucket by row mass, which also bounds its distinct values. Groups with at most
-    ``min_rows`` rows are not split (bucket 0): no window task ever holds more than
-    ``max(min_rows, ~1.5 * rows / n_buckets)`` rows. With ``n_buckets`` given explicitly every group
-    is split unless ``min_rows`` says otherwise. Also returns whether any group was split; when
-    none was, callers use plain per-group windows (each bounded by ``min_rows``) and no offsets.
-    """
-    g = _as_list(group_cols)
-    nb = n_buckets or default_buckets(df.sparkSession)
-    if min_rows is None:
-        min_rows = 0 if n_buckets else DEFAULT_MIN_SPLIT_ROWS
-    # rank error 1/(4 nb) of the rows: a bucket holds at most ~1.5x its even share
-    accuracy = accuracy or max(100, 4 * nb)
-    v = sort_key(value_col, df.schema[value_col].dataType)
-    src = df if split_source is None else split_source
-    if not g:
-        if min_rows and src.count() <= min_rows:
-            return df.withColumn(BUCKET, F.lit(0)), False
-        row = src.agg(F.percentile_approx(v, _probs(nb), accuracy).alias("s")).first()
-        pts = sorted({float(x) for x in (row["s"] or []) if x is not None})
-        return df.withColumn(BUCKET, _case_tree(v, pts)), True
-    # first a cheap count per group; quantile summaries only for the groups that need splitting
-    big = src.groupBy(*g).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > F.lit(min_rows)).drop("_cnt")
-    few = big.limit(MAX_LITERAL_GROUPS + 1).collect()
-    if not few:
-        return df.withColumn(BUCKET, F.lit(0)), False
-
-    def summaries(rows):
-        return rows.groupBy(*g).agg(F.array_distinct(F.percentile_approx(v, _probs(nb), accuracy)).alias("_splits"))
-
-    if len(few) <= MAX_LITERAL_GROUPS and len(few) * (nb - 1) <= LITERAL_SPLIT_BUDGET:
-        types = {f.name: f.dataType for f in src.schema.fields}
-
-        def key_of(r):
-            k = F.lit(True)
-            for c in g:
-                k = k & F.col(c).eqNullSafe(_literal(r[c], types[c]))
-            return k
-
-        wanted = F.lit(False)
-        for r in few:
-            wanted = wanted | key_of(r)
-        expr = None
-        for r in summaries(src.where(wanted)).collect():
-            tree = _case_tree(v, sorted({float(x) for x in (r["_splits"] or []) if x is not None}))
-            expr = F.when(key_of(r), tree) if expr is None else expr.when(key_of(r), tree)
-        return df.withColumn(BUCKET, expr.otherwise(F.lit(0)) if expr is not None else F.lit(0)), True
-    pinned = summaries(src.join(big, g, "left_semi")).checkpoint()
-    return (
-        df.join(pinned, g, "left")
-        .withColumn(BUCKET, F.when(F.col("_splits").isNull(), F.lit(0))
-                    .otherwise(_array_tree(v, F.col("_splits"), 0, nb - 1)))
-        .drop("_splits")
-    ), True
-
-
-def _offsets(bdf: DataFrame, g: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Per (group, bucket): bucket total ``_t_k``, offset ``_o_k`` (earlier buckets) and group total
-    ``_g_k``; at most ``n_buckets`` rows per group."""
-    totals = bdf.groupBy(*g, BUCKET).agg(*[c.alias(f"_t_{k}") for k, c in sums.items()])
+    return [cols] if isinstance(cols, str) else list(cols)
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Partitions for the range exchange: by the size of the scanned tables (planning statistics, no
+    job), between 8 and 4096. It only sets the size of the tasks."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total, unknown = 0, False
+    for i in range(leaves.size()):
+        size = int(str(leaves.apply(i).stats().sizeInBytes()))
+        total, unknown = (total, True) if size > UNKNOWN_BYTES else (total + size, unknown)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if unknown else MIN_BUCKETS
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, max(least, total // BYTES_PER_BUCKET)))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null; keeps the left one's."""
+    cols = list(cols)
+    r = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols]
+    return left.join(r, on, how).drop(*[f"_r_{c}" for c in cols])
+
+
+def ranged(df: DataFrame, keys: Sequence[str], n_buckets: int | None = None) -> DataFrame:
+    """``df`` pinned in range partitions of ``keys``, with ``_bucket`` and the position ``_at`` inside it."""
+    order = [F.col(c).asc_nulls_first() for c in keys]
+    rows = (df.repartitionByRange(n_buckets or bucket_count(df), *order).sortWithinPartitions(*order)
+            .withColumn(POS, F.monotonically_increasing_id()))
+    return pin(rows, "ordered").withColumn(BUCKET, F.shiftright(POS, SHIFT)) \
+        .withColumn(POS, F.col(POS).bitwiseAND(F.lit((1 << SHIFT) - 1)))
+
+
+def _offsets(rows: DataFrame, g: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Per (group, bucket): ``_o_k`` (earlier buckets), ``_t_k`` (this one) and ``_g_k`` (whole group). At most
+    one row for each bucket and each group."""
+    totals = rows.groupBy(*g, BUCKET).agg(*[c.alias(f"_t_{k}") for k, c in sums.items()])
     w = Window.partitionBy(*g).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     wg = Window.partitionBy(*g)
-    out = totals.select(
+    return totals.select(
         *g, BUCKET,
         *[F.coalesce(F.sum(f"_t_{k}").over(w), F.lit(0)).alias(f"_o_{k}") for k in sums],
         *[F.col(f"_t_{k}") for k in sums],
         *[F.sum(f"_t_{k}").over(wg).alias(f"_g_{k}") for k in sums],
     )
-    return out
+
+
+def _small(off: DataFrame, g: list[str]) -> DataFrame:
+    return off if g else F.broadcast(off)  # without groups: at most MAX_BUCKETS rows
 
 
 def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], group_cols=None,
-                   n_buckets: int | None = None, split_source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                   n_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Cumulative weights over distinct values.
 
     ``vc`` holds one row per (group, value) and numeric weight columns. Returns ``(rows, totals)``:
     rows gain ``<w>_upto`` (weights of values <= this one), ``<w>_before`` (strictly smaller) and
     ``<w>_total`` (the group's total); totals hold one row per group with ``<w>_total``.
     """
-    g = _as_list(group_cols)
-    ws = list(weight_cols)
-    b, split = _bucketize(vc, value_col, g, n_buckets, split_source=split_source)
-    if not split:  # every group within the row bound: one window per group, no offsets
-        b = b.drop(BUCKET)
-        win = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*g)
-        for w in ws:
-            b = b.withColumns({f"{w}_upto": F.sum(w).over(win), f"{w}_total": F.sum(w).over(whole)})
-            b = b.withColumn(f"{w}_before", F.col(f"{w}_upto") - F.col(w))
-        return b, vc.groupBy(*g).agg(*[F.sum(w).alias(f"{w}_total") for w in ws])
-    off = _offsets(b, g, {w: F.sum(w) for w in ws})
-    if not g:
-        off = F.broadcast(off)  # at most n_buckets rows
-    j = b.join(off, g + [BUCKET], "inner")
-    win = Window.partitionBy(*g, BUCKET).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    g, ws = _as_list(group_cols), list(weight_cols)
+    rows = ranged(vc, [*g, value_col], n_buckets)
+    off = _offsets(rows, g, {w: F.sum(w) for w in ws})
+    j = null_safe_join(rows, _small(off, g), [*g, BUCKET])
+    win = Window.partitionBy(*g, BUCKET).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     for w in ws:
         j = j.withColumn(f"{w}_upto", F.col(f"_o_{w}") + F.sum(w).over(win))
         j = j.withColumn(f"{w}_before", F.col(f"{w}_upto") - F.col(w))
-    rows = j.withColumnsRenamed({f"_g_{w}": f"{w}_total" for w in ws}) \
-        .drop(*[f"_o_{w}" for w in ws], *[f"_t_{w}" for w in ws])
+    out = j.withColumnsRenamed({f"_g_{w}": f"{w}_total" for w in ws}) \
+        .drop(*[f"_o_{w}" for w in ws], *[f"_t_{w}" for w in ws], POS)
     totals = off.groupBy(*g).agg(*[F.sum(f"_t_{w}").alias(f"{w}_total") for w in ws])
-    return rows, totals
+    return out, totals
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
                 n_buckets: int | None = None, rank_col: str = "_rank", total_col: str | None = None) -> DataFrame:
-    """1-based row number per group ordered by ``order_cols`` (ties broken by the later columns).
-
-    Buckets follow the first order column, so rows equal on it share a bucket and the order inside
-    buckets is the global order. The first order column must not hold one value for a large share
-    of rows (hashes and keys qualify). With ``total_col`` the group's row count is kept as well.
-    """
-    g = _as_list(group_cols)
-    order = list(order_cols)
-    b, split = _bucketize(df, order[0], g, n_buckets)
-    if not split:  # every group within the row bound: a plain row number per group
-        out = b.drop(BUCKET).withColumn(rank_col, F.row_number().over(Window.partitionBy(*g).orderBy(*order)))
-        if total_col:
-            out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy(*g)))
-        return out
-    off = _offsets(b, g, {"n": F.count(F.lit(1))})
+    """1-based row number per group ordered by ``order_cols`` (nulls first; ties broken by the later
+    columns). With ``total_col`` the group's row count is kept as well."""
+    g, order = _as_list(group_cols), _as_list(order_cols)
+    rows = ranged(df, [*g, *order], n_buckets)
+    off = _offsets(rows, [], {"n": F.count(F.lit(1))}).select(
+        F.col(BUCKET).alias("_b"), F.col("_o_n"), F.col("_g_n").alias("_all"))
+    rows = rows.join(F.broadcast(off), F.col(BUCKET) == F.col("_b")) \
+        .withColumn(rank_col, F.col("_o_n") + F.col(POS) + 1).drop("_b", "_o_n", BUCKET, POS)
     if not g:
-        off = F.broadcast(off)
-    win = Window.partitionBy(*g, BUCKET).orderBy(*order)
-    out = (
-        b.join(off.drop("_t_n"), g + [BUCKET], "inner")
-        .withColumn(rank_col, F.col("_o_n") + F.row_number().over(win))
-        .drop("_o_n", BUCKET)
-    )
-    return out.withColumnRenamed("_g_n", total_col) if total_col else out.drop("_g_n")
+        return rows.withColumnRenamed("_all", total_col) if total_col else rows.drop("_all")
+    groups = rows.groupBy(*g).agg(F.min(rank_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    out = null_safe_join(rows.drop("_all"), groups, g).withColumn(rank_col, F.col(rank_col) - F.col("_first") + 1).drop("_first")
+    return out.withColumnRenamed("_n", total_col) if total_col else out.drop("_n")
 
 
 def next_value(rows: DataFrame, value_col: str, group_cols=None, out_col: str = "_next") -> DataFrame:
-    """For rows carrying ``_bucket`` from :func:`running_totals`, the next larger distinct value."""
+    """For rows from :func:`running_totals`, the next larger distinct value of the group."""
     g = _as_list(group_cols)
-    if BUCKET not in rows.columns:  # rows of unsplit groups: one bounded window per group
-        return rows.withColumn(out_col, F.lead(value_col).over(Window.partitionBy(*g).orderBy(value_col)))
     mins = rows.groupBy(*g, BUCKET).agg(F.min(value_col).alias("_bmin"))
-    wb = Window.partitionBy(*g).orderBy(BUCKET)
-    nxt = mins.select(*g, BUCKET, F.lead("_bmin").over(wb).alias("_first_next_bucket"))
-    if not g:
-        nxt = F.broadcast(nxt)
+    following = mins.select(*g, BUCKET, F.lead("_bmin").over(Window.partitionBy(*g).orderBy(BUCKET)).alias("_first_next"))
     win = Window.partitionBy(*g, BUCKET).orderBy(value_col)
-    return (
-        rows.join(nxt, g + [BUCKET], "inner")
-        .withColumn(out_col, F.coalesce(F.lead(value_col).over(win), F.col("_first_next_bucket")))
-        .drop("_first_next_bucket")
-    )
+    return null_safe_join(rows, _small(following, g), [*g, BUCKET]).withColumn(
+        out_col, F.coalesce(F.lead(value_col).over(win), F.col("_first_next"))).drop("_first_next")
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float], group_cols=None,
-                    n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas ``quantile``, SQL ``quantile_cont``).
+def present(df: DataFrame, col: str) -> Column:
+    """Neither null nor NaN."""
+    x = F.col(col)
+    ok = x.isNotNull()
+    return ok & ~F.isnan(x) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else ok
 
-    Nulls are skipped. Returns one row per group with one column per entry of ``probs``
-    (name -> probability). Memory per task stays bounded by the bucket size, unlike a
-    ``percentile`` aggregate whose final merge holds every distinct value of a group.
-    """
+
+def quantiles_of_counts(vc: DataFrame, value_col: str, count_col: str, probs: dict[str, float], group_cols=None,
+                        n_buckets: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation from the number of rows per distinct value."""
     g = _as_list(group_cols)
-    vc = (
-        df.where(F.col(value_col).isNotNull())
-        .groupBy(*g, value_col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    rows, _ = running_totals(vc, value_col, ["_n"], g, n_buckets,
-                             split_source=df.where(F.col(value_col).isNotNull()))
+    rows, _ = running_totals(vc, value_col, [count_col], g, n_buckets)
     aggs = []
     for name, p in probs.items():
-        h = (F.col("_n_total") - 1) * F.lit(float(p))
-        lo = F.min(F.when(F.col("_n_upto") > F.floor(h), F.col(value_col)))
-        hi = F.min(F.when(F.col("_n_upto") > F.ceil(h), F.col(value_col)))
+        h = (F.col(f"{count_col}_total") - 1) * F.lit(float(p))
+        lo = F.min(F.when(F.col(f"{count_col}_upto") > F.floor(h), F.col(value_col)))
+        hi = F.min(F.when(F.col(f"{count_col}_upto") > F.ceil(h), F.col(value_col)))
         frac = F.first(h - F.floor(h))
         aggs.append((lo + (hi - lo) * frac).cast("double").alias(name))
     return rows.groupBy(*g).agg(*aggs)
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float], group_cols=None,
+                    n_buckets: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas ``quantile``, SQL ``quantile_cont``).
+
+    Nulls and NaN are skipped. Returns one row per group with one column per entry of ``probs``
+    (name -> probability). Memory per task stays bounded by the partition size, unlike a
+    ``percentile`` aggregate whose final merge holds every distinct value of a group.
+    """
+    g = _as_list(group_cols)
+    vc = df.where(present(df, value_col)).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    return quantiles_of_counts(vc, value_col, "_n", probs, g, n_buckets)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, history
 from ..sources.testdata import table
-from . import domain
+from . import domain, jobs
 from .queries import ORACLE_SQL, SQL_LABELLED, SQL_LATEST, register, rounded
 
 
@@ -306,9 +306,46 @@ def dataset_drift_summary_lineitem(spark, sf_dir):
     return rounded(drift.dataset_drift(rep))
 
 
+SQL_REPORT = f"""
+  WITH {SQL_NUM_LONG}, {SQL_VC},
+  d AS (SELECT feature, max(abs(fr - fc)) AS d, any_value(n) AS n, any_value(m) AS m FROM cum GROUP BY 1)
+  {_sql_report('ks', sql_ks_pvalue('d', 'n', 'm'), 0.2, True)} FROM d
+  UNION ALL (
+  WITH {SQL_CAT_LONG}, {SQL_CAT_SHARES}, {SQL_PSI}
+  {_sql_report('psi', 's', 0.2, False)} FROM psi)"""
+
+
+def _sql_monitoring_row(report: str, features, model: str, version: str) -> str:
+    keys = ", ".join(f"max(drift_score) FILTER (WHERE feature = '{c}') AS {c}__drift_score, "
+                     f"bool_or(drift_detected) FILTER (WHERE feature = '{c}') AS {c}__drift_detected" for c in features)
+    return f"""WITH rep AS ({report})
+SELECT '{model}' AS model_name, '{version}' AS model_version, TIMESTAMP '2024-02-01 00:00:00' AS "timestamp",
+       count(*) FILTER (WHERE drift_detected) / count(*) >= 0.5 AS drift_detected,
+       round(count(*) FILTER (WHERE drift_detected) / count(*), 6) AS drift_score,
+       count(*) FILTER (WHERE drift_detected) AS number_of_drifted_columns, count(*) AS number_of_columns, {keys} FROM rep"""
+
+
+@register("feature_drift_monitoring_rows", _sql_monitoring_row(SQL_REPORT, NUM_FEATURES + CAT_FEATURES, "classifier", "2"))
+def feature_drift_monitoring_rows(spark, sf_dir):
+    """The row that feature drift monitoring writes, with the keys of every feature."""
+    ref, cur = _sides(spark, sf_dir)
+    rep = drift.drift_report(ref, cur, NUM_FEATURES, CAT_FEATURES, num_stattest="ks", cat_stattest="psi",
+                             num_threshold=0.2, cat_threshold=0.2)
+    return rounded(jobs.drift_monitoring(rep, NUM_FEATURES + CAT_FEATURES, "classifier", 2, domain.AS_OF, "feature_drift"))
+
+
+@register("prediction_drift_monitoring_rows", _sql_monitoring_row(
+    ORACLE_SQL["prediction_drift_jensenshannon"], ["prediction"], "classifier", "2"))
+def prediction_drift_monitoring_rows(spark, sf_dir):
+    """The row that prediction drift monitoring writes."""
+    ref, cur = _prediction_sides(spark, sf_dir)
+    rep = drift.drift_report(ref, cur, categorical=["prediction"])
+    return rounded(jobs.drift_monitoring(rep, ["prediction"], "classifier", 2, domain.AS_OF, "prediction_drift"))
+
+
 @register("auto_drift_report_lineitem")
 def auto_drift_report_lineitem(spark, sf_dir):
-    """J1 with the automatic test choice (reference size and distinct counts decide)."""
+    """J1 with the default test of each kind."""
     ref, cur = _sides(spark, sf_dir)
     return rounded(drift.drift_report(ref, cur, NUM_FEATURES, CAT_FEATURES))
 
@@ -362,8 +399,7 @@ def target_drift_probability_documents(spark, sf_dir):
                                       numerical=["proba"], num_stattest="ks"))
 
 
-# Automatic choice on these tables: more than 1000 reference rows, so Wasserstein for the numeric
-# features (each has more than 5 values) and Jensen-Shannon for the categorical ones.
+# The defaults: Wasserstein for the numeric features and Jensen-Shannon for the categorical ones.
 ORACLE_SQL["auto_drift_report_lineitem"] = (
     "(" + ORACLE_SQL["wasserstein_drift_lineitem"] + ")\nUNION ALL\n(" + ORACLE_SQL["jensenshannon_drift_categorical"] + ")"
 )

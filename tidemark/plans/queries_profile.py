@@ -99,20 +99,25 @@ def order_date_range_by_priority(spark, sf_dir):
 
 @register("correlation_lineitem", f"""
 WITH {SQL_GAPS},
+t AS (SELECT l_quantity, l_extendedprice, l_discount, CASE WHEN NOT isnan(l_tax) THEN l_tax END AS l_tax FROM gaps),
 c AS (SELECT corr(l_quantity, l_extendedprice) AS qe, corr(l_quantity, l_discount) AS qd,
-             corr(l_extendedprice, l_discount) AS ed FROM gaps),
+             corr(l_extendedprice, l_discount) AS ed, corr(l_quantity, l_tax) AS qt,
+             corr(l_extendedprice, l_tax) AS et, corr(l_discount, l_tax) AS dt FROM t),
 pairs AS (
   SELECT 'l_quantity' AS col_a, 'l_extendedprice' AS col_b, qe AS corr FROM c UNION ALL
   SELECT 'l_quantity', 'l_discount', qd FROM c UNION ALL
-  SELECT 'l_extendedprice', 'l_discount', ed FROM c)
+  SELECT 'l_extendedprice', 'l_discount', ed FROM c UNION ALL
+  SELECT 'l_quantity', 'l_tax', qt FROM c UNION ALL
+  SELECT 'l_extendedprice', 'l_tax', et FROM c UNION ALL
+  SELECT 'l_discount', 'l_tax', dt FROM c)
 SELECT col_a, col_b, round(corr, 6) AS corr FROM pairs
 UNION ALL SELECT col_b, col_a, round(corr, 6) FROM pairs
-UNION ALL SELECT x, x, 1.0 FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount')) v(x)
+UNION ALL SELECT x, x, 1.0 FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) v(x)
 """)
 def correlation_lineitem(spark, sf_dir):
     """Pairwise-complete Pearson matrix, long form."""
     return rounded(profile.correlation_matrix(domain.lineitem_with_gaps(spark, sf_dir),
-                                              ["l_quantity", "l_extendedprice", "l_discount"]))
+                                              ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 
 
 @register("value_counts_segment", """
@@ -209,16 +214,26 @@ def duplicate_line_keys(spark, sf_dir):
 
 @register("scatter_sample_lineitem", """
 SELECT l_quantity, l_extendedprice FROM lineitem
-ORDER BY ('0x' || substr(md5('42' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)
-         || '|' || CAST(l_partkey AS VARCHAR)), 1, 15))::BIGINT LIMIT 1000
 """)
 def scatter_sample_lineitem(spark, sf_dir):
-    """Two-column scatter data, a seeded 1000-row sample."""
-    from ..functions.scalar import seeded_hash
+    """Two-column scatter data of every row."""
+    return table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
 
+
+@register("category_quality_lineitem", """
+WITH l AS (SELECT CASE WHEN l_shipdate < TIMESTAMP '1998-04-01' THEN 'reference' ELSE 'current' END AS side,
+                  l_returnflag, l_linestatus FROM lineitem),
+c AS (SELECT side, 'l_returnflag' AS "column", l_returnflag AS value, count(*) AS count FROM l GROUP BY ALL
+      UNION ALL SELECT side, 'l_linestatus', l_linestatus, count(*) FROM l GROUP BY ALL)
+SELECT side, "column", value, count, CAST(sum(count) OVER w AS BIGINT) AS "rows", count(value) OVER w AS "distinct"
+FROM c WINDOW w AS (PARTITION BY side, "column")
+""")
+def category_quality_lineitem(spark, sf_dir):
+    """J7 for categorical columns: value counts, rows and distinct values of both sides."""
     li = table(spark, sf_dir, "lineitem")
-    h = seeded_hash(42, F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey"))
-    return li.orderBy(h).limit(1000).select("l_quantity", "l_extendedprice")
+    cut = F.lit("1998-04-01 00:00:00").cast("timestamp_ntz")
+    return profile.category_quality(li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut),
+                                    ["l_returnflag", "l_linestatus"])
 
 
 @register("data_quality_profile_lineitem", f"""

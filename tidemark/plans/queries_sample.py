@@ -96,6 +96,14 @@ def sorted_by_key_limit(spark, sf_dir):
     return sample.limit_rows(table(spark, sf_dir, "orders"), 100, "o_orderkey")
 
 
+@register("sorted_orders", """
+SELECT * FROM orders ORDER BY o_orderkey
+""")
+def sorted_orders(spark, sf_dir):
+    """every row in key order (a range-partitioned sort)."""
+    return table(spark, sf_dir, "orders").orderBy("o_orderkey")
+
+
 @register("blank_first_rows_orders", """
 WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rk FROM orders)
 SELECT o_orderkey, o_custkey, o_orderstatus,
@@ -181,11 +189,9 @@ SELECT c_acctbal, c_custkey, c_nationkey, round(c_acctbal / 1000.0, 6) AS f_acct
 """)
 def features_sorted_attached(spark, sf_dir):
     """B12 + B13 + B7: features (label dropped) in sorted column order, generated features attached."""
-    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal", "c_mktsegment")
+    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal", "c_mktsegment", "c_name")
     x, _y, _names = projection.features_and_label(c, "c_mktsegment")
     x = projection.sorted_columns(x)
-    full = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    x = x.join(full, "c_custkey", "inner")
     x = projection.attach_features(x, {"f_acctbal_k": F.col("c_acctbal") / 1000.0, "f_name_len": F.length("c_name")})
     return rounded(x.drop("c_name").select(*sorted(c for c in x.columns if c != "c_name")))
 

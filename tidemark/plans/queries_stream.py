@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import alerts, model
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, pin, unpin
 from ..sources.testdata import table
 from ..streaming import alerts as stream_alerts
 from ..streaming import scoring
@@ -25,10 +25,12 @@ INSTANCE = T.StructType([T.StructField("doc_id", T.LongType())] +
                         [T.StructField(c, T.DoubleType()) for c in domain.DOC_FEATURES])
 
 
-@register("stream_scoring_documents")
+@register("stream_scoring_documents", """
+SELECT doc_id, true AS label_is_the_batch_label FROM documents
+""")
 def stream_scoring_documents(spark, sf_dir):
     """K9 + H11: request payloads (derived from the documents) arrive as JSON lines; a file stream
-    parses, scores and writes them with a checkpoint; the sink is read back."""
+    parses, scores and writes them with a checkpoint; the sink is read back and held against batch scores."""
     feats = domain.document_features(spark, sf_dir)
     labelled = feats.where(F.col("label").isNotNull())
     fitted = model.train_classifier(labelled, "label", domain.DOC_FEATURES)
@@ -40,28 +42,40 @@ def stream_scoring_documents(spark, sf_dir):
     reqs.select("value").write.mode("overwrite").text(src)
     q = scoring.start_scoring(spark, src, INSTANCE, fitted, "doc_id", sink, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    out = pin(spark.read.parquet(sink), "scores")
+    unpin(spark, src, sink, ckpt)
+    batch = model.score(fitted, inst).select(F.col("doc_id").alias("_id"), F.col("prediction").cast("int").alias("batch_label"))
+    return out.join(batch, F.col("doc_id") == F.col("_id"), "left").select(
+        "doc_id", (F.col("label") == F.col("batch_label")).alias("label_is_the_batch_label"))
+
+
+SQL_ALERT_PERIODS = """
+SELECT event_type AS metric, time_bucket(INTERVAL 60 SECOND, ts) AS period_start,
+       time_bucket(INTERVAL 60 SECOND, ts) + INTERVAL 60 SECOND AS period_end,
+       count(*) FILTER (WHERE value > 400) AS true_points, count(*) FILTER (WHERE value > 400) > 0 AS fires
+FROM events GROUP BY 1, 2
+"""
 
 
-@register("stream_alert_periods_events")
+@register("stream_alert_periods_events", SQL_ALERT_PERIODS)
 def stream_alert_periods_events(spark, sf_dir):
     """J12 streaming: events as metric points (value above 400 is a TRUE point), 60-second windows
-    per event type with a 10-minute watermark, appended to a sink with checkpoint."""
+    per event type with a 10-minute watermark, appended to a sink with checkpoint; windows still open at the
+    end of the input are flushed from the state."""
     schema = table(spark, sf_dir, "events").schema
     pts = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
            .select(F.col("event_type").alias("metric"), F.col("ts").alias("end_time"), (F.col("value") > 400).alias("v")))
     sink, ckpt = _scratch(spark, "alerts"), _scratch(spark, "alerts-ckpt")
     q = stream_alerts.start_alert_stream(pts, "end_time", "v", ["metric"], sink, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    closed = spark.read.parquet(sink)
+    out = pin(closed.unionByName(stream_alerts.open_periods(spark, ckpt, ["metric"])), "alert-periods")
+    unpin(spark, sink, ckpt)
+    zone_free = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return out.select("metric", zone_free("period_start"), zone_free("period_end"), "true_points", "fires")
 
 
-@register("alert_periods_events", """
-SELECT event_type AS metric, time_bucket(INTERVAL 60 SECOND, ts) AS period_start,
-       time_bucket(INTERVAL 60 SECOND, ts) + INTERVAL 60 SECOND AS period_end,
-       count(*) FILTER (WHERE value > 400) AS true_points, count(*) FILTER (WHERE value > 400) > 0 AS fires
-FROM events GROUP BY 1, 2
-""")
+@register("alert_periods_events", SQL_ALERT_PERIODS)
 def alert_periods_events(spark, sf_dir):
     """J12 batch twin of the stream: TRUE points per event type and 60-second period."""
     ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("metric"), "ts", (F.col("value") > 400).alias("v"))

@@ -15,6 +15,7 @@ MODULES = (
     "queries_registry",
     "queries_model",
     "queries_stream",
+    "queries_catalog",
 )
 
 

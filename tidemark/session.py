@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. ANSI stays on (Spark 4 default): bad casts raise, as pandas does.
 DEFAULT_CONF = {
@@ -56,10 +57,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """Range buckets for global-order plans: a few per shuffle partition, at least 16."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        n = 200
-    return max(16, 4 * n)
+def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. Later stages see fixed rows, and the loss of an
+    executor costs a reread, not a recomputation."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unpin(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of the shared location that nothing reads any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -8,7 +8,8 @@ SQL text from data.
 from __future__ import annotations
 
 import datetime as dt
-import os
+import importlib.resources
+import pathlib
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,20 +35,18 @@ def run_sql(spark: SparkSession, sql: str, dtypes: dict | None = None, args: dic
     return df
 
 
-def resource_folder() -> str:
-    return os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources")
-
-
-def read_sql_file(path: str) -> str:
-    """Query text; a UTF-8 byte-order mark is dropped."""
-    with open(path, encoding="utf-8-sig") as fh:
-        return fh.read()
+def query_text(name: str) -> str:
+    """The text of a query: a file by its absolute path, else one shipped with the package. Editors that mark UTF-8
+    with a byte-order mark don't disturb it."""
+    place = pathlib.Path(name)
+    if not place.is_absolute():
+        place = importlib.resources.files("tidemark.resources").joinpath(name)
+    return place.read_bytes().decode("utf-8").removeprefix("\ufeff")
 
 
 def run_sql_file(spark: SparkSession, file_name: str, dtypes: dict | None = None, args: dict | None = None) -> DataFrame:
     """Run a query kept in a ``.sql`` resource file."""
-    path = file_name if os.path.isabs(file_name) else os.path.join(resource_folder(), file_name)
-    return run_sql(spark, read_sql_file(path), SAMPLE_QUERY_DTYPES if dtypes is None else dtypes, args)
+    return run_sql(spark, query_text(file_name), SAMPLE_QUERY_DTYPES if dtypes is None else dtypes, args)
 
 
 def flagged_rows(spark: SparkSession, table_name: str, flag_col: str) -> DataFrame:
@@ -71,12 +70,15 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None =
 
 
 def append_table(df: DataFrame, table_name: str, dtypes: dict | None = None, partition_by: Iterable[str] = ()) -> None:
-    """Append (creating the table when absent), with optional explicit column types."""
+    """Append (creating the table when absent), with optional explicit column types. Columns that the table doesn't
+    have, or lacks here, are an error: nothing is dropped or filled silently."""
     if dtypes:
         df = df.withColumns({c: F.col(c).cast(t) for c, t in dtypes.items()})
     spark = df.sparkSession
     if spark.catalog.tableExists(table_name):
         existing = spark.table(table_name).columns
+        if sorted(existing) != sorted(df.columns):
+            raise ValueError(f"{table_name} has columns {sorted(existing)}, the rows have {sorted(df.columns)}")
         df.select(*existing).write.mode("append").insertInto(table_name)
     else:
         w = df.write.mode("append").format("parquet")

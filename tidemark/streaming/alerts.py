@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,16 @@ def start_alert_stream(points: DataFrame, ts: str, value: str, series_cols, sink
     out = alert_period_stream(points, ts, value, series_cols, period, watermark)
     return (out.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
             .outputMode("append").trigger(availableNow=True).start())
+
+
+def open_periods(spark: SparkSession, checkpoint_dir: str, series_cols) -> DataFrame:
+    """The windows that a finished stream still holds in its state (the watermark hasn't passed them): with the
+    sink's rows they are the whole result of a finite input."""
+    state = spark.read.format("statestore").load(checkpoint_dir)
+    keys = state.schema["key"].dataType.fieldNames()          # the series columns, then the window
+    count = state.schema["value"].dataType.fieldNames()[0]
+    window = F.col("key").getField(keys[-1])
+    n = F.col("value").getField(count)
+    return state.select(*[F.col("key").getField(k).alias(c) for k, c in zip(keys, series_cols)],
+                        window.getField("start").alias("period_start"), window.getField("end").alias("period_end"),
+                        n.alias("true_points"), (n > 0).alias("fires"))
