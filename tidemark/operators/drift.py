@@ -89,7 +89,7 @@ def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | No
         F.max(F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total")))
         .alias("d"),
         F.first("ref_n_total").alias("n"), F.first("cur_n_total").alias("m"))
-    return _report(d, "ks", ks_pvalue(F.col("d"), F.col("n"), F.col("m")), threshold)
+    return _report(d, "ks", F.when(F.col("d").isNotNull(), ks_pvalue(F.col("d"), F.col("n"), F.col("m"))), threshold)
 
 
 def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
@@ -239,15 +239,17 @@ def chisquare_test(long: DataFrame, threshold: float | None = None) -> DataFrame
 def z_test(long: DataFrame, threshold: float | None = None) -> DataFrame:
     """Two-proportion z test on the share of the larger of two categories; more categories are an error."""
     s = _category_shares(long)
-    top = s.groupBy("feature").agg(F.max("value").alias("_top"), F.count(F.lit(1)).alias("_k"))  # one row per feature
-    j = s.join(F.broadcast(top), "feature", "inner").where(F.col("value") == F.col("_top"))
+    kinds = s.groupBy("feature").agg(F.count(F.lit(1)).alias("_k"))  # one row per feature
+    few = F.coalesce(F.when(F.col("_k") > 2, F.raise_error(F.concat(
+        F.lit("the z test needs a feature of two categories: "), F.col("feature"))).cast("boolean")), F.lit(True))
+    two = s.join(F.broadcast(kinds), "feature", "inner").where(few)  # at most two rows per feature from here on
+    j = two.withColumn("_top", F.max("value").over(Window.partitionBy("feature"))).where(F.col("value") == F.col("_top"))
     pooled = F.try_divide(F.col("ref_n") + F.col("cur_n"), F.col("ref_total") + F.col("cur_total"))
     se = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("ref_total")) + F.try_divide(F.lit(1), F.col("cur_total"))))
     z = F.try_divide(F.col("p") - F.col("q"), se)
     p_value = F.when(z.isNull(), F.lit(1.0)).otherwise(2 * (1 - std_normal_cdf(F.abs(z))))
-    two = F.when(F.col("_k") > 2, F.raise_error(F.concat(F.lit("the z test needs a feature of two categories: "), F.col("feature"))).cast("double"))
     empty = (F.col("ref_total") == 0) | (F.col("cur_total") == 0)
-    return _report(j, "z", two.when(empty, F.lit(None).cast("double")).otherwise(p_value), threshold)
+    return _report(j, "z", F.when(~empty, p_value), threshold)
 
 
 # ---------------------------------------------------------------------- reports

@@ -126,7 +126,12 @@ def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
     names = [f"{a}\u0001{b}" for a, b in pairs]
     types = {f.name: f.dataType for f in df.schema.fields}
     x = {c: _nan_to_null(c, types[c]).cast("double") for c in cols}
-    row = df.agg(*[F.corr(x[a], x[b]).alias(n) for (a, b), n in zip(pairs, names)])
+
+    def corr(a: Column, b: Column) -> Column:
+        sd = lambda u, v: F.stddev_samp(F.when(v.isNotNull(), u))
+        return F.try_divide(F.covar_samp(a, b), sd(a, b) * sd(b, a))
+
+    row = df.agg(*[corr(x[a], x[b]).alias(n) for (a, b), n in zip(pairs, names)])
     long = row.unpivot([], names, "_pair", "corr")
     parts = F.split(F.col("_pair"), "\u0001")
     half = long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "corr")
