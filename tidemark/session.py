@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -53,6 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints and scratch tables "
                                "must survive the loss of an executor")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)  # made here, for this process only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
