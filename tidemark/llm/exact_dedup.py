@@ -26,6 +26,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # many partitions mean many small stores: no disk space reserved ahead in each
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 ROWS_PER_SALT = 1000  # members of a group that compare their bytes with one copy of the keeper's text
 
