@@ -2,8 +2,9 @@
 
 A byte goes if a string of ``length`` bytes that covers it starts anywhere else too, in the same text or another.
 
-1. Scan: a window is a start with ``length`` bytes. Its key is the least hash of the 32-byte strings in it, so equal
-   windows have equal keys. Consecutive windows with one key are a region (about 180 windows in ordinary text).
+1. Scan: a window is a start with ``length`` bytes. Its key is the least hash of the short strings in it (128 bytes for
+   windows of 400), so equal windows have equal keys. Consecutive windows with one key are a region (about 140 windows
+   in ordinary text).
 2. Regions whose key occurs once in the corpus hold no repeated window; most end here. Regions that occur with the
    same bytes more than once are repeated as a whole.
 3. The different regions of the other keys are dealt to shards by key. A shard joins its regions to one string,
@@ -33,19 +34,26 @@ from .bytescan import batch_bytes, mixed
 from .common import col, pin, small_enough, text_or_empty
 from .suffix import permuted_prefixes, suffix_array
 
-GRAM = 32
 SCAN_BYTES = 1 << 20          # bytes hashed together; longer texts are scanned in pieces that overlap
 SHARD_BYTES = 1 << 20         # bytes a shard is meant to hold
 KEY_BYTES = 1 << 20           # bytes of one key beyond which its windows are counted instead
 MAX_BROADCAST = 1_000_000     # rows of keys or places that are sent to the scan; beyond it a join is used
 GRAM_VALUE = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64)
-ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)]
+ODD = [np.uint64(x) for x in np.random.default_rng(78).integers(1, 1 << 62, 24, dtype=np.uint64) * 2 + 1]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the 32 bytes from every position that has them."""
+def gram_of(length: int) -> int:
+    """Bytes of the key strings: the power of two next below a third of the window. Longer ones repeat less by
+    chance, shorter ones make larger regions."""
+    return 1 << max(0, (length // 3).bit_length() - 1)
+
+
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes from every position that has them."""
     g, n = GRAM_VALUE[data], 1
     for odd in ODD:
+        if n == gram:
+            break
         g = g[:-n] * odd + g[n:] if len(g) > n else g[:0]
         n *= 2
     return mixed(g)
@@ -63,8 +71,9 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
 def text_regions(data: np.ndarray, offsets: np.ndarray, length: int):
     """Regions of texts lying behind one another: text number, start in the text, windows, key, whether the key's
     string occurs twice in the region."""
-    width = length - GRAM + 1
-    h = gram_hashes(data)
+    gram = gram_of(length)
+    width = length - gram + 1
+    h = gram_hashes(data, gram)
     if len(h) < width:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     m = sliding_least(h, width)
