@@ -103,3 +103,45 @@ def test_permutation_is_one(spark):
     for q in (1, 2, 17, 64):
         got = spark.range(q).select(mixing.permuted(F.col("id"), F.lit(q).cast("long"), F.lit(3), 9).alias("x")).collect()
         assert sorted(r.x for r in got) == list(range(q))
+
+
+def quotas(rows, n_shards):
+    """Words of every shard and source, from the pieces."""
+    out = {}
+    for r in rows:
+        for p in r.pieces:
+            out[p.shard, r.source] = out.get((p.shard, r.source), 0) + p.words
+    return out
+
+
+def test_blocks_make_the_drawn_rows(spark, docs):
+    from tidemark.llm.queries import op5_mixing
+
+    registered = op5_mixing(spark, "/root/testdata/sf0.001").collect()
+    assert all(r.taken == sum(p.words for p in r.pieces) for r in registered)
+    assert len({p.shard for r in registered for p in r.pieces}) > 1
+
+    some = docs.select("doc_id", "source", "text", "n_chars")
+    _, dec = mixing.mix_documents(some, n_shards=5, block_words=256)
+    rows = dec.join(docs.select(F.col("doc_id").alias("id"), "source", "text"), "id").collect()
+    out = mixing.draw_documents(some, n_shards=5, block_words=256)
+    assert out.rdd.getNumPartitions() == 5
+    got = out.withColumn("shard", F.spark_partition_id()).collect()
+    have = {}
+    for g in got:
+        have[g.shard, g.source] = have.get((g.shard, g.source), 0) + len(words(g.text))
+    assert have == quotas(rows, 5)
+    for shard in range(5):  # blocks by key, pieces in stream order
+        want = [(p.key, p.pos, r.id, p.words) for r in rows for p in r.pieces if p.shard == shard]
+        assert [(g.doc_id, len(words(g.text))) for g in got if g.shard == shard] == [w[2:] for w in sorted(want)]
+
+
+def test_pieces_hold_all_words_in_order(spark):
+    """Also of documents across the start of the circle, whose last repeat takes both ends."""
+    texts = {i: " \n" * (i % 2) + "".join(f"d{i}w{k}" + (" ", "\n\n", "\t ")[k % 3] for k in range(90 + i)) for i in range(4)}
+    df = spark.createDataFrame([(i, t, "a" if i < 2 else "b") for i, t in texts.items()], "doc_id long, text string, source string")
+    _, dec = mixing.mix_documents(df, n_shards=3, block_words=16)
+    out = mixing.draw_documents(df, n_shards=3, block_words=16).collect()
+    want = sorted((r.id, words(texts[r.id])[p.start:p.start + p.words]) for r in dec.collect() for p in r.pieces)
+    assert sorted((g.doc_id, words(g.text)) for g in out) == want
+    assert all(g.text in texts[g.doc_id] for g in out)

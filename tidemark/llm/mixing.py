@@ -174,8 +174,9 @@ def mix_documents(df: DataFrame, source_col: str = "source", id_col: str = "doc_
                   keep_columns: bool = False) -> tuple[DataFrame, DataFrame]:
     """Returns (content, decisions), to be joined on ``unit``. ``content`` is ``df`` (without its columns unless
     ``keep_columns``) pinned with unit; ``decisions`` has per document: unit, id, size, source_size, target, taken
-    (words), and pieces: an array of (repeat, start, words, shard, key). ``start`` counts words of the document,
-    ``key`` orders the pieces inside the shard; pieces of a block share both."""
+    (words), and pieces: an array of (repeat, start, words, shard, key, pos). ``start`` counts words of the document,
+    ``key`` orders the blocks inside the shard and ``pos`` (words of the source's stream) the pieces inside the block; pieces of
+    a block share shard and key."""
     unit, size, src, h = free_names(df, "unit", "size", "src", "hash")
     docs = df.withColumns({unit: F.monotonically_increasing_id(), size: word_count(col(df, text_col)),
                            src: col(df, source_col).cast("string")})
@@ -227,12 +228,13 @@ def mix_documents(df: DataFrame, source_col: str = "source", id_col: str = "doc_
         return F.transform(F.sequence(F.floor(x["pos"] / b), F.floor((x["pos"] + x["n"] - 1) / b)), lambda k: F.struct(
             x["repeat"].cast("int").alias("repeat"), (x["from"] + F.greatest(zero, k * b - x["pos"])).alias("start"),
             (F.least(x["pos"] + x["n"], (k + 1) * b) - F.greatest(x["pos"], k * b)).alias("words"), k.alias("block"),
-            permuted(k, F.col("quota"), F.col("rank"), seed).alias("turn")))
+            F.greatest(x["pos"], k * b).alias("pos"), permuted(k, F.col("quota"), F.col("rank"), seed).alias("turn")))
 
     def deal(p):
         return F.struct(p["repeat"].alias("repeat"), p["start"].alias("start"), p["words"].alias("words"),
                         F.aggregate("ends", F.lit(0), lambda s, e: s + (e <= p["turn"]).cast("int")).alias("shard"),
-                        F.xxhash64(F.lit(seed + 3), F.col("rank"), p["block"]).alias("key"))
+                        F.xxhash64(F.lit(seed + 3), F.col("rank"), p["block"]).alias("key"),
+                        p["pos"].alias("pos"))
 
     every = F.flatten(F.transform(F.sequence(zero, F.lit(max_repeat - 1).cast("long")), runs))
     keys = keys.withColumn("cuts", F.flatten(F.transform(F.filter(every, lambda x: x["n"] > 0), cut)))
@@ -243,25 +245,35 @@ def mix_documents(df: DataFrame, source_col: str = "source", id_col: str = "doc_
 
 
 def draw_documents(df: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
-                   length_col: str | None = "n_chars", **options) -> DataFrame:
-    """The mixed rows, with the columns of ``df``: a document once per repeat that takes it. At most two documents
-    per source and repeat are taken in part; their text is the words taken, joined by one space."""
-    unit, = free_names(df, "unit")
-    content, decisions = mix_documents(df, source_col, id_col, text_col, keep_columns=True, **options)
-    per = F.array_distinct(F.transform("pieces", lambda p: p["repeat"]))
-    totals = F.transform(per, lambda r: F.struct(
-        F.array_min(F.transform(F.filter("pieces", lambda p: p["repeat"] == r), lambda p: p["start"])).alias("start"),
-        F.aggregate(F.filter("pieces", lambda p: p["repeat"] == r), F.lit(0).cast("long"), lambda s, p: s + p["words"]).alias("words")))
-    copies = decisions.filter("taken > 0").select(F.col("unit").alias(unit), F.col("size").alias(f"{unit}_size"),
-                                                  F.explode(totals).alias(f"{unit}_run"))
-    out = content.join(copies, unit)
-    run, whole = F.col(f"{unit}_run"), F.col(f"{unit}_run.words") == F.col(f"{unit}_size")
-    words = F.filter(F.split(col(out, text_col), SPACE_CLASS + "+"), lambda w: w != "")
-    text = F.when(whole, col(out, text_col)).otherwise(
-        F.array_join(F.slice(words, (run["start"] + 1).cast("int"), run["words"].cast("int")), " "))
+                   length_col: str | None = "n_chars", *, n_shards: int = 64, **options) -> DataFrame:
+    """The mixed rows, with the columns of ``df``: a row per piece. Partition k holds shard k, its blocks in the order
+    of their keys, the pieces of a block in stream order. A document inside one block is a row with its own text; one
+    that lies across blocks is a row for each, their texts cut before a word with all white space kept."""
+    unit, size, piece = free_names(df, "unit", "size", "piece")
+    content, decisions = mix_documents(df, source_col, id_col, text_col, keep_columns=True, n_shards=n_shards, **options)
+    taken = decisions.filter("taken > 0").select(F.col("unit").alias(unit), F.col("size").alias(size), F.col("pieces").alias(piece))
+    out = content.select(*[col(content, c) for c in df.columns], unit).join(taken, unit)
+    text = col(out, text_col)
+    # a word with the white space after it; white space before the first word is an element of its own
+    cells = F.split(text, f"(?<={SPACE_CLASS})(?={WORD_CLASS})")
+    lead = F.when(text.rlike("^" + SPACE_CLASS), 1).otherwise(0)
+
+    def part(v, p):
+        first = p["start"] == 0
+        return F.array_join(F.slice(v["cells"], F.when(first, 1).otherwise(p["start"] + v["lead"] + 1).cast("int"),
+                                    (p["words"] + F.when(first, v["lead"]).otherwise(0)).cast("int")), "")
+
+    whole = lambda p: p["words"] == F.col(size)
+    row = lambda p, t: F.struct(p["shard"].alias("shard"), p["key"].alias("key"), p["pos"].alias("pos"), whole(p).alias("whole"), t.alias("text"))
+    cut = _let(F.struct(cells.alias("cells"), lead.alias("lead")), lambda v: F.transform(
+        piece, lambda p: row(p, F.when(whole(p), text).otherwise(part(v, p)))))
+    uncut = F.transform(piece, lambda p: row(p, text))
+    rows = F.when(F.forall(piece, whole), uncut).otherwise(cut)
+    out = out.withColumn(piece, F.explode(rows)).repartitionById(n_shards, F.col(f"{piece}.shard"))
+    out = out.sortWithinPartitions(f"{piece}.key", f"{piece}.pos", unit)
     picks = {c: col(out, c) for c in df.columns}
-    picks[text_col] = text
+    picks[text_col] = F.col(f"{piece}.text")
     if length_col in picks:
         kind = df.schema[length_col].dataType
-        picks[length_col] = F.when(whole, picks[length_col]).otherwise(F.char_length(text).cast(kind))
+        picks[length_col] = F.when(F.col(f"{piece}.whole"), picks[length_col]).otherwise(F.char_length(picks[text_col]).cast(kind))
     return out.select(*[v.alias(k) for k, v in picks.items()])

@@ -69,9 +69,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to the sources' target weights: words that the mix takes of each."""
+    """All documents mixed to the sources' target weights: words that the mix takes of each, and
+    their pieces with shard and order."""
     _, decisions = mixing.mix_documents(table(spark, sf_dir, "documents"))
-    return decisions.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return decisions.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "pieces")
 
 
 @register("op6_packing")
