@@ -65,3 +65,17 @@ def test_suffix_array(monkeypatch, few):
         for a, b in zip(sa, sa[1:]):
             n = next(k for k in range(len(s)) if s[a + k] != s[b + k])
             assert before[b] == a and prefix[b] == n
+
+
+def test_windows_of_hot_keys_are_united(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "KEY_BYTES", 0)  # every key is counted window by window
+    rng = np.random.default_rng(6)
+    letters = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    passage = letters(200)
+    rows = [(i, letters(60) + passage + letters(60)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = repeats.repeated_spans(df.withColumnRenamed("doc_id", "row"), 45).collect()
+    assert len(spans) == 40 and {len(r.spans) for r in spans} == {1}
+    for sent in (repeats.MAX_SENT, 0):  # 0: lists are joined by a shuffle
+        monkeypatch.setattr(repeats, "MAX_SENT", sent)
+        assert got(df, 45) == expected(rows, 45)

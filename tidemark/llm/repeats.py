@@ -37,7 +37,8 @@ from .suffix import permuted_prefixes, suffix_array
 SCAN_BYTES = 1 << 20          # bytes hashed together; longer texts are scanned in pieces that overlap
 SHARD_BYTES = 1 << 20         # bytes a shard is meant to hold
 KEY_BYTES = 1 << 20           # bytes of one key beyond which its windows are counted instead
-MAX_BROADCAST = 1_000_000     # rows of keys or places that are sent to the scan; beyond it a join is used
+MAX_BROADCAST = 1_000_000     # rows of keys (8 bytes each) that are sent to the scan; beyond it a join is used
+MAX_SENT = 32 << 20           # bytes of places or spans, whose rows have no fixed size, that are sent to the texts
 GRAM_VALUE = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64)
 ODD = [np.uint64(x) for x in np.random.default_rng(78).integers(1, 1 << 62, 24, dtype=np.uint64) * 2 + 1]
 
@@ -196,8 +197,40 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small_enough(df, MAX_BROADCAST) else df
 
 
+def _sent_lists(df: DataFrame, items: str, item_bytes: int) -> DataFrame:
+    """Broadcast if the rows with their lists measure at most MAX_SENT bytes, else to be joined by a shuffle."""
+    total = df.agg(F.sum(F.size(items).cast("long") * item_bytes + 64)).first()[0] or 0
+    return F.broadcast(df) if total <= MAX_SENT else df.hint("shuffle_merge")
+
+
+def united(lists: DataFrame, reach: int) -> DataFrame:
+    """The last column, a list of (a, end) or (a, n) pairs, sorted with overlapping and touching ranges united. ``reach`` 0
+    for ends; for n windows the bytes that the last one adds."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for v in b.column(b.num_columns - 1):
+                x = v.values
+                a, e = (x.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                e = a + e + reach if reach else e
+                order = np.argsort(a, kind="stable")
+                a, e = a[order], np.maximum.accumulate(e[order])
+                first = np.flatnonzero(np.append(True, a[1:] > e[:-1]))
+                last = e[np.append(first[1:], len(a)) - 1]
+                out.append((a[first], last - a[first] - reach if reach else last))
+            offsets = np.concatenate([[0], np.cumsum([len(a) for a, _ in out])]).astype(np.int32)
+            flat = [pa.array(np.concatenate([o[i] for o in out] or [np.zeros(0, np.int64)]), pa.int64()) for i in (0, 1)]
+            names = [f.name for f in kind.value_type]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(flat, names))],
+                                             b.schema.names)
+
+    fields = [f.name for f in lists.schema[-1].dataType.elementType]
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in fields]))
+    return lists.mapInArrow(run, lists.schema)
+
+
 def repeated_spans(content: DataFrame, length: int) -> DataFrame:
-    """From content (row, text): (row, spans), the byte ranges (a, b) covered by repeated windows, not yet united."""
+    """From content (row, text): (row, spans), the united byte ranges (a, b) covered by repeated windows."""
     regions = pin(regions_of(content, length), "repeat-regions")
     keys = regions.groupBy("key").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("c")).filter("c > 1").select("key")
     keys = pin(keys, "repeat-keys")
@@ -219,7 +252,7 @@ def repeated_spans(content: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in p], pa.int64()) for k in names[:4]]
                                                  + [pa.array([raw[x["start"]:x["start"] + x["n"] + length - 1] for x in p], pa.binary())], names)
 
-    texts = content.join(_sent(places), "row").select("text", "p")
+    texts = content.join(_sent_lists(places, "p", 48), "row").select("text", "p")
     cuts = pin(texts.mapInArrow(cut, "key long, digest long, copies long, size long, bytes binary"), "repeat-bytes")
     total = cuts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = max(1, total // SHARD_BYTES)
@@ -229,14 +262,14 @@ def repeated_spans(content: DataFrame, length: int) -> DataFrame:
     again = hot.groupBy("h1", "h2").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("m")).filter("c > 1").select("h1", "h2")
     counted = hot.join(again, ["h1", "h2"]).select("key", "digest", F.col("w").alias("a"), F.lit(1).cast("long").alias("n"))
     settled = sorted_.unionByName(counted).groupBy("key", "digest").agg(F.collect_list(F.struct("a", "n")).alias("runs"))
-    settled = pin(settled, "repeat-settled")
+    settled = pin(united(settled, length - 1), "repeat-settled")  # of counted windows: runs of those whose bytes touch
 
     known = kinds.select("key", "digest", "copies").join(settled, ["key", "digest"], "left").filter("copies > 1 or runs is not null")
     marked = found.join(known, ["key", "digest"])
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n") + (length - 1)).alias("b")))
     part = F.transform("runs", lambda x: F.struct((F.col("start") + x["a"]).alias("a"), (F.col("start") + x["a"] + x["n"] + (length - 1)).alias("b")))
     spans = marked.select("row", F.when(F.col("copies") > 1, whole).otherwise(part).alias("s"))
-    return spans.groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    return united(spans.groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), 0)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
@@ -245,7 +278,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                             text_or_empty(col(df, text_col)).alias("text")), "repeat-content")
     id_type = content.schema["id"].dataType.simpleString()
     spans = pin(repeated_spans(content.select("row", "text"), length), "repeat-spans")
-    both = content.join(_sent(spans), "row", "left").select("id", "text", "spans")
+    both = content.join(_sent_lists(spans, "spans", 16), "row", "left").select("id", "text", "spans")
     pair = pa.struct([("a", pa.int64()), ("b", pa.int64())])
 
     def cut(batches):
