@@ -91,3 +91,12 @@ def test_words_of_bytes():
     assert [data[a:b].tobytes().decode().translate({c: c + 32 for c in range(65, 91)}) for a, b in zip(starts, ends)] == flat
     assert len(set(h.tolist())) == len(set(flat))
     assert all((h[i] == h[j]) == (flat[i] == flat[j]) for i in range(len(flat)) for j in range(len(flat)))
+
+
+def test_all_documents_train_whatever_their_partitions(spark):
+    """More documents than any start sample would hold; every pass reads all of them."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["ab", "cd", "ef", "gh"], int(rng.integers(1, 6)))) for _ in range(1900)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, many = ({r.doc_id: r.score for r in hmm.score_texts(df.repartition(n)).collect()} for n in (1, 5))
+    assert all(abs(one[i] - many[i]) < 1e-6 for i in one)

@@ -7,8 +7,8 @@ counts. So the probability of a text is
     sum over state paths of prod p(state | state before) p(class | state) * prod p(word | class)
 
 and the scaled forward recursion computes it exactly. Baum-Welch expected counts of the states are computed in
-every partition, aggregated by class, and re-estimate the model; a start from a bounded sample of documents
-precedes the full passes.
+every partition, aggregated by class, and re-estimate the model. Every pass reads all training rows; the first starts
+from the classes' counts in the corpus.
 
 Word counts cover all training tokens. Counts of the ``known`` most frequent words travel with the tasks (a bound
 on what is broadcast); the rest of a document's words are joined with the count table, without the skew of
@@ -35,7 +35,7 @@ FREQUENT, KNOWN, SHARED = 8192, 65_536, 1024  # own classes; counts sent to task
 END_HASH = 1                                  # stands for the end token among the word hashes
 SCAN_BYTES = 4 << 20
 GROUP_TOKENS = 300_000                        # tokens whose forward variables are held at a time
-STATES, PASSES, START_DOCS, START_PASSES = 8, 2, 1500, 12
+STATES, PASSES = 8, 14
 PRIOR = 5.0                                   # pseudo-counts, spread as the classes occur
 
 
@@ -211,17 +211,9 @@ def add_batch(e: Expected, p: Params, column: pa.Array) -> None:
 
 
 def baum_welch(coded: DataFrame, n_classes: int, prior: np.ndarray) -> Params:
-    """A start from START_DOCS documents, then PASSES passes over all training documents."""
-    train = coded.filter("not held_out").select("row", "seq")
-    sample = train.orderBy(F.xxhash64("row"), "row").limit(START_DOCS).select("seq").toArrow()
+    """PASSES passes over all training documents."""
+    train = coded.filter("not held_out").select("seq")
     p = random_params(n_classes, prior)
-    if not sample.num_rows:
-        return p
-    for _ in range(START_PASSES):
-        e = Expected(n_classes)
-        for chunk in sample.column("seq").chunks:
-            add_batch(e, p, chunk)
-        p = e.params(prior)
     names = [f"s{k}" for k in range(STATES)]
     schema = "i int, " + ", ".join(f"{x} double" for x in names)
     for _ in range(PASSES):
@@ -233,7 +225,9 @@ def baum_welch(coded: DataFrame, n_classes: int, prior: np.ndarray) -> Params:
             at = np.flatnonzero(rows.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32))] + [pa.array(rows[at, k]) for k in range(STATES)], ["i"] + names)
 
-        got = train.select("seq").mapInArrow(expect, schema).groupBy("i").agg(*[F.sum(x).alias(x) for x in names]).toArrow()
+        got = train.mapInArrow(expect, schema).groupBy("i").agg(*[F.sum(x).alias(x) for x in names]).toArrow()
+        if not got.num_rows:  # no training rows
+            return p
         rows = np.zeros((n_classes + STATES + 1, STATES))  # classes and states: bounded by parameters
         rows[got.column("i").to_numpy()] = np.stack([got.column(x).to_numpy() for x in names], 1)
         e = Expected(n_classes)
