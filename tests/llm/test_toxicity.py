@@ -59,3 +59,36 @@ def test_toxic_words_are_learned():
     measure = toxicity.Distance(model.toxic, model.ordinary)
     clean, bad = " ".join(rng.choice(plain, 60)), " ".join(rng.choice(plain, 30)) + " you grubblefink " + " ".join(rng.choice(plain, 30))
     assert model.score(measure(bad)) > 0.5 > model.score(measure(clean))
+
+
+def held_samples(bad_word):
+    rng = np.random.default_rng(2)
+    plain = [f"w{k}" for k in range(300)]
+    return [(i, " ".join([*rng.choice(plain, 40), *([bad_word(i)] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(400)]
+
+
+def test_long_and_many_samples_are_all_kept():
+    blob = "x" * 3000  # longer than the old limit: nothing after it was taken
+    words_ = [f"grub{chr(97 + k)}flobbernozzle" for k in range(10)]
+    rows = held_samples(lambda i: f"{blob} {words_[i // 4 % 10]}")
+    model = toxicity.fit(rows)
+    assert model.weights
+    samples = [w for _, w, _ in toxicity.train_toxic([t for _, t, y in rows if y], [t for _, t, y in rows if not y])]
+    assert all(f" {w} ".encode() in samples for w in [blob, *words_])
+    measure = toxicity.Distance(model.toxic, model.ordinary)
+    assert model.score(measure(rows[0][1])) > 0.5 > model.score(measure(rows[1][1]))
+
+
+def test_phrases_of_ordinary_words_are_samples():
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(600):
+        bag = [*rng.choice([f"w{k}" for k in range(300)], 40)]
+        parts = [["go", "jump", "off"], ["jump"], ["off"], ["go"]]
+        bag[20:20] = parts[0] if i % 4 == 0 else [parts[2][0], "w1", parts[1][0], "w2", parts[3][0]]  # same words in all documents
+        rows.append((i, " ".join(bag), int(i % 4 == 0)))
+    samples = [w for _, w, _ in toxicity.train_toxic([t for _, t, y in rows if y], [t for _, t, y in rows if not y])]
+    assert b" go jump " in samples and b" jump " not in samples
+    model = toxicity.fit(rows)
+    measure = toxicity.Distance(model.toxic, model.ordinary)
+    assert model.score(measure(rows[4][1])) > 0.5 > model.score(measure(rows[5][1]))

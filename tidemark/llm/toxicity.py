@@ -5,9 +5,11 @@ often. Both codings of a window share the ordinary background (the toxic one has
 the difference of the two compressed lengths is the bytes that the toxic dictionary alone explains; it is 0 for
 most windows of ordinary text. Windows are eight words in lower case.
 
-* Toxic samples: words that recur in several toxic training documents and are over-represented there (standard
-  score of the document count against the share of toxic documents).
-* Thresholds: the least standard score of a sample, and the least difference for a window to count as a hit, are
+* Toxic samples: words, and phrases of up to a window's words, that recur in several toxic training documents and are
+  over-represented there (standard score of the document count against the share of toxic documents); a phrase only if
+  it scores above all that it is made of. The toxic dictionary holds all samples from the least score on, whatever
+  their number and length. A dictionary that zstandard trains on the toxic windows is one more to choose from.
+* Thresholds: the toxic dictionary (least standard score of a sample, with phrases or without, or the trained one), and the least difference for a window to count as a hit, are
   chosen by likelihood on training documents that didn't go into the dictionaries; a logistic curve over the
   document's hits and mean difference turns them into a calibrated score.
 
@@ -35,7 +37,7 @@ from .common import col, id_remainder, text_or_empty, worker_cache
 
 WORD = re.compile(r"[^\W_]+")
 SPAN = 8                                    # words of a window
-TOXIC_BYTES, ORDINARY_BYTES = 2048, 32768   # sizes of the two dictionaries
+ORDINARY_BYTES = 32768                      # size of a trained dictionary
 MIN_DOCS = 3                                # toxic documents that a sample must recur in
 SCORES = (3.0, 5.0, 8.0, 12.0)              # least standard scores to choose from
 MARGINS = (1, 2, 3, 4)                      # least differences of a hit to choose from
@@ -111,8 +113,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 30)
     return w
 
 
-def train_ordinary(texts: list[str]) -> bytes:
-    """A trained dictionary of the ordinary windows (those with the smallest checksum); windows too few for the
+def train(texts: list[str]) -> bytes:
+    """A trained dictionary of the texts' windows (those with the smallest checksum); windows too few for the
     trainer are the dictionary themselves."""
     import zstandard as z
 
@@ -123,20 +125,32 @@ def train_ordinary(texts: list[str]) -> bytes:
         return b"".join(samples)[-ORDINARY_BYTES:]
 
 
-def train_toxic(toxic: list[str], ordinary: list[str]) -> list[tuple[float, bytes]]:
-    """Recurring words of toxic documents by falling standard score."""
-    df = [collections.Counter(), collections.Counter()]
-    for y, texts in enumerate((ordinary, toxic)):
-        for t in texts:
-            df[y].update(set(words(t)))
+def train_toxic(toxic: list[str], ordinary: list[str]) -> list[tuple[float, bytes, int]]:
+    """Recurring words and phrases of toxic documents by falling standard score."""
     n, share = len(toxic) + len(ordinary), len(toxic) / (len(toxic) + len(ordinary))
-    found = []
-    for w, c in df[1].items():
-        if c >= min(MIN_DOCS, len(toxic)):
-            expected = (c + df[0][w]) * share
-            score = (c - expected) / np.sqrt(expected * (1 - (c + df[0][w]) / n) + 0.5)
-            if score >= SCORES[0]:
-                found.append((float(score), f" {w} ".encode("utf-8", "surrogatepass")))
+    least = min(MIN_DOCS, len(toxic))
+    split = [[words(t) for t in texts] for texts in (ordinary, toxic)]
+    found, best, recur = [], {}, None
+    for size in range(1, SPAN + 1):
+        def phrases(t, size=size, recur=recur):
+            out = set(zip(*(t[i:] for i in range(size))))
+            return out if recur is None else {p for p in out if p[1:] in recur and p[:-1] in recur}
+
+        df = collections.Counter(p for t in split[1] for p in phrases(t))
+        recur = {p for p, c in df.items() if c >= least}  # a longer phrase recurs only if its parts do
+        if not recur:
+            break
+        plain = collections.Counter(p for t in split[0] for p in phrases(t) if p in recur)
+        of = {}
+        for p in recur:
+            c, both = df[p], df[p] + plain[p]
+            expected = both * share
+            score = float((c - expected) / np.sqrt(expected * (1 - both / n) + 0.5))
+            parts = max(best[p[1:]], best[p[:-1]]) if size > 1 else -np.inf
+            of[p] = max(score, parts)
+            if score >= SCORES[0] and score > parts:
+                found.append((score, f" {' '.join(p)} ".encode("utf-8", "surrogatepass"), size))
+        best = of
     return sorted(found, key=lambda p: (-p[0], p[1]))
 
 
@@ -155,15 +169,11 @@ def fit(rows: list[tuple[object, str, int]]) -> Model:
             learn[y].append(t)
         turn[y] += 1
     tune = tune or [(t, y) for y in (0, 1) for t in learn[y]]
-    ordinary, toxic = train_ordinary(learn[0]), train_toxic(learn[1], learn[0])
+    ordinary, toxic = train(learn[0]), train_toxic(learn[1], learn[0])
     y = np.array([v for _, v in tune], float)
     best = None
-    for least in SCORES:
-        content = b""
-        for score, w in toxic:
-            if score < least or len(content) + len(w) > TOXIC_BYTES:
-                break
-            content += w
+    contents = [b"".join(w for score, w, size in toxic if score >= least and size <= most) for most in (1, SPAN) for least in SCORES]
+    for content in dict.fromkeys([*contents, train(learn[1])]):
         if not content or not ordinary:
             continue
         saved = list(map(Distance(content, ordinary), (t for t, _ in tune)))
