@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.testdata import table
 
-from . import ann, exact_dedup, hmm, jaccard, mixing, packing, repeats, secrets, sharding, toxicity
+from . import ann, chat, exact_dedup, hmm, infill, jaccard, mixing, packing, repeats, secrets, sharding, toxicity, whitening
 from .common import id_remainder
 
 QUERIES: dict = {}
@@ -113,3 +113,82 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 400-byte strings that occur elsewhere."""
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL_CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT * FROM (VALUES (-7::BIGINT, 0::BIGINT, 'user', '</s>[INST] ok [/INST]'),
+                        (-7::BIGINT, 1::BIGINT, 'assistant', '</s>[INST] ok [/INST]')) AS v(conv_id, turn, role, text)),
+e AS (
+  SELECT *,
+         length(text) + length(text) - length(replace(text, chr(92), ''))
+         + length(regexp_replace(text, '(<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<</ROLE>>)', '\1+', 'g'))
+         - length(text) AS body,
+         length(role) + length(role) - length(replace(role, chr(92), ''))
+         + length(regexp_replace(role, '(<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<</ROLE>>)', '\1+', 'g'))
+         - length(role) AS name
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(body + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 ELSE 25 + name END) AS BIGINT)
+         AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+@register("op11_chat", SQL_CHAT)
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted as reply trees and read back."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = F.lit("</s>[INST] ok [/INST]")
+    made = spark.range(2, numPartitions=1).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), says.alias("text"))
+    back = chat.read_back(chat.format_trees(chat.from_turns(told.unionByName(made))))
+    return back.select(F.col("tree").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+SQL_INFILL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tok,
+         sha256('42:' || doc_id) AS h
+  FROM documents),
+c AS (
+  SELECT doc_id, t, tok, len(tok) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(tok) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(tok) + 1) AS c2,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT doc_id, t, n, form, array_to_string(tok[1:least(c1, c2)], '') AS pre,
+         array_to_string(tok[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+         array_to_string(tok[greatest(c1, c2) + 1:n], '') AS suf
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+
+@register("op12_infill", SQL_INFILL)
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of all documents, and the texts restored from it."""
+    made = infill.infill_documents(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
+    both = infill.restore_documents(made)
+    return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened to 8 components, from an exact scatter matrix."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), count=8)
+    # a deviation beyond a long is null (from some millions of vectors on)
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
