@@ -74,35 +74,37 @@ def from_turns(df: DataFrame, tree_col: str = "conv_id", turn_col: str = "turn",
                          F.lit(None).cast("double").alias("score"))
 
 
-def messages(df: DataFrame) -> DataFrame:
+def messages(df: DataFrame, unique: bool = False) -> DataFrame:
     """One row per message of (tree, id, parent, role, text, score): keys that join (also null trees), the turn as
-    formatted, and its length."""
+    formatted, and its length. ``unique`` promises that no tree repeats an id and no id is null."""
     score = F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0))
     row = F.struct(text_or_empty(F.col("role")).alias("role"), text_or_empty(F.col("text")).alias("text"), score.alias("score"),
                    F.col("parent"))
-    named = df.where(F.col("id").isNotNull()).groupBy("tree", "id").agg(F.min_by(row, row).alias("m"))
-    lone = df.where(F.col("id").isNull()).select(
-        "tree", "id", F.struct(text_or_empty(F.col("role")).alias("role"), text_or_empty(F.col("text")).alias("text"), score.alias("score"),
-                               F.lit(None).cast(df.schema["parent"].dataType).alias("parent")).alias("m"))
-    row_id = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))  # pinned before it is used
     key = lambda c: F.concat(F.lit("+"), c.cast("string"))
+    if unique:
+        both = df.select("tree", "id", row.alias("m"), key(F.col("id")).alias("node"))
+    else:
+        named = df.where(F.col("id").isNotNull()).groupBy("tree", "id").agg(F.min_by(row, row).alias("m"))
+        lone = df.where(F.col("id").isNull()).select(
+            "tree", "id", row.withField("parent", F.lit(None).cast(df.schema["parent"].dataType)).alias("m"))
+        row_id = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))  # pinned before it is used
+        both = named.withColumn("node", key(F.col("id"))).unionByName(lone.withColumn("node", row_id))
     tree = F.coalesce(key(F.col("tree")), F.lit(""))
-    both = named.withColumn("node", key(F.col("id"))).unionByName(lone.withColumn("node", row_id))
     text, role = F.col("m.text"), F.col("m.role")
     return both.select(tree.alias("t"), "node", F.when(F.col("m.parent").isNotNull(), key(F.col("m.parent"))).alias("parent"),
                        "tree", "id", role.alias("role"), F.col("m.score").alias("score"), opening(role).alias("before"),
                        escape(text).alias("body"), closing(role).alias("after"))
 
 
-def format_trees(df: DataFrame, branches: int | None = None) -> DataFrame:
+def format_trees(df: DataFrame, branches: int | None = None, unique: bool = False) -> DataFrame:
     """Blocks of formatted conversations from reply trees (tree, id, parent, role, text, score).
 
     One conversation for each leaf, or for the ``branches`` leaves of a tree with the best mean score. Columns:
     tree, leaf (id of the path's last message), rank, score, block (from 0), start (place of its first code point),
-    text, mask (spans of the assistant's texts, start and end in the conversation).
+    text, mask (spans of the assistant's texts, start and end in the conversation). ``unique``: see :func:`messages`.
     """
     spark = df.sparkSession
-    turns = pin(messages(df), "chat-turns")
+    turns = pin(messages(df, unique), "chat-turns")
     keys = ["t", "node"]
     length = (F.char_length("before") + F.char_length("body") + F.char_length("after")).cast("long")
     known = turns.select("t", F.col("node").alias("up"))

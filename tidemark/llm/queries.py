@@ -147,7 +147,7 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = spark.range(2, numPartitions=1).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), says.alias("text"))
-    back = chat.read_back(chat.format_trees(chat.from_turns(told.unionByName(made))))
+    back = chat.read_back(chat.format_trees(chat.from_turns(told.unionByName(made)), unique=True))
     return back.select(F.col("tree").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
