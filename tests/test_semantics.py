@@ -15,7 +15,7 @@ def test_split_five_rows_gives_four_and_one(spark):
     df = spark.createDataFrame(
         [("2023-01-0%d" % i, "store", i, float(i)) for i in range(1, 6)],
         "receipt_date string, store_name string, store_id int, total_sales_excluding_gst double")
-    out = sample.exact_split(df, "store_id", 0.2, 42, n_buckets=2)
+    out = sample.exact_split(df, "store_id", 0.2, 42)
     sizes = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sizes == {"TRAIN": 4, "TEST": 1}
 
@@ -263,11 +263,11 @@ def test_cleaning_hooks_are_identity(spark):
 
 def test_exact_split_is_reproducible_and_ceil(spark):
     df = spark.range(0, 101).withColumnRenamed("id", "k")
-    a = sample.exact_split(df, "k", 0.2, 42, n_buckets=4)
-    b = sample.exact_split(df, "k", 0.2, 42, n_buckets=9)
+    a = sample.exact_split(df.repartition(4), "k", 0.2, 42)
+    b = sample.exact_split(df.repartition(9), "k", 0.2, 42)
     ta = sorted(r["k"] for r in a.where("split = 'TEST'").collect())
     tb = sorted(r["k"] for r in b.where("split = 'TEST'").collect())
-    assert len(ta) == 21 and ta == tb  # ceil(0.2 * 101) = 21, independent of the bucket count
+    assert len(ta) == 21 and ta == tb  # ceil(0.2 * 101) = 21, independent of the partitions
 
 
 @pytest.mark.parametrize("ttype", ["timestamp", "timestamp_ntz"])

@@ -1,8 +1,9 @@
 """Sampling and splitting with a seeded hash order: reproducible, exact in size, distributed.
 
 Random order = ``seeded_hash(seed, key)`` (60 bits of md5). Fixed-size samples are a top-k by that
-order (``TakeOrderedAndProject``: each task keeps k rows, no full sort). Exact-size splits number
-the rows by (hash, key) with the bucketed global rank, so no task sees more than one bucket.
+order (``TakeOrderedAndProject``: each task keeps k rows, no full sort). Exact-size splits find the (hash, key) of
+the last row of the first side by counting rows per hash prefix (plans/selection.py) and are then one filter: no row is
+sorted or exchanged, and the other side is the same filter negated.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import seeded_hash
-from ..plans.ordered import global_rank
+from ..plans.selection import Cut, hash_cut, key_cut
 
 
 def _key(key_cols) -> list[str]:
@@ -39,29 +40,33 @@ def limit_rows(df: DataFrame, n: int, order_by=None) -> DataFrame:
     return df.limit(int(n))
 
 
+def _hash_cut(df: DataFrame, key_cols, seed: int, fraction: float, rounding) -> Cut:
+    keys = _key(key_cols)
+    k = F.col(keys[0]) if len(keys) == 1 else F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
+    return hash_cut(df, [seeded_hash(seed, k), *[F.col(c) for c in keys]], fraction, rounding=rounding)
+
+
 def exact_split(df: DataFrame, key_cols, test_fraction: float = 0.2, seed: int = 42,
-                split_col: str = "split", train_tag: str = "TRAIN", test_tag: str = "TEST",
-                n_buckets: int | None = None) -> DataFrame:
+                split_col: str = "split", train_tag: str = "TRAIN", test_tag: str = "TEST") -> DataFrame:
     """One table tagged TRAIN / TEST: test gets ceil(fraction * n) rows, train the rest.
 
-    ``key_cols`` must identify rows (the order is hash, then key).
+    The order is hash of ``key_cols``, then the keys. Rows that share a key are told apart by their other columns where
+    the cut falls among them; rows equal in every column stay on one side.
     """
-    keys = _key(key_cols)
-    h = random_order(df, keys, seed)
-    ranked = global_rank(h, ["_h", *keys], n_buckets=n_buckets, total_col="_n")
-    n_test = F.ceil(F.col("_n") * F.lit(float(test_fraction)))
-    return ranked.withColumn(split_col, F.when(F.col("_rank") <= n_test, F.lit(test_tag)).otherwise(F.lit(train_tag))) \
-        .drop("_h", "_rank", "_n")
+    cut = _hash_cut(df, key_cols, seed, test_fraction, math.ceil)
+    return df.withColumn(split_col, F.when(cut.taken, F.lit(test_tag)).otherwise(F.lit(train_tag)))
 
 
-def fraction_sample(df: DataFrame, key_cols, fraction: float, seed: int = 5, flag_col: str = "in_sample",
-                    n_buckets: int | None = None) -> DataFrame:
+def fraction_sample(df: DataFrame, key_cols, fraction: float, seed: int = 5, flag_col: str = "in_sample") -> DataFrame:
     """Flag exactly round(fraction * n) rows (pandas ``sample(frac=)`` size); the rest is the complement."""
-    keys = _key(key_cols)
-    h = random_order(df, keys, seed)
-    ranked = global_rank(h, ["_h", *keys], n_buckets=n_buckets, total_col="_n")
-    n_in = F.round(F.col("_n") * F.lit(float(fraction)), 0)
-    return ranked.withColumn(flag_col, F.col("_rank") <= n_in).drop("_h", "_rank", "_n")
+    cut = _hash_cut(df, key_cols, seed, fraction, lambda n: math.floor(n + 0.5))
+    return df.withColumn(flag_col, cut.taken)
+
+
+def sample_and_rest(df: DataFrame, key_cols, fraction: float, seed: int = 5) -> tuple[DataFrame, DataFrame]:
+    """The flagged rows of :func:`fraction_sample` and its complement: two filters of one scan each, no join."""
+    cut = _hash_cut(df, key_cols, seed, fraction, lambda n: math.floor(n + 0.5))
+    return df.where(cut.taken), df.where(~cut.taken)
 
 
 def complement(df: DataFrame, taken: DataFrame, key_cols) -> DataFrame:
@@ -77,16 +82,12 @@ def concat_rows(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def blank_first_rows(df: DataFrame, n: int, cols, order_cols, n_buckets: int | None = None) -> DataFrame:
+def blank_first_rows(df: DataFrame, n: int, cols, order_cols) -> DataFrame:
     """Set ``cols`` to null on the first ``n`` rows in key order (a row rank needs an explicit key)."""
-    ranked = global_rank(df, _key(order_cols), n_buckets=n_buckets)
-    sel = []
-    for c in df.columns:
-        if c in set(_key(cols)):
-            sel.append(F.when(F.col("_rank") <= n, F.lit(None).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c))
-        else:
-            sel.append(F.col(c))
-    return ranked.select(*sel)
+    first = key_cut(df, [F.col(c) for c in _key(order_cols)], n).taken
+    blank = set(_key(cols))
+    return df.select(*[F.when(first, F.lit(None).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in blank
+                       else F.col(c) for c in df.columns])
 
 
 def gaussian_noise(key: Column, seed: int = 0, sd: float = 1.0) -> Column:

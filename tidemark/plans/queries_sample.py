@@ -74,10 +74,8 @@ WITH r AS (SELECT *, row_number() OVER (ORDER BY {_h(5, 'c_custkey')}, c_custkey
 SELECT * EXCLUDE (rk) FROM r WHERE rk > round((SELECT count(*) FROM customer) * 0.8)
 """)
 def sample_complement_customers(spark, sf_dir):
-    """Complement of the sample by anti join on the key."""
-    c = table(spark, sf_dir, "customer")
-    taken = sample.fraction_sample(c, "c_custkey", 0.8, 5).where("in_sample")
-    return sample.complement(c, taken, "c_custkey")
+    """Complement of the sample, the filter of its side negated."""
+    return sample.sample_and_rest(table(spark, sf_dir, "customer"), "c_custkey", 0.8, 5)[1]
 
 
 @register("sample_n_orders", f"""
