@@ -84,12 +84,12 @@ def test_exact_quantiles_match_pandas(spark):
     vals = [rnd.choice([1.0, 2.0, 2.0, 5.0]) if i % 3 else rnd.random() * 100 for i in range(500)]
     df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(vals)], "g int, v double")
     probs = {"q10": 0.1, "q50": 0.5, "q90": 0.9, "q100": 1.0}
-    got = {r["g"]: r for r in profile.quantiles(df, "v", probs, ["g"], n_buckets=5).collect()}
+    got = {r["g"]: r for r in profile.quantiles(df, "v", probs, ["g"]).collect()}
     pdf = pd.DataFrame({"g": [i % 2 for i in range(500)], "v": vals})
     for g, part in pdf.groupby("g"):
         for k, p in probs.items():
             assert got[g][k] == pytest.approx(part["v"].quantile(p))
-    whole = profile.quantiles(df, "v", probs, n_buckets=7).first()
+    whole = profile.quantiles(df, "v", probs).first()
     for k, p in probs.items():
         assert whole[k] == pytest.approx(pdf["v"].quantile(p))
 
@@ -216,7 +216,7 @@ def test_quantiles_of_many_groups(spark):
     n_groups = 300
     rows = [(g, float((g * 37 + i * 11) % 101)) for g in range(n_groups) for i in range(7)]
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r["g"]: r["m"] for r in profile.quantiles(df, "v", {"m": 0.5}, ["g"], n_buckets=3).collect()}
+    got = {r["g"]: r["m"] for r in profile.quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
     want = pd.DataFrame(rows, columns=["g", "v"]).groupby("g")["v"].quantile(0.5).to_dict()
     assert len(got) == n_groups and all(got[g] == pytest.approx(want[g]) for g in want)
 
@@ -292,7 +292,7 @@ def test_quantiles_over_literal_budget_use_array_search(spark):
     """Few groups but many split points each: the searched split array path, exact results."""
     rows = [(g, float((g * 31 + i * 17) % 997)) for g in range(50) for i in range(120)]
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r["g"]: r for r in profile.quantiles(df, "v", {"a": 0.1, "b": 0.5}, ["g"], n_buckets=100).collect()}
+    got = {r["g"]: r for r in profile.quantiles(df, "v", {"a": 0.1, "b": 0.5}, ["g"]).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for g, part in pdf.groupby("g"):
         assert got[g]["a"] == pytest.approx(part["v"].quantile(0.1))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import log1p_safe, sqrt_safe
-from ..plans.ordered import exact_quantiles, global_rank, null_safe_join, quantiles_of_counts
+from ..plans.ordered import global_rank, null_safe_join
+from ..plans.quantiles import column_quantiles, exact_quantiles
 from ..session import pin
-from .profile import numeric_columns
+from .profile import column_counts, modes, numeric_columns
 
 # ------------------------------------------------------------------ missing values
 
@@ -54,28 +55,18 @@ def column_stats(df: DataFrame, cols: Iterable[str], how: str) -> dict:
         row = df.agg(*[F.avg(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(c) for c in cols]).first()
         return {c: row[c] for c in cols}
     if how == "median":
-        from .profile import long_values
-
-        q = exact_quantiles(long_values(df, cols), "value", {"m": 0.5}, ["column"])
+        q = column_quantiles(df, cols, {"m": 0.5})
         got = {r["column"]: r["m"] for r in q.collect()}  # one row per column
         return {c: got.get(c) for c in cols}
     if how == "mode":
-        from .profile import long_values
-
         types = {f.name: f.dataType for f in df.schema.fields}
-        exact_in_double = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
-        num = [c for c in cols if isinstance(types[c], exact_in_double)]
-        out = {}
-        if num:  # these columns in one job: counts per (column, value), best value per column
-            counts = long_values(df, num).where(F.col("value").isNotNull()).groupBy("column", "value") \
-                .agg(F.count(F.lit(1)).alias("n"))
-            top = counts.groupBy("column").agg(F.max("n").alias("_top"))
-            best = (counts.join(F.broadcast(top), "column", "inner").where(F.col("n") == F.col("_top"))
-                    .groupBy("column").agg(F.min("value").alias("m")))
-            got = {r["column"]: r["m"] for r in best.collect()}  # one row per column
-            out.update({c: got.get(c) for c in num})
+        kept = (T.IntegralType, T.FloatType, T.DoubleType)  # these keep their values as bigint or double
+        num, out = [c for c in cols if isinstance(types[c], kept)], {}
+        for counts in column_counts(df, num):  # one job a kind, one row per column
+            out.update({r["column"]: r["mode"] for r in modes(counts).collect()})
         for c in cols:  # other types keep their own values (no lossy cast): one small job each
-            if c in out:
+            if c in num:
+                out.setdefault(c, None)
                 continue
             counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
             top = counts.agg(F.max("n").alias("m")).first()["m"]
@@ -279,16 +270,13 @@ def modified_zscore_outliers(df: DataFrame, col: str, group_col: str | None = No
     """Modified z = 0.6745 (x - median) / MAD; rows above ``threshold`` in absolute value."""
     # Fixed value: 0.6745, the normal quantile factor of the published definition.
     g = [group_col] if group_col else []
-    # both medians from the number of rows per distinct value, counted once
-    vc = pin(df.select(*g, _number(col).alias("_x")).where(F.col("_x").isNotNull()).groupBy(*g, "_x")
-             .agg(F.count(F.lit(1)).alias("_n")), "counts")
-    med = pin(quantiles_of_counts(vc, "_x", "_n", {"_med": 0.5}, g), "median")
+    x = df.select(*g, _number(col).alias("_x")).where(F.col("_x").isNotNull())
+    med = pin(exact_quantiles(x, "_x", {"_med": 0.5}, g), "median")  # one row a group
     if g:
-        dev = null_safe_join(vc, med, g)
+        dev = null_safe_join(x, med, g)
     else:
-        dev = vc.withColumn("_med", med.select("_med").scalar())
-    dev = dev.groupBy(*g, F.abs(F.col("_x") - F.col("_med")).alias("_dev")).agg(F.sum("_n").alias("_n"))
-    mad = quantiles_of_counts(dev, "_dev", "_n", {"_mad": 0.5}, g)
+        dev = x.withColumn("_med", F.lit(med.first()["_med"]).cast("double"))
+    mad = exact_quantiles(dev.select(*g, F.abs(F.col("_x") - F.col("_med")).alias("_dev")), "_dev", {"_mad": 0.5}, g)
     if g:
         k = null_safe_join(df, null_safe_join(med, mad, g), g, "left")
     else:

@@ -1,9 +1,9 @@
 """Table profiles: describe, nulls, central values, quantiles, correlations, counts, histograms,
 box-plot statistics, schema info, duplicate keys.
 
-Statistics are computed as aggregates (partial on the map side). Exact quantiles go through the
-bucketed ordered plan, never through a single task holding all distinct values. Whole-table scalars
-enter row expressions as scalar subqueries (computed once, no join).
+Statistics are computed as aggregates (partial on the map side). Exact quantiles take two scans: a sketch, then
+the values that it leaves open (plans/quantiles.py). Whole-table scalars enter row expressions as scalar subqueries
+(computed once, no join).
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.ordered import exact_quantiles, null_safe_join, present, quantiles_of_counts
-from ..session import pin
+from ..plans.ordered import null_safe_join, present
+from ..plans.quantiles import column_profile, column_quantiles, exact_quantiles, kinds, number
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -59,15 +59,11 @@ def count_statistics(vc: DataFrame, by, value: str = "value", n: str = "_n") ->
         F.sqrt(F.try_divide(F.col("_ss"), F.col("count"))).alias("std_pop"), "min", "max")
 
 
-def describe(df: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
+def describe(df: DataFrame, cols=None) -> DataFrame:
     """count, mean, sample std, min, exact 25/50/75 % (linear), max per numeric column."""
-    # the number of rows per (column, value), counted once; every statistic comes from it
-    vc = pin(long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n")), "counts")
-    base = count_statistics(vc, ["column"])
-    q = quantiles_of_counts(vc.where(F.col("value").isNotNull()), "value", "_n", QUARTILES, ["column"], n_buckets)
-    return base.join(q, "column", "left").select(
-        "column", "count", "mean", "std", "min", F.col("p25").alias("25%"), F.col("p50").alias("50%"),
-        F.col("p75").alias("75%"), "max")
+    q = column_profile(df, list(cols or numeric_columns(df)), QUARTILES)
+    return q.select("column", "count", "mean", "std", "min", F.col("p25").alias("25%"), F.col("p50").alias("50%"),
+                    F.col("p75").alias("75%"), "max")
 
 
 def null_percentage(df: DataFrame, cols=None) -> DataFrame:
@@ -85,23 +81,34 @@ def null_percentage(df: DataFrame, cols=None) -> DataFrame:
     return row.unpivot([], cols, "column", "null_pct")
 
 
-def central_values(df: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
-    """Mean, median and mode per numeric column; among several modes the smallest."""
-    counts = pin(long_values(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value")
-                 .agg(F.count(F.lit(1)).alias("n")), "counts")
-    # highest count per column (one row per column, broadcast back), then the smallest value with it:
-    # hash aggregates only, and no task ever holds all distinct values of a column
-    top = counts.groupBy("column").agg(F.max("n").alias("_top"))
-    mode = (counts.join(F.broadcast(top), "column", "inner").where(F.col("n") == F.col("_top"))
+def column_counts(df: DataFrame, cols, by=()) -> list[DataFrame]:
+    """Rows per (``by``, column, value), one frame for each kind of number (whole, double); nulls and NaN are one value."""
+    by = list(by)
+    return [df.select(*by, *[number(c, df.schema[c].dataType).alias(c) for c in names]).unpivot(by, names, "column", "value")
+            .groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n")) for names in kinds(df, list(cols))]
+
+
+def modes(counts: DataFrame) -> DataFrame:
+    """The commonest value of each column, the smallest of several: hash aggregates only."""
+    known = counts.where(F.col("value").isNotNull())
+    top = known.groupBy("column").agg(F.max("n").alias("_top"))  # one row per column, broadcast back
+    return (known.join(F.broadcast(top), "column", "inner").where(F.col("n") == F.col("_top"))
             .groupBy("column").agg(F.min("value").alias("mode")))
-    mean = counts.groupBy("column").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-    med = quantiles_of_counts(counts, "value", "n", {"median": 0.5}, ["column"], n_buckets)
-    return mean.join(med, "column", "left").join(mode, "column", "left")
 
 
-def quantiles(df: DataFrame, col: str, probs: dict[str, float], group_cols=None,
-              n_buckets: int | None = None) -> DataFrame:
-    return exact_quantiles(df, col, probs, group_cols, n_buckets)
+def central_values(df: DataFrame, cols=None) -> DataFrame:
+    """Mean, median and mode per numeric column; among several modes the smallest."""
+    cols = list(cols or numeric_columns(df))
+    mode = None
+    for counts in column_counts(df, cols):
+        m = modes(counts).withColumn("mode", F.col("mode").cast("double"))
+        mode = m if mode is None else mode.unionByName(m)
+    both = column_profile(df, cols, {"median": 0.5}).where(F.col("count") > 0).select("column", "mean", "median")
+    return both.join(mode, "column", "left")
+
+
+def quantiles(df: DataFrame, col: str, probs: dict[str, float], group_cols=None) -> DataFrame:
+    return exact_quantiles(df, col, probs, group_cols)
 
 
 def spread(df: DataFrame, cols=None) -> DataFrame:
@@ -118,26 +125,45 @@ def date_range(df: DataFrame, date_col: str, group_col: str | None = None) -> Da
             .agg(F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")))
 
 
+PAIRS = 64  # of columns in one aggregate's row
+
+
 def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
     """Pearson correlation of every column pair, pairwise-complete (NaN counts as missing), long form
-    ``(col_a, col_b, corr)``; a constant column has no correlation, also not with itself."""
+    ``(col_a, col_b, corr)``; a column that is constant over the pair's rows has no correlation (null).
+
+    ``regr_r2`` and ``covar_pop`` keep mergeable co-moments and skip rows that lack one of the two (``corr`` has the same
+    sums, but divides by zero on constant columns). The pairs are dealt into blocks of 64; each row goes to every block with
+    its numbers, and one aggregate by block holds 64 pairs, however many columns there are.
+    """
     cols = list(cols or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    names = [f"{a}\u0001{b}" for a, b in pairs]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    x = {c: _nan_to_null(c, types[c]).cast("double") for c in cols}
+    n = len(cols)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    blocks = [pairs[i:i + PAIRS] for i in range(0, len(pairs), PAIRS)]
+    x = [_nan_to_null(c, df.schema[c].dataType).cast("double") for c in cols]
 
     def corr(a: Column, b: Column) -> Column:
-        sd = lambda u, v: F.stddev_samp(F.when(v.isNotNull(), u))
-        return F.try_divide(F.covar_samp(a, b), sd(a, b) * sd(b, a))
+        square, cov = F.regr_r2(a, b), F.covar_pop(a, b)  # of a constant: null on one side, 1 with covariance 0 on the other
+        return F.when((cov != 0) | (square == 0), F.least(F.lit(1.0), F.sqrt(square)) * F.signum(cov))
 
-    row = df.agg(*[corr(x[a], x[b]).alias(n) for (a, b), n in zip(pairs, names)])
-    long = row.unpivot([], names, "_pair", "corr")
-    parts = F.split(F.col("_pair"), "\u0001")
-    half = long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "corr")
-    mirror = half.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    return half.unionByName(mirror)
+    if len(blocks) == 1:
+        wide = df.select(*[v.alias(f"x{i}") for i, v in enumerate(x)])
+        rows = wide.agg(F.array(*[corr(F.col(f"x{i}"), F.col(f"x{j}")) for i, j in pairs]).alias("c")) \
+            .select(F.lit(0).alias("block"), "c")
+    else:
+        index = lambda side: F.array(*[F.array(*[F.lit(p[side]) for p in b]) for b in blocks])
+        wide = df.select(F.array(*x).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))).alias("block"))
+        wide = wide.select("x", "block", F.get(index(0), F.col("block")).alias("a"), F.get(index(1), F.col("block")).alias("b"))
+        at = lambda side, k: F.get("x", F.get(side, F.lit(k)))
+        rows = wide.groupBy("block").agg(F.array(*[corr(at("a", k), at("b", k)) for k in range(PAIRS)]).alias("c"))
+    at = F.col("block") * PAIRS + F.col("k")
+    named = lambda side: F.get(F.array(*[F.lit(cols[p[side]]) for p in pairs]), at.cast("int"))
+    half = rows.select("block", F.posexplode("c").alias("k", "corr")).where(at < len(pairs)).select(
+        named(0).alias("col_a"), named(1).alias("col_b"), F.when(~F.isnan("corr"), F.col("corr")).alias("corr"))
+    half = half.withColumn("corr", F.when((F.col("col_a") == F.col("col_b")) & F.col("corr").isNotNull(), 1.0).otherwise(F.col("corr")))
+    mirrored = F.array(F.struct("col_a", "col_b"), F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")))
+    return half.select(F.explode(F.when(F.col("col_a") == F.col("col_b"), F.slice(mirrored, 1, 1)).otherwise(mirrored)).alias("p"), "corr") \
+        .select("p.col_a", "p.col_b", "corr")
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -161,28 +187,23 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, col: str, group_col: str | None = None, whisker: float = 1.5,
-              n_buckets: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, col: str, group_col: str | None = None, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the furthest points within ``whisker`` IQR, outlier count."""
     g = [group_col] if group_col else []
-    d = df.where(present(df, col)).select(*g, F.col(col).cast("double").alias("_v"))
-    # everything from the number of rows per distinct value: one scan, one range exchange
-    vc = pin(d.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
-    q = quantiles_of_counts(vc, "_v", "_n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, g, n_buckets)
+    d = df.where(present(df, col)).select(*g, F.col(col).alias("_v"))
+    q = exact_quantiles(d, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, g)
+    v = F.col("_v").cast("double")
     if g:
-        j = null_safe_join(vc, q, g)
+        j = null_safe_join(d, q, g)
     else:
         s = q.select(F.struct("q1", "median", "q3")).scalar()
-        j = vc.withColumn("_q", s).select("_v", "_n", "_q.*")
+        j = d.withColumn("_q", s).select("_v", "_q.*")
     iqr = F.col("q3") - F.col("q1")
-    lo_fence, hi_fence = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
-    inside = (F.col("_v") >= lo_fence) & (F.col("_v") <= hi_fence)
+    inside = (v >= F.col("q1") - whisker * iqr) & (v <= F.col("q3") + whisker * iqr)
     return j.groupBy(*g).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
-    )
+        F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
+        F.count(F.when(~inside, 1)).alias("outliers"))
 
 
 def info(df: DataFrame) -> DataFrame:
@@ -236,22 +257,17 @@ def category_quality(reference: DataFrame, current: DataFrame, cols) -> DataFram
     return counts.join(F.broadcast(totals), ["side", "column"], "inner")  # one row per side and column
 
 
-def data_quality(reference: DataFrame, current: DataFrame, cols=None, n_buckets: int | None = None) -> DataFrame:
+def data_quality(reference: DataFrame, current: DataFrame, cols=None) -> DataFrame:
     """Reference and current profiled side by side: per (side, column) rows, missing values,
     distinct values, mean, sample std, min, exact quartiles, max (numeric columns)."""
     cols = list(cols or numeric_columns(reference))
-    types = {f.name: f.dataType for f in reference.schema.fields}
-
-    def tagged(df, side):
-        wide = df.select(*[_nan_to_null(c, types[c]).cast("double").alias(c) for c in cols])
-        return wide.unpivot([], cols, "column", "value").withColumn("side", F.lit(side))
-
-    long = tagged(reference, "reference").unionByName(tagged(current, "current"))
-    keys = ["side", "column"]
-    vc = pin(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")), "counts")
-    rows = vc.groupBy(*keys).agg(
-        F.sum("_n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("missing"),
-        F.count("value").alias("distinct"))
-    base = rows.join(count_statistics(vc, keys).drop("count", "std_pop"), keys, "inner")
-    q = quantiles_of_counts(vc.where(F.col("value").isNotNull()), "value", "_n", QUARTILES, keys, n_buckets)
-    return base.join(q, keys, "left")
+    both = reference.select(*cols).withColumn("side", F.lit("reference")).unionByName(
+        current.select(*cols).withColumn("side", F.lit("current")))
+    keys, rows = ["side", "column"], None
+    for counts in column_counts(both, cols, ["side"]):
+        r = counts.groupBy(*keys).agg(
+            F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+            F.count("value").alias("distinct"))
+        rows = r if rows is None else rows.unionByName(r)
+    return rows.join(column_profile(both, cols, QUARTILES, ["side"]).drop("count", "std_pop"), keys, "inner").select(
+        *keys, "rows", "missing", "distinct", "mean", "std", "min", "max", *QUARTILES)

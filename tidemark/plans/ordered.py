@@ -10,7 +10,7 @@
 Rows that are equal on the whole key share a partition; equal first columns don't have to. Nulls are a value
 of their own, in groups and in order. No split point enters an expression.
 
-Used by exact quantiles, KS / Wasserstein / ROC AUC, exact seeded splits and row-position interpolation.
+Used by KS / Wasserstein / ROC AUC, row numbers and row-position interpolation.
 """
 
 from __future__ import annotations
@@ -139,31 +139,3 @@ def present(df: DataFrame, col: str) -> Column:
     x = F.col(col)
     ok = x.isNotNull()
     return ok & ~F.isnan(x) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else ok
-
-
-def quantiles_of_counts(vc: DataFrame, value_col: str, count_col: str, probs: dict[str, float], group_cols=None,
-                        n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation from the number of rows per distinct value."""
-    g = _as_list(group_cols)
-    rows, _ = running_totals(vc, value_col, [count_col], g, n_buckets)
-    aggs = []
-    for name, p in probs.items():
-        h = (F.col(f"{count_col}_total") - 1) * F.lit(float(p))
-        lo = F.min(F.when(F.col(f"{count_col}_upto") > F.floor(h), F.col(value_col)))
-        hi = F.min(F.when(F.col(f"{count_col}_upto") > F.ceil(h), F.col(value_col)))
-        frac = F.first(h - F.floor(h))
-        aggs.append((lo + (hi - lo) * frac).cast("double").alias(name))
-    return rows.groupBy(*g).agg(*aggs)
-
-
-def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float], group_cols=None,
-                    n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas ``quantile``, SQL ``quantile_cont``).
-
-    Nulls and NaN are skipped. Returns one row per group with one column per entry of ``probs``
-    (name -> probability). Memory per task stays bounded by the partition size, unlike a
-    ``percentile`` aggregate whose final merge holds every distinct value of a group.
-    """
-    g = _as_list(group_cols)
-    vc = df.where(present(df, value_col)).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n"))
-    return quantiles_of_counts(vc, value_col, "_n", probs, g, n_buckets)
