@@ -113,11 +113,16 @@ def code(counts: Counts, data: np.ndarray, offsets: np.ndarray):
     shared = shared_class(data, starts, ends)
     cls = np.where(own > 0, own, 1 + counts.n_own + shared).astype(np.uint16)
     log_c = np.where(local, np.log10((counts.counts[at] if len(counts.counts) else 0) + 1.0), 0.0)
-    add = lambda v: np.concatenate([[0.0], np.cumsum(v)])
-    base, rare = add(log_c), add(np.where(own > 0, 0.0, log_c - counts.log_total[shared]))
-    known = add(local)
-    per = lambda s: s[first[1:]] - s[first[:-1]]
-    return h, cls, ~local, first, per(base), per(rare), per(known)
+    # summed text by text (a running total of the block would lose the small sums' digits), quotients before the sum
+    empty = first[1:] == first[:-1]
+    per = lambda v: np.where(empty, 0.0, np.add.reduceat(np.append(v, 0.0), first[:-1]))
+    rare = np.where(own > 0, 0.0, log_c - counts.log_total[shared])
+    return h, cls, ~local, first, per(log_c - log_all(counts)), per(rare), per(local.astype(float))
+
+
+def log_all(counts: Counts) -> float:
+    """log10 of what every smoothed count is divided by."""
+    return float(np.log10(counts.tokens + counts.distinct + 1.0))
 
 
 @dataclass
@@ -262,7 +267,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                 end = counts.end_count
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(2), pa.array(n + 1), pa.array((known + (end > 0)).astype(np.int64)),
-                    pa.array(base + np.log10(end + 1.0)), pa.array(rare),
+                    pa.array(base + np.log10(end + 1.0) - log_all(counts)), pa.array(rare),
                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(seq_offsets.astype(np.int32).tobytes()), pa.py_buffer(seq.tobytes())]),
                     pa.ListArray.from_arrays(pa.array(rare_offsets.astype(np.int32)), pa.array(rare_words))],
                     ["row", "id", "held_out", "n", "known", "base", "rare", "seq", "look"])
@@ -291,9 +296,8 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     scored = coded.drop("look").mapInArrow(likelihood, f"row long, id {id_type}, held_out boolean, n long, known long, base double, "
                                                        f"rare double, path double")
     extra = lambda c: F.coalesce(F.col(c), F.lit(0))
-    one = float(np.log10(counts.tokens + counts.distinct + 1.0))
     return scored.join(looked, "row", "left").select(
         F.col("id").alias(id_col), "held_out", F.col("n").alias("n_tokens"), (F.col("known") + extra("l_known")).alias("n_known"),
         F.lit(counts.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + extra("l_sum") - F.col("n") * F.lit(one)).alias("base_score"),
+        (F.col("base") + extra("l_sum")).alias("base_score"),
         (F.col("path") + F.col("rare") + extra("l_sum")).alias("score"))
