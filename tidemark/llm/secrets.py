@@ -30,7 +30,7 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = BASE_KINDS + ("weak_access", "weak_secret", "endpoint")
 ROLE = {"access": 0, "weak_access": 0, "assign": 1, "hex": 1, "weak_secret": 1, "endpoint": 2}
 
-WEAK_ID = (r"""(?i:access_?key_?id|key_?id|client_?id|user_?name|login|account)["']?\x20*[:=]\x20*["']?"""
+WEAK_ID = (r"""(?i:access_?key_?id|key_?id|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?"""
            r"""([A-Za-z0-9@._+-]{3,64})""")
 WEAK_TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 ENDPOINT = r"""https?://[^\s"'<>]+|(?i:host|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?"""
