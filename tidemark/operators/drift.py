@@ -72,12 +72,18 @@ def _with_totals(counts: DataFrame, by: str = "feature") -> DataFrame:
 
 def _report(df: DataFrame, test: str, score: Column, threshold: float | None) -> DataFrame:
     thr = DEFAULT_THRESHOLDS[test] if threshold is None else float(threshold)
-    # a side without rows has no score and no drift
+    # a side without rows, and a score that is no number, is no score and no drift
+    score = F.when(~F.isnan(score), score)
     detected = F.coalesce((score < F.lit(thr)) if test in P_VALUE_TESTS else (score >= F.lit(thr)), F.lit(False))
     return df.select("feature", F.lit(test).alias("stattest"), score.alias("drift_score"),
                      F.lit(thr).alias("threshold"), detected.alias("drift_detected"))
 
 
+def finite(long: DataFrame) -> DataFrame:
+    """Rows with finite values: distances and bins have no place for infinite ones."""
+    return long.where(F.abs("value") != F.lit(float("inf")))
+
+
 # ---------------------------------------------------------------------- numeric tests
 
 
@@ -102,8 +108,8 @@ def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
 
 
 def wasserstein_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
-    """W1 distance between the empirical distributions, divided by max(std_pop(reference), 0.001)."""
-    vc = _side_counts(long, ["feature", "value"])
+    """W1 distance between the empirical distributions of the finite values, divided by max(std_pop(reference), 0.001)."""
+    vc = _side_counts(finite(long), ["feature", "value"])
     rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
     rows = next_value(rows, "value", ["feature"])
     gap = F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))
@@ -116,16 +122,21 @@ def wasserstein_test(long: DataFrame, threshold: float | None = None, n_buckets:
 
 
 def _numeric_bins(long: DataFrame, n_bins: int, range_side: int | None) -> DataFrame:
-    """Equal-width bin per value over the reference range (``range_side=0``; current values outside
-    it get no bin) or over both sides (``None``); the last bin is closed."""
-    src = long if range_side is None else long.where(F.col("side") == range_side)
+    """Equal-width bin per value over the finite range of the reference (``range_side=0``; values outside it get no
+    bin) or of both sides (``None``; infinite values go to the end bins); the last bin is closed."""
+    src = finite(long if range_side is None else long.where(F.col("side") == range_side))
     rng = src.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     j = long.join(F.broadcast(rng), "feature", "inner")  # one row per feature
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(n_bins))
-    inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(n_bins - 1)))
-    return j.withColumn("bin", F.when(inside, b.cast("int")))
+    if range_side is None:
+        j = j.withColumn("value", F.greatest("lo", F.least("hi", "value")))
+    return j.withColumn("bin", bin_of(F.col("value"), F.col("lo"), F.col("hi"), n_bins)).drop("lo", "hi")
+
+
+def bin_of(value: Column, lo: Column, hi: Column, n_bins: int) -> Column:
+    """Number of the equal-width bin of [lo, hi], the last one closed; null outside."""
+    width = (hi - lo) / F.lit(float(n_bins))
+    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((value - lo) / width), F.lit(n_bins - 1)))
+    return F.when((value >= lo) & (value <= hi), b.cast("int"))
 
 
 def _binned_shares(long: DataFrame, n_bins: int, range_side: int | None) -> DataFrame:
@@ -176,7 +187,12 @@ def jensenshannon_numeric(long: DataFrame, threshold: float | None = None, n_bin
 
 
 def _category_shares(long: DataFrame) -> DataFrame:
-    c = _with_totals(_side_counts(long, ["feature", "value"]))
+    return count_shares(_side_counts(long, ["feature", "value"]))
+
+
+def count_shares(counts: DataFrame) -> DataFrame:
+    """Counts per (feature, value) of both sides with the sides' totals and shares."""
+    c = _with_totals(counts)
     return c.select("feature", "value", "ref_n", "cur_n", "ref_total", "cur_total",
                     F.try_divide("ref_n", "ref_total").alias("p"), F.try_divide("cur_n", "cur_total").alias("q"))
 
@@ -192,7 +208,11 @@ def jensenshannon_categorical(long: DataFrame, threshold: float | None = None) -
 def chisquare_statistic(long: DataFrame) -> DataFrame:
     """Chi-square of current counts against reference shares scaled to the current size, over the
     categories seen in the reference; dof = categories - 1."""
-    s = _category_shares(long).where(F.col("ref_n") > 0)
+    return chisquare_of_shares(_category_shares(long))
+
+
+def chisquare_of_shares(shares: DataFrame) -> DataFrame:
+    s = shares.where(F.col("ref_n") > 0)
     e = F.col("p") * F.col("cur_total")
     return s.groupBy("feature").agg(
         F.sum(F.try_divide((F.col("cur_n") - e) * (F.col("cur_n") - e), e)).alias("chi2"),
@@ -231,7 +251,10 @@ def chi2_pvalue(x: Column, k: Column) -> Column:
 
 
 def chisquare_test(long: DataFrame, threshold: float | None = None) -> DataFrame:
-    st = chisquare_statistic(long)
+    return chisquare_report(chisquare_statistic(long), threshold)
+
+
+def chisquare_report(st: DataFrame, threshold: float | None = None) -> DataFrame:
     p = F.when(F.col("chi2").isNotNull(), chi2_pvalue(F.col("chi2"), F.col("dof")))
     return _report(st, "chisquare", p, threshold)
 
@@ -280,7 +303,7 @@ def drift_report(reference: DataFrame, current: DataFrame, numerical=(), categor
     """Per-feature drift rows ``(feature, stattest, drift_score, threshold, drift_detected)``.
 
     With a test named per kind, it is used for all features of that kind; otherwise the default of the
-    kind applies. A feature without rows on one side has a null score or no row, and never drift.
+    kind applies. Every feature has its row: one without rows on a side has a null score, and never drift.
     """
     plan = {}
     if num_stattest is None or cat_stattest is None:
@@ -305,7 +328,17 @@ def drift_report(reference: DataFrame, current: DataFrame, numerical=(), categor
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    given = {"num": num_threshold, "cat": cat_threshold}
+    return every_feature(out, [(c, t, float(DEFAULT_THRESHOLDS[t] if given[k] is None else given[k])) for c, (k, t) in plan.items()])
+
+
+def every_feature(report: DataFrame, wanted) -> DataFrame:
+    """The report with a row for each of ``wanted`` (feature, stattest, threshold), also those that no value reached."""
+    all_ = report.sparkSession.createDataFrame(list(wanted), "feature string, stattest string, threshold double")
+    found = report.select(F.col("feature").alias("_f"), F.col("stattest").alias("_t"), "drift_score", "drift_detected")
+    j = all_.join(F.broadcast(found), (F.col("feature") == F.col("_f")) & (F.col("stattest") == F.col("_t")), "left")  # a row a feature
+    return j.select("feature", "stattest", "drift_score", "threshold",
+                    F.coalesce("drift_detected", F.lit(False)).alias("drift_detected"))
 
 
 def dataset_drift(report: DataFrame, share: float = DATASET_DRIFT_SHARE) -> DataFrame:

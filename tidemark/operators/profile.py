@@ -171,19 +171,22 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins over [min, max]; the last bin is closed. Empty bins are not listed."""
-    x = F.col(col).cast("double")
+    """Equal-width bins over [min, max] of the finite values; the last bin is closed. Empty bins are not listed. Infinite
+    values are counted apart, in bin -1 and bin ``bins``, which end at the range and are open outwards."""
+    x, inf = F.col(col).cast("double"), F.lit(float("inf"))
     clean = df.where(x.isNotNull() & ~F.isnan(x))
-    lo = clean.select(F.min(x)).scalar()
-    hi = clean.select(F.max(x)).scalar()
+    ends = clean.where(F.abs(x) != inf).select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     width = (hi - lo) / F.lit(float(bins))
-    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((x - lo) / width), F.lit(bins - 1)))
+    b = F.when(x == inf, F.lit(bins)).when(x == -inf, F.lit(-1)).when(hi == lo, F.lit(0)) \
+        .otherwise(F.least(F.floor((x - lo) / width), F.lit(bins - 1)))
+    start, end = F.col("_lo") + F.col("bin") * F.col("_w"), F.col("_lo") + (F.col("bin") + 1) * F.col("_w")
     return (
         clean.select(b.cast("int").alias("bin"), lo.alias("_lo"), width.alias("_w"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("count"), F.first("_lo").alias("_lo"), F.first("_w").alias("_w"))
-        .select("bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"),
-                (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_end"), "count")
+        .select("bin", F.when(F.col("bin") == -1, -inf).otherwise(start).alias("bin_start"),
+                F.when(F.col("bin") == bins, inf).otherwise(end).alias("bin_end"), "count")
     )
 
 

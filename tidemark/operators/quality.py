@@ -1,7 +1,8 @@
 """Model-quality metrics: classification (label and probability) and regression.
 
 Every metric comes from one small aggregate: the confusion matrix has at most k*k rows, so the
-label metrics are a handful of partial aggregations whatever the input size.
+label metrics are a handful of partial aggregations whatever the input size. One rule for rows with gaps: a metric
+uses the rows that have both of its columns (neither null nor NaN).
 """
 
 from __future__ import annotations
@@ -34,9 +35,10 @@ def _groups(group_cols) -> list[str]:
 
 def confusion_matrix(df: DataFrame, target: str = "target", prediction: str = "prediction",
                      group_cols=None) -> DataFrame:
+    """Rows per (group, target, prediction), of the rows that have both."""
     g = _groups(group_cols)
     return (
-        df.groupBy(*g, F.col(target).alias("target"), F.col(prediction).alias("prediction"))
+        df.where(present(df, target) & present(df, prediction)).groupBy(*g, F.col(target).alias("target"), F.col(prediction).alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

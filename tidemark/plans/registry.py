@@ -16,6 +16,7 @@ MODULES = (
     "queries_model",
     "queries_stream",
     "queries_catalog",
+    "queries_state",
 )
 
 

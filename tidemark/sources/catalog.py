@@ -87,6 +87,18 @@ def append_table(df: DataFrame, table_name: str, dtypes: dict | None = None, par
         w.saveAsTable(table_name)
 
 
+def overwrite_partitions(df: DataFrame, table_name: str) -> None:
+    """Replace the partitions of a table that ``df`` has rows of; the others stay. ``df`` mustn't read the table."""
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")  # insertInto knows no option for it
+    try:
+        df.select(*spark.table(table_name).columns).write.mode("overwrite").insertInto(table_name)
+    finally:
+        spark.conf.set(key, before)
+    spark.catalog.refreshTable(table_name)
+
+
 def python_type_to_spark(value, default: T.DataType | None = None) -> T.DataType:
     """bool -> boolean, int -> bigint, float -> double, str -> string, datetime -> timestamp."""
     if isinstance(value, bool):
