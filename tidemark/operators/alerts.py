@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Comparison operator names (as in Python's ``operator`` module) and the shipped rule.
@@ -125,13 +125,38 @@ def alert_periods(points: DataFrame, ts: str = "end_time", value: str = "bool_va
     )
 
 
-def incidents(fired_periods: DataFrame, series_cols=("model", "metric"), auto_close: str = "7 days") -> DataFrame:
-    """Group firing periods into incidents that close after ``auto_close`` without a firing period."""
-    f = fired_periods.where("fires")
-    return (
-        f.groupBy(*series_cols, F.session_window("period_start", auto_close).alias("incident"))
-        .agg(F.count(F.lit(1)).alias("firing_periods"), F.min("period_start").alias("opened_at"),
-             F.max("period_end").alias("last_firing_end"))
-        .select(*series_cols, "opened_at", "last_firing_end", "firing_periods",
-                F.col("incident.end").alias("closes_at"))
-    )
+def incidents(fired_periods: DataFrame, series_cols=("model", "metric"), auto_close: str = "7 days",
+              chunk: str = "30 days") -> DataFrame:
+    """Group firing periods into incidents that close after ``auto_close`` without a firing period.
+
+    Series are cut into chunks of time (longer than ``auto_close``), and gaps are found by ``lag`` inside them, so a
+    series of any length is spread over tasks. Each chunk's runs are reduced to their ends; the first and the last run of
+    a chunk may go on in a neighbouring one, and only these are compared across chunks: at most two rows
+    a chunk, in a window per series.
+    """
+    keys = list(series_cols)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    span = lambda text: F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00 UTC' + interval {text})")
+    close, width = span(auto_close), F.greatest(span(chunk), span(auto_close))
+    f = fired_periods.where("fires").select(*keys, "period_start", "period_end", micros("period_start").alias("_at"))
+    f = f.withColumn("_chunk", F.floor(F.col("_at") / width))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_at")
+    begins = F.coalesce(F.col("_at") - F.lag("_at").over(inside) >= close, F.lit(True))
+    f = f.withColumn("_begins", begins.cast("long"))
+    f = f.withColumn("_run", F.sum("_begins").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = f.groupBy(*keys, "_chunk", "_run").agg(
+        F.count(F.lit(1)).alias("firing_periods"), F.min("period_start").alias("opened_at"), F.max("period_end").alias("last_firing_end"),
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.max("period_start").alias("_last_start"))
+    # only the runs at a chunk's two ends can join others
+    ends = Window.partitionBy(*keys, "_chunk")
+    runs = runs.withColumn("_edge", (F.col("_run") == 1) | (F.col("_run") == F.max("_run").over(ends)))
+    across = Window.partitionBy(*keys).orderBy("_first")
+    edge = runs.where("_edge").withColumn("_new", F.coalesce(
+        F.col("_first") - F.lag("_last").over(across) >= close, F.lit(True)).cast("long"))
+    edge = edge.withColumn("_incident", F.sum("_new").over(across.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = edge.groupBy(*keys, "_incident").agg(
+        F.sum("firing_periods").alias("firing_periods"), F.min("opened_at").alias("opened_at"),
+        F.max("last_firing_end").alias("last_firing_end"), F.max("_last_start").alias("_last_start")).drop("_incident")
+    whole = joined.unionByName(runs.where(~F.col("_edge")).select(*joined.columns))
+    return whole.select(*keys, "opened_at", "last_firing_end", F.col("firing_periods").cast("long").alias("firing_periods"),
+                        (F.col("_last_start") + F.expr(f"interval {auto_close}")).alias("closes_at"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import days_before
+from ..session import pin
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("inserted_at", T.TimestampType()),
@@ -107,15 +108,26 @@ def read_history(spark: SparkSession, table_name: str) -> DataFrame:
     return spark.table(table_name)
 
 
-def append_history(rows: DataFrame, table_name: str, buckets: int | None = None) -> None:
+def append_history(rows: DataFrame, table_name: str, buckets: int | None = None, once: bool = False) -> None:
     """Append scored rows; the table is partitioned by model version so version reads prune.
 
     With ``buckets``, the table is created bucketed (and sorted) by ``series_id``: the latest-value
     aggregate per (series, day) and joins on the series id then read co-located buckets without a
     shuffle of the history.
+
+    With ``once``, a batch (the rows of one ``inserted_at`` and model version) that the table already holds in part or whole
+    is completed, not doubled: rows whose insert time, version, series and day are there are left out. A broken append
+    leaves no rows behind (the write is committed as a whole), so this covers reruns.
     """
     spark = rows.sparkSession
     rows = rows.select([f.name for f in HISTORY_SCHEMA.fields])
+    if once and spark.catalog.tableExists(table_name):
+        keys = ["inserted_at", "model_version", "series_id", "timestamp"]
+        batch = [r.model_version for r in rows.select("model_version").distinct().collect()]  # versions in the batch: one
+        there = spark.table(table_name).where(F.col("model_version").isin(batch)).select(*keys)
+        newest = rows.agg(F.min("inserted_at").alias("lo"), F.max("inserted_at").alias("hi")).first()
+        there = there.where(F.col("inserted_at").between(F.lit(newest.lo), F.lit(newest.hi)))  # pushed down to the scan
+        rows = pin(rows.join(there.distinct(), keys, "left_anti").select(rows.columns), "history-batch")
     if spark.catalog.tableExists(table_name):
         rows.write.mode("append").insertInto(table_name)
         return

@@ -13,24 +13,25 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts, drift, history, model, profile, quality, registry, sample
 from ..session import pin
-from ..sources import catalog
+from ..sources import catalog, commits
 
 
 # The monitoring tables of the inference job.
 FEATURE_DRIFT_TABLE, PREDICTION_DRIFT_TABLE = "monitor_feature_drift", "monitor_prediction_drift"
 METRIC_POINTS_TABLE = "metric_points"
+COMMITS_TABLE = "job_commits"
 
 
 def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str, model_name: str,
                            model_version=None, lookback_days: int = 1200, rules=None,
                            tiebreak: str | None = None, metrics_table: str | None = None,
                            points_table: str | None = None, project: str = "project",
-                           location: str = "location", task_id: str = "task") -> DataFrame | None:
+                           location: str = "location", task_id: str = "task", commits_table: str | None = None) -> DataFrame | None:
     """Resolve the version (highest when none is given), read the newest prediction per series and
     day, join the truth, compute quality and the alert flag. Returns the metrics row, or ``None``
     when there is no history or nothing joins (the original early exits). With table names given,
     the row is appended to the metrics table (new metric columns are added) and its long gauge
-    points to the points table."""
+    points to the points table; with ``commits_table`` as one commit, so that a rerun replaces its own rows."""
     if model_version is None:  # a literal, so that the read below prunes partitions
         model_version = history_df.agg(F.max("model_version")).first()[0]
         if model_version is None:
@@ -44,28 +45,37 @@ def performance_monitoring(history_df: DataFrame, truth: DataFrame, as_of: str,
     row = pin(row, "metrics")
     if row.where(F.col("accuracy").isNotNull()).isEmpty():
         return None
-    if metrics_table or points_table:
-        if metrics_table:
-            catalog.write_metrics(row, metrics_table)
-        if points_table:
-            catalog.append_table(registry.metric_points(row, project, location, task_id), points_table)
+    _write_row(row, f"performance/{model_name}/{model_version}", as_of, metrics_table, points_table, commits_table,
+               registry.metric_points(row, project, location, task_id))
     return row
 
 
+def _write_row(row: DataFrame, job: str, as_of: str, metrics_table: str | None, points_table: str | None,
+               commits_table: str | None, points: DataFrame) -> None:
+    """A monitoring row and its gauge points, appended or (with ``commits_table``) committed."""
+    if commits_table:
+        outputs = {name: df for name, df in ((metrics_table, row), (points_table, points)) if name}
+        commits.run_commit(row.sparkSession, commits_table, commits.commit_name(job, as_of), outputs)
+        return
+    if metrics_table:
+        catalog.write_metrics(row, metrics_table)
+    if points_table:
+        catalog.append_table(points, points_table)
+
+
 def drift_monitoring(report: DataFrame, features, model_name: str, model_version, as_of: str, prefix: str,
                      metrics_table: str | None = None, points_table: str | None = None, project: str = "project",
-                     location: str = "location", task_id: str = "task") -> DataFrame:
+                     location: str = "location", task_id: str = "task", commits_table: str | None = None) -> DataFrame:
     """The monitoring row of a drift report (dataset drift and one pair of columns per feature). With table names it is
-    appended to the metrics table, and its gauge points, named ``prefix/<key>``, to the points table."""
+    appended to the metrics table, and its gauge points, named ``prefix/<key>``, to the points table; with
+    ``commits_table`` as one commit."""
     m = drift.drift_metrics(report, features)
     row = m.select(F.lit(model_name).alias("model_name"), F.lit(str(model_version)).alias("model_version"),
                    F.lit(as_of).cast("timestamp_ntz").alias("timestamp"), *m.columns)
     if metrics_table or points_table:
         row = pin(row, "drift-row")
-        if metrics_table:
-            catalog.write_metrics(row, metrics_table)
-        if points_table:
-            catalog.append_table(registry.metric_points(row, project, location, task_id, prefix), points_table)
+        _write_row(row, f"{prefix}/{model_name}/{model_version}", as_of, metrics_table, points_table, commits_table,
+                   registry.metric_points(row, project, location, task_id, prefix))
     return row
 
 
@@ -118,18 +128,26 @@ def training(spark: SparkSession, source: DataFrame, label: str, key: str, featu
 def inference(spark: SparkSession, batch: DataFrame, key: str, features, registry_table: str, model_name: str,
               history_table: str, training_table: str, as_of: dt.datetime, database: str,
               expire_days: int = 30) -> dict:
-    """Score a batch with the default model, snapshot it (with expiry), compute prediction drift
-    against the history and feature drift against the training data, then append to the history."""
+    """Store the batch (with expiry), score the stored rows with the default model, store the predictions (with expiry),
+    compute prediction drift against the history and feature drift against the training data, then append to the history.
+    Everything is named after ``as_of``: a rerun replaces what it wrote, also after a run that broke on the way."""
     reg = spark.table(registry_table)
     fitted, version = model.load_default_model(reg, model_name)
+    stored = catalog.unique_table_name(f"{database}.inference_data_", as_of)
+    catalog.replace_table(batch, stored)
+    catalog.set_expiry(spark, stored, as_of, expire_days)
+    batch = spark.table(stored)
     scored = model.batch_predictions(fitted, batch, key, as_of.date().isoformat(), version)
     snap = catalog.unique_table_name(f"{database}.predictions_", as_of)
-    catalog.append_table(scored, snap)
+    catalog.replace_table(scored, snap)
     catalog.set_expiry(spark, snap, as_of, expire_days)
     preds = spark.table(snap)
     hist = history.read_history(spark, history_table)
-    out = {"predictions_table": snap, "version": version}
+    out = {"inference_table": stored, "predictions_table": snap, "version": version}
     at = as_of.strftime("%Y-%m-%d %H:%M:%S")
+    if "inserted_at" in hist.columns:  # a rerun isn't compared with its own rows
+        hist = hist.where(F.col("inserted_at") != F.lit(at).cast("timestamp"))
+    done = f"{database}.{COMMITS_TABLE}"
     points = f"{database}.{METRIC_POINTS_TABLE}"
     if "model_version" in hist.columns:
         ref = history.latest_per_series(hist, at, 730, version, tiebreak="prediction")
@@ -137,13 +155,14 @@ def inference(spark: SparkSession, batch: DataFrame, key: str, features, registr
             cur = preds.select(F.col("prediction_value").alias("prediction"))
             pd_rep = pin(drift.drift_report(ref.select("prediction"), cur, categorical=["prediction"]), "drift")
             drift_monitoring(pd_rep, ["prediction"], model_name, version, at, "prediction_drift",
-                             f"{database}.{PREDICTION_DRIFT_TABLE}", points)
+                             f"{database}.{PREDICTION_DRIFT_TABLE}", points, commits_table=done)
             out["prediction_drift"] = [r.asDict() for r in pd_rep.collect()]  # one row
     train = spark.table(training_table)
     fd = pin(drift.drift_report(train, batch, numerical=list(features)), "drift")
-    drift_monitoring(fd, list(features), model_name, version, at, "feature_drift", f"{database}.{FEATURE_DRIFT_TABLE}", points)
+    drift_monitoring(fd, list(features), model_name, version, at, "feature_drift", f"{database}.{FEATURE_DRIFT_TABLE}", points,
+                     commits_table=done)
     out["feature_drift"] = drift.dataset_drift(fd).first().asDict()
     rows = history.to_history_rows(preds, "series_id", F.to_timestamp("prediction_timestamp"), "prediction_value",
-                                   "model_version", F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
-    history.append_history(rows, history_table)
+                                   "model_version", F.lit(at).cast("timestamp"))
+    history.append_history(rows, history_table, once=True)
     return out

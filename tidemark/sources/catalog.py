@@ -87,6 +87,12 @@ def append_table(df: DataFrame, table_name: str, dtypes: dict | None = None, par
         w.saveAsTable(table_name)
 
 
+def replace_table(df: DataFrame, table_name: str) -> None:
+    """Write a whole table in place of the one that has the name. ``df`` mustn't read it."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(table_name)
+    df.sparkSession.catalog.refreshTable(table_name)
+
+
 def overwrite_partitions(df: DataFrame, table_name: str) -> None:
     """Replace the partitions of a table that ``df`` has rows of; the others stay. ``df`` mustn't read the table."""
     spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"

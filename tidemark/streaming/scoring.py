@@ -43,3 +43,38 @@ def start_scoring(spark: SparkSession, source_dir: str, instance: T.StructType,
         .outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+# ------------------------------------------------------------------ requests with an id: duplicates, broken records, restarts
+
+
+def read_requests(raw: DataFrame, instance: T.StructType, payload_col: str = "value") -> DataFrame:
+    """Text records ``{"request_id": .., "sent_at": .., "instances": [..]}`` as (request_id, sent_at, instances, record);
+    what isn't such a record has no ``request_id``."""
+    schema = T.StructType([T.StructField("request_id", T.StringType()), T.StructField("sent_at", T.TimestampType()),
+                           T.StructField("instances", T.ArrayType(instance))])
+    r = F.from_json(F.col(payload_col), schema)
+    whole = r["sent_at"].isNotNull() & r["instances"].isNotNull()
+    return raw.select(F.when(whole, r["request_id"]).alias("request_id"), r["sent_at"].alias("sent_at"),
+                      r["instances"].alias("instances"), F.col(payload_col).alias("record"))
+
+
+def start_scoring_once(spark: SparkSession, source_dir: str, instance: T.StructType, model: PipelineModel, id_col: str,
+                       sink_dir: str, broken_dir: str, checkpoint_dir: str, delay: str = "1 hour"):
+    """Score every request once: a request id that comes again within ``delay`` of event time is dropped, also after a
+    restart (the ids seen are in the checkpoint). Broken records go to ``broken_dir``. Runs over what has arrived; returns
+    the two queries (scores, broken records), each with its own checkpoint."""
+    def source():
+        return read_requests(spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(source_dir), instance)
+
+    once = source().where(F.col("request_id").isNotNull()).withWatermark("sent_at", delay) \
+        .dropDuplicatesWithinWatermark(["request_id"])
+    rows = once.select("request_id", F.explode("instances").alias("i")).select("request_id", "i.*")
+    scored = model.transform(rows).select("request_id", F.col(id_col), F.col("prediction").cast("int").alias("label"))
+    broken = source().where(F.col("request_id").isNull()).select("record")
+
+    def start(out, sink, name):
+        return (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", f"{checkpoint_dir}/{name}")
+                .outputMode("append").trigger(availableNow=True).start())
+
+    return start(scored, sink_dir, "scores"), start(broken, broken_dir, "broken")
