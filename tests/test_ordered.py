@@ -40,12 +40,43 @@ def test_quantiles_skip_nan_and_keep_null_groups(spark):
     assert got == {"a": 2.0, None: 8.0}
 
 
-def test_running_totals_and_next_values(spark):
-    vc = spark.createDataFrame([(None, 1.0, 2), (None, 4.0, 1), ("x", 2.0, 5)], "g string, v double, n int")
-    rows, totals = ordered.running_totals(vc, "v", ["n"], ["g"], 3)
-    got = {(r.g, r.v): (r.n_before, r.n_upto, r.n_total, r._next) for r in ordered.next_value(rows, "v", ["g"]).collect()}
-    assert got == {(None, 1.0): (0, 2, 3, 4.0), (None, 4.0): (2, 3, 3, None), ("x", 2.0): (0, 5, 5, None)}
-    assert {r.g: r.n_total for r in totals.collect()} == {None: 3, "x": 5}
+@pytest.mark.parametrize("buckets", [1, 3, 20])
+def test_running_totals_and_next_values(spark, buckets):
+    rows = [(None, 1.0, 2), (None, 4.0, 1), ("x", 2.0, 5), ("z", 0.5, 1)] + [("y", float(i), i % 3) for i in range(60)]
+    vc = spark.createDataFrame(rows, "g string, v double, n int")
+    got = {(r.g, r.v): (r.n_before, r.n_upto, r.n_total, r.next) for r in
+           ordered.running_totals(vc, "v", ["n"], ["g"], buckets, next_col="next").collect()}
+    want = {}
+    for g in (None, "x", "y", "z"):
+        values, sofar = sorted((v, n) for k, v, n in rows if k == g), 0
+        total = sum(n for _, n in values)
+        for i, (v, n) in enumerate(values):
+            want[g, v] = (sofar, sofar + n, total, values[i + 1][0] if i + 1 < len(values) else None)
+            sofar += n
+    assert got == want
+
+
+def test_one_exchange_of_data_rows(spark, sf_small):
+    """What the ordered table is read for afterwards: no exchange but of ranges' edges and sums."""
+    li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    plans = {
+        "rank": ordered.global_rank(li, ["l_orderkey", "l_linenumber"], ["l_returnflag"], total_col="n"),
+        "totals": ordered.running_totals(li.groupBy("l_returnflag", "l_extendedprice").count(), "l_extendedprice", ["count"],
+                                         ["l_returnflag"], next_col="next"),
+        "interpolation": clean.interpolate_linear(li, "l_quantity", ["l_orderkey", "l_linenumber"], "l_returnflag")}
+    for name, df in plans.items():
+        main = []  # the path from the result down to the widest scan, without what is broadcast
+        for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+            if "BroadcastExchange" in line:
+                break
+            main.append(line)
+        assert any("Window" in x for x in main) and not any("Exchange" in x for x in main), name
+        assert "Bucketed: true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_of_100_terabytes():
+    assert 100 * 10 ** 12 / ordered.buckets_for(100 * 10 ** 12) <= 10 ** 9
+    assert ordered.buckets_for(10 ** 12) == 10 ** 12 // (64 << 20) and ordered.buckets_for(0) == 8
 
 
 def _lines(df):

@@ -64,7 +64,7 @@ def test_outlier_example_has_no_three_sigma_points(spark):
 def test_interpolation_matches_pandas(spark, chunk):
     vals = [None, 1.0, None, 3.0, None, None, 7.0, None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
-    got = [r["v"] for r in clean.interpolate_linear(df, "v", "i", chunk_rows=chunk).orderBy("i").collect()]
+    got = [r["v"] for r in clean.interpolate_linear(df, "v", "i", n_buckets=chunk).orderBy("i").collect()]
     want = pd.Series(vals, dtype="float64").interpolate().tolist()
     assert [None if (x is None or (isinstance(x, float) and math.isnan(x))) else x for x in want] == got
 
@@ -73,7 +73,7 @@ def test_interpolation_per_series(spark):
     rows = [("a", 1, None), ("a", 2, 1.0), ("a", 3, None), ("a", 4, 3.0), ("a", 5, None),
             ("b", 1, 5.0), ("b", 2, None), ("b", 3, 9.0)]
     df = spark.createDataFrame(rows, "s string, t int, v double")
-    got = {(r["s"], r["t"]): r["v"] for r in clean.interpolate_linear(df, "v", "t", "s", chunk_rows=2).collect()}
+    got = {(r["s"], r["t"]): r["v"] for r in clean.interpolate_linear(df, "v", "t", "s", n_buckets=2).collect()}
     assert got[("a", 1)] is None and got[("a", 3)] == 2.0 and got[("a", 5)] == 3.0 and got[("b", 2)] == 7.0
 
 
@@ -231,7 +231,7 @@ def test_hot_series_interpolation_and_rank(spark):
         for t in range(n):
             rows.append((s, t, None if (t * 7 + s) % 5 == 0 else float((t * 13) % 17)))
     df = spark.createDataFrame(rows, "s int, t int, v double")
-    got = {(r["s"], r["t"]): r["v"] for r in clean.interpolate_linear(df, "v", "t", "s", chunk_rows=50).collect()}
+    got = {(r["s"], r["t"]): r["v"] for r in clean.interpolate_linear(df, "v", "t", "s", n_buckets=9).collect()}
     pdf = pd.DataFrame(rows, columns=["s", "t", "v"]).sort_values(["s", "t"])
     pdf["w"] = pdf.groupby("s")["v"].transform(lambda x: x.interpolate())
     for s, t, w in pdf[["s", "t", "w"]].itertuples(index=False):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import log1p_safe, sqrt_safe
-from ..plans.ordered import global_rank, null_safe_join
+from ..plans.ordered import BUCKET, drop_order, null_safe_join, ranked_ranges
 from ..plans.quantiles import column_quantiles, exact_quantiles
 from ..session import pin
 from .profile import column_counts, modes, numeric_columns
@@ -153,51 +153,51 @@ def impute(df: DataFrame, strategy: str = "mean", fill_value=None) -> DataFrame:
 
 
 def interpolate_linear(df: DataFrame, value_col: str, order_cols, series_cols=None,
-                       chunk_rows: int = 1 << 20, out_col: str | None = None) -> DataFrame:
+                       n_buckets: int | None = None, out_col: str | None = None) -> DataFrame:
     """Linear interpolation by row position inside each series (ordered by ``order_cols``).
 
-    Leading gaps stay null, trailing gaps take the last value (pandas ``interpolate()``). Rows are
-    numbered per series with the bucketed global rank, cut into chunks of ``chunk_rows`` positions,
-    and the last / first known point of neighbouring chunks is carried in through a small chunk
-    table - so no window ever spans more than one chunk of one series.
+    Leading gaps stay null, trailing gaps take the last value (pandas ``interpolate()``). Rows are put in global order
+    (series, then ``order_cols``) once. A window finds the known points around a gap inside the row's range; the last known
+    point before a range and the first one behind it are carried in through a table of at most two rows a range, so no
+    window spans more than one range of one series.
     """
     s = [] if series_cols is None else ([series_cols] if isinstance(series_cols, str) else list(series_cols))
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     out = out_col or value_col
     v = F.col(value_col).cast("double")
-    ranked = global_rank(df, order, s, rank_col="_pos").withColumn(
-        "_chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_rows)))
+    ranked = ranked_ranges(df, order, s, n_buckets, rank_col="_pos")
     is_known = v.isNotNull() & ~F.isnan(v)
     known = F.when(is_known, F.struct(F.col("_pos").alias("p"), v.alias("v")))
     kpos = F.when(is_known, F.col("_pos"))
     # fixed-width aggregation buffers (hash aggregate); the structs are built on the small result
-    chunks = ranked.groupBy(*s, "_chunk").agg(
+    ends = ranked.where("_first OR _last").groupBy(*s, BUCKET).agg(
         F.max(kpos).alias("_lp"), F.max_by(F.when(is_known, v), kpos).alias("_lv"),
-        F.min(kpos).alias("_fp"), F.min_by(F.when(is_known, v), kpos).alias("_fv"),
-    ).select(*s, "_chunk",
-             F.when(F.col("_lp").isNotNull(), F.struct(F.col("_lp").alias("p"), F.col("_lv").alias("v"))).alias("_last"),
-             F.when(F.col("_fp").isNotNull(), F.struct(F.col("_fp").alias("p"), F.col("_fv").alias("v"))).alias("_first"))
-    wc = Window.partitionBy(*s).orderBy("_chunk")
-    carry = chunks.select(
-        *s, "_chunk",
-        F.last("_last", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_prev"),
-        F.first("_first", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_carry_next"),
-    )
-    j = null_safe_join(ranked, carry, s + ["_chunk"])
-    w = Window.partitionBy(*s, "_chunk").orderBy("_pos")
+        F.min(kpos).alias("_fp"), F.min_by(F.when(is_known, v), kpos).alias("_fv"), F.bool_or("_first").alias("_first"),
+        F.bool_or("_last").alias("_last"),
+    ).select(*s, BUCKET, "_first", "_last",
+             F.when(F.col("_lp").isNotNull(), F.struct(F.col("_lp").alias("p"), F.col("_lv").alias("v"))).alias("_lk"),
+             F.when(F.col("_fp").isNotNull(), F.struct(F.col("_fp").alias("p"), F.col("_fv").alias("v"))).alias("_fk"))
+    wc = (Window.partitionBy(*s) if s else Window.partitionBy(F.lit(1))).orderBy(BUCKET)  # without series: a row a range
+    ends = ends.select(BUCKET, "_first", "_last",
+                       F.last("_lk", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                       F.first("_fk", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_behind"))
+    carry = ends.where("_first").select(F.col(BUCKET).alias("_b1"), "_before").join(
+        ends.where("_last").select(F.col(BUCKET).alias("_b2"), "_behind"), F.col("_b1") == F.col("_b2"), "inner").drop("_b2")
+    j = ranked.join(F.broadcast(carry), F.col(BUCKET) == F.col("_b1"), "inner").drop("_b1")  # a row a range
+    w = Window.partitionBy(*s, BUCKET).orderBy("_pos")
     prev = F.coalesce(F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-                      F.col("_carry_prev"))
+                      F.when(F.col("_first"), F.col("_before")))
     nxt = F.coalesce(F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-                     F.col("_carry_next"))
+                     F.when(F.col("_last"), F.col("_behind")))
     j = j.withColumn("_prev", prev).withColumn("_next", nxt)
     filled = (
-        F.when(v.isNotNull() & ~F.isnan(v), v)
+        F.when(is_known, v)
         .when(F.col("_prev").isNull(), F.lit(None).cast("double"))
         .when(F.col("_next").isNull(), F.col("_prev.v"))
         .otherwise(F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v"))
                    * (F.col("_pos") - F.col("_prev.p")) / (F.col("_next.p") - F.col("_prev.p")))
     )
-    return j.withColumn(out, filled).drop("_chunk", "_carry_prev", "_carry_next", "_prev", "_next")
+    return drop_order(j.withColumn(out, filled)).drop("_before", "_behind", "_prev", "_next")
 
 
 # ------------------------------------------------------------------ missing dates

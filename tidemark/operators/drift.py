@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import ks_pvalue, std_normal_cdf
-from ..plans.ordered import next_value, running_totals
-from .profile import count_statistics
+from ..plans.ordered import running_totals
 
 # Default thresholds and bin counts of the drift tests.
 DEFAULT_THRESHOLDS = {
@@ -90,7 +89,7 @@ def finite(long: DataFrame) -> DataFrame:
 def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """Two-sample KS per feature: D = max |F_ref - F_cur|, asymptotic p-value."""
     vc = _side_counts(long, ["feature", "value"])
-    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
+    rows = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
     d = rows.groupBy("feature").agg(
         F.max(F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total")))
         .alias("d"),
@@ -100,7 +99,7 @@ def ks_test(long: DataFrame, threshold: float | None = None, n_buckets: int | No
 
 def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
     vc = _side_counts(long, ["feature", "value"])
-    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
+    rows = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
     return rows.groupBy("feature").agg(
         F.max(F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total")))
         .alias("ks_d"),
@@ -109,13 +108,13 @@ def ks_statistic(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
 
 def wasserstein_test(long: DataFrame, threshold: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """W1 distance between the empirical distributions of the finite values, divided by max(std_pop(reference), 0.001)."""
-    vc = _side_counts(finite(long), ["feature", "value"])
-    rows, _ = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets)
-    rows = next_value(rows, "value", ["feature"])
+    long = finite(long)
+    vc = _side_counts(long, ["feature", "value"])
+    rows = running_totals(vc, "value", ["ref_n", "cur_n"], ["feature"], n_buckets, next_col="_next")
     gap = F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))
     cdf_gap = F.abs(F.try_divide("ref_n_upto", "ref_n_total") - F.try_divide("cur_n_upto", "cur_n_total"))
     w = rows.groupBy("feature").agg(F.sum(cdf_gap * gap).alias("w"))
-    sd = count_statistics(rows, ["feature"], "value", "ref_n").select("feature", F.col("std_pop").alias("sd"))
+    sd = long.groupBy("feature").agg(F.stddev_pop(F.when(F.col("side") == 0, F.col("value"))).alias("sd"))
     j = w.join(sd, "feature", "inner")
     score = F.col("w") / F.greatest(F.col("sd"), F.lit(WASSERSTEIN_MIN_STD))
     return _report(j, "wasserstein", score, threshold)

@@ -43,22 +43,6 @@ def long_values(df: DataFrame, cols=None, column_name: str = "column", value_nam
     return wide.unpivot([], cols, column_name, value_name)
 
 
-def count_statistics(vc: DataFrame, by, value: str = "value", n: str = "_n") -> DataFrame:
-    """Per group of ``by``: count, mean, std (sample), std_pop, min and max of values that occur ``n`` times each.
-    Nulls are skipped. The spread is taken around the mean in a second pass over the counts."""
-    by = list(by)
-    k = F.when(F.col(value).isNotNull(), F.col(n))
-    first = vc.groupBy(*by).agg(
-        F.coalesce(F.sum(k), F.lit(0)).alias("count"), F.try_divide(F.sum(F.col(value) * k), F.sum(k)).alias("mean"),
-        F.min(value).alias("min"), F.max(value).alias("max"))
-    centre = F.broadcast(first.select(*by, F.col("mean").alias("_mean")))  # one row per profiled column
-    d = F.col(value) - F.col("_mean")
-    spread_ = vc.join(centre, by, "inner").groupBy(*by).agg(F.sum(d * d * k).alias("_ss"))
-    return first.join(spread_, by, "inner").select(
-        *by, "count", "mean", F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)).alias("std"),
-        F.sqrt(F.try_divide(F.col("_ss"), F.col("count"))).alias("std_pop"), "min", "max")
-
-
 def describe(df: DataFrame, cols=None) -> DataFrame:
     """count, mean, sample std, min, exact 25/50/75 % (linear), max per numeric column."""
     q = column_profile(df, list(cols or numeric_columns(df)), QUARTILES)

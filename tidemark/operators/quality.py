@@ -127,7 +127,7 @@ def roc_auc(df: DataFrame, target: str, score: str, group_cols=None, n_buckets:
             F.sum(F.when(F.col(target) == 1, 0).otherwise(1)).cast("long").alias("neg"),
         )
     )
-    rows, _ = running_totals(vc, score, ["neg"], g, n_buckets)
+    rows = running_totals(vc, score, ["neg"], g, n_buckets)
     part = rows.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))).alias("_s"),
         F.sum("pos").alias("_p"),

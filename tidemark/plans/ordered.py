@@ -1,13 +1,13 @@
-"""Global-order statistics without a single-partition window; one plan for every size.
+"""Global-order statistics without a single-partition window; one plan for every size, one exchange of data rows.
 
-1. The rows are exchanged by range on the full order key (group columns first, nulls first) into a bounded
-   number of partitions, sorted there, and written once to the shared folder with their partition and
-   position. The written table pins the ranges: a stage recomputed after an executor loss sees the same.
-2. Totals per partition (or per group and partition) - as many rows as there are partitions, and groups -
-   become offsets by prefix sums over that small table.
-3. Row numbers are offset plus position; running weights are offset plus a window inside the partition.
+1. The rows are exchanged by range on the full order key (group columns first, nulls first), sorted in their
+   partitions, and written once to the shared folder with their range ``_bucket`` and position ``_at``, as a table bucketed by
+   ``_bucket``: windows inside a range then read it without another exchange.
+2. Of each range, only its first and its last group can go on in a neighbouring one. Their sums (at most two rows a range)
+   give what lies before the first and behind the last group; this table has one row a range and is broadcast.
+3. Row numbers, running weights and totals of a group are what a window inside the range finds, plus these.
 
-Rows that are equal on the whole key share a partition; equal first columns don't have to. Nulls are a value
+Rows that are equal on the whole key share a range; equal first columns don't have to. Nulls are a value
 of their own, in groups and in order. No split point enters an expression.
 
 Used by KS / Wasserstein / ROC AUC, row numbers and row-position interpolation.
@@ -15,20 +15,21 @@ Used by KS / Wasserstein / ROC AUC, row numbers and row-position interpolation.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import pin
+from ..session import ensure_checkpoint_dir
 
 BUCKET = "_bucket"
 POS = "_at"
 SHIFT = 33  # monotonically_increasing_id holds the partition above this bit, the row below
 
 BYTES_PER_BUCKET = 64 << 20
-MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+MIN_BUCKETS, MAX_BUCKETS = 8, 100_000  # as many as Spark lets a bucketed table have: 1 GB a range at 100 TB
 UNKNOWN_BYTES = 1 << 60  # leaves without size statistics report more than this
 
 
@@ -40,14 +41,15 @@ def _as_list(cols) -> list[str]:
 
 def bucket_count(df: DataFrame) -> int:
     """Partitions for the range exchange: by the size of the scanned tables (planning statistics, no
-    job), between 8 and 4096. It only sets the size of the tasks."""
+    job), between 8 and 100,000. It only sets the size of the tasks."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total, unknown = 0, False
-    for i in range(leaves.size()):
-        size = int(str(leaves.apply(i).stats().sizeInBytes()))
-        total, unknown = (total, True) if size > UNKNOWN_BYTES else (total + size, unknown)
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if unknown else MIN_BUCKETS
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, max(least, total // BYTES_PER_BUCKET)))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if any(s > UNKNOWN_BYTES for s in sizes) else MIN_BUCKETS
+    return buckets_for(sum(s for s in sizes if s <= UNKNOWN_BYTES), least)
+
+
+def buckets_for(size: int, least: int = MIN_BUCKETS) -> int:
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, max(least, size // BYTES_PER_BUCKET)))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
@@ -59,79 +61,98 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
 
 
 def ranged(df: DataFrame, keys: Sequence[str], n_buckets: int | None = None) -> DataFrame:
-    """``df`` pinned in range partitions of ``keys``, with ``_bucket`` and the position ``_at`` inside it."""
+    """``df`` pinned in range partitions of ``keys``, with ``_bucket`` and the position ``_at`` inside it, read back
+    partitioned by ``_bucket``."""
+    spark, n = df.sparkSession, n_buckets or bucket_count(df)
     order = [F.col(c).asc_nulls_first() for c in keys]
-    rows = (df.repartitionByRange(n_buckets or bucket_count(df), *order).sortWithinPartitions(*order)
-            .withColumn(POS, F.monotonically_increasing_id()))
-    return pin(rows, "ordered").withColumn(BUCKET, F.shiftright(POS, SHIFT)) \
-        .withColumn(POS, F.col(POS).bitwiseAND(F.lit((1 << SHIFT) - 1)))
-
-
-def _offsets(rows: DataFrame, g: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Per (group, bucket): ``_o_k`` (earlier buckets), ``_t_k`` (this one) and ``_g_k`` (whole group). At most
-    one row for each bucket and each group."""
-    totals = rows.groupBy(*g, BUCKET).agg(*[c.alias(f"_t_{k}") for k, c in sums.items()])
-    w = Window.partitionBy(*g).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    wg = Window.partitionBy(*g)
-    return totals.select(
-        *g, BUCKET,
-        *[F.coalesce(F.sum(f"_t_{k}").over(w), F.lit(0)).alias(f"_o_{k}") for k in sums],
-        *[F.col(f"_t_{k}") for k in sums],
-        *[F.sum(f"_t_{k}").over(wg).alias(f"_g_{k}") for k in sums],
-    )
-
-
-def _small(off: DataFrame, g: list[str]) -> DataFrame:
-    return off if g else F.broadcast(off)  # without groups: at most MAX_BUCKETS rows
+    rows = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(POS, F.monotonically_increasing_id()) \
+        .withColumn(BUCKET, F.shiftright(POS, SHIFT)).withColumn(POS, F.col(POS).bitwiseAND(F.lit((1 << SHIFT) - 1)))
+    name = f"ordered_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    # a task holds one range, so it writes one file; the sort keeps the range in order
+    rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, BUCKET).sortBy(BUCKET, POS).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files lie in the shared folder, and ``out`` knows them
+    return out
+
+
+def _edges(rows: DataFrame, g: list[str], sums: dict[str, Column], value: str | None = None) -> DataFrame:
+    """One row per range: ``_end`` (its last position), ``_o_k`` (sums of its first group in earlier ranges), ``_a_k`` (of its
+    last group in later ranges) and, with ``value``, ``_next_first`` (the last group's first value in the next range)."""
+    per = rows.groupBy(*g, BUCKET).agg(F.min(POS).alias("_lo"), F.max(POS).alias("_hi"), *[c.alias(f"_t_{k}") for k, c in sums.items()],
+                                       *([F.min(value).alias("_v")] if value else []))
+    if g:
+        per = per.withColumn("_end", F.max("_hi").over(Window.partitionBy(BUCKET)))
+        per = per.where((F.col("_lo") == 0) | (F.col("_hi") == F.col("_end")))  # first or last group of their range
+    else:  # all ranges are one group's: as many rows as there are ranges
+        per = per.withColumn("_end", F.col("_hi"))
+    w = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))).orderBy(BUCKET)
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    per = per.select(BUCKET, "_lo", "_hi", "_end", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums],
+                     *[F.coalesce(F.sum(f"_t_{k}").over(after), F.lit(0)).alias(f"_a_{k}") for k in sums],
+                     *([F.lead("_v").over(w).alias("_next_first")] if value else []))
+    first, last = F.col("_lo") == 0, F.col("_hi") == F.col("_end")
+    return per.groupBy(F.col(BUCKET).alias("_b")).agg(
+        F.max("_end").alias("_end"), *[F.max(F.when(first, F.col(f"_o_{k}"))).alias(f"_o_{k}") for k in sums],
+        *[F.max(F.when(last, F.col(f"_a_{k}"))).alias(f"_a_{k}") for k in sums],
+        *([F.max(F.when(last, F.col("_next_first"))).alias("_next_first")] if value else []))
+
+
+def with_edges(rows: DataFrame, g: list[str], sums: dict[str, Column], value: str | None = None) -> DataFrame:
+    """``rows`` with the columns of their range's edges, and ``_first`` / ``_last``: whether the row's group is the first or the
+    last one of its range."""
+    j = rows.join(F.broadcast(_edges(rows, g, sums, value)), F.col(BUCKET) == F.col("_b"), "inner").drop("_b")  # a row a range
+    w = Window.partitionBy(*g, BUCKET)
+    return j.withColumn("_lo", F.min(POS).over(w)).withColumn("_first", F.col("_lo") == 0) \
+        .withColumn("_last", F.max(POS).over(w) == F.col("_end"))
 
 
 def running_totals(vc: DataFrame, value_col: str, weight_cols: Iterable[str], group_cols=None,
-                   n_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+                   n_buckets: int | None = None, next_col: str | None = None) -> DataFrame:
     """Cumulative weights over distinct values.
 
-    ``vc`` holds one row per (group, value) and numeric weight columns. Returns ``(rows, totals)``:
-    rows gain ``<w>_upto`` (weights of values <= this one), ``<w>_before`` (strictly smaller) and
-    ``<w>_total`` (the group's total); totals hold one row per group with ``<w>_total``.
+    ``vc`` holds one row per (group, value) and numeric weight columns. The rows gain ``<w>_upto`` (weights of values <=
+    this one), ``<w>_before`` (strictly smaller) and ``<w>_total`` (the group's total); with ``next_col`` also the next
+    larger value of the group.
     """
     g, ws = _as_list(group_cols), list(weight_cols)
-    rows = ranged(vc, [*g, value_col], n_buckets)
-    off = _offsets(rows, g, {w: F.sum(w) for w in ws})
-    j = null_safe_join(rows, _small(off, g), [*g, BUCKET])
-    win = Window.partitionBy(*g, BUCKET).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    sums = {w: F.sum(w) for w in ws}
+    j = with_edges(ranged(vc, [*g, value_col], n_buckets), g, sums, value_col if next_col else None)
+    inside = Window.partitionBy(*g, BUCKET)
+    upto = inside.orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    before = lambda w: F.when(F.col("_first"), F.col(f"_o_{w}")).otherwise(0)
+    after = lambda w: F.when(F.col("_last"), F.col(f"_a_{w}")).otherwise(0)
+    if next_col:
+        j = j.withColumn(next_col, F.coalesce(F.lead(value_col).over(inside.orderBy(POS)), F.when(F.col("_last"), F.col("_next_first"))))
     for w in ws:
-        j = j.withColumn(f"{w}_upto", F.col(f"_o_{w}") + F.sum(w).over(win))
+        j = j.withColumn(f"{w}_upto", before(w) + F.sum(w).over(upto))
+        j = j.withColumn(f"{w}_total", before(w) + F.sum(w).over(inside) + after(w))
         j = j.withColumn(f"{w}_before", F.col(f"{w}_upto") - F.col(w))
-    out = j.withColumnsRenamed({f"_g_{w}": f"{w}_total" for w in ws}) \
-        .drop(*[f"_o_{w}" for w in ws], *[f"_t_{w}" for w in ws], POS)
-    totals = off.groupBy(*g).agg(*[F.sum(f"_t_{w}").alias(f"{w}_total") for w in ws])
-    return out, totals
+    return j.drop(*[f"_{x}_{w}" for x in "oa" for w in ws], POS, BUCKET, "_lo", "_end", "_first", "_last", "_next_first")
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols=None,
                 n_buckets: int | None = None, rank_col: str = "_rank", total_col: str | None = None) -> DataFrame:
     """1-based row number per group ordered by ``order_cols`` (nulls first; ties broken by the later
     columns). With ``total_col`` the group's row count is kept as well."""
-    g, order = _as_list(group_cols), _as_list(order_cols)
-    rows = ranged(df, [*g, *order], n_buckets)
-    off = _offsets(rows, [], {"n": F.count(F.lit(1))}).select(
-        F.col(BUCKET).alias("_b"), F.col("_o_n"), F.col("_g_n").alias("_all"))
-    rows = rows.join(F.broadcast(off), F.col(BUCKET) == F.col("_b")) \
-        .withColumn(rank_col, F.col("_o_n") + F.col(POS) + 1).drop("_b", "_o_n", BUCKET, POS)
-    if not g:
-        return rows.withColumnRenamed("_all", total_col) if total_col else rows.drop("_all")
-    groups = rows.groupBy(*g).agg(F.min(rank_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    out = null_safe_join(rows.drop("_all"), groups, g).withColumn(rank_col, F.col(rank_col) - F.col("_first") + 1).drop("_first")
-    return out.withColumnRenamed("_n", total_col) if total_col else out.drop("_n")
-
-
-def next_value(rows: DataFrame, value_col: str, group_cols=None, out_col: str = "_next") -> DataFrame:
-    """For rows from :func:`running_totals`, the next larger distinct value of the group."""
+    return drop_order(ranked_ranges(df, order_cols, group_cols, n_buckets, rank_col, total_col))
+
+
+def drop_order(rows: DataFrame) -> DataFrame:
+    return rows.drop(BUCKET, POS, "_lo", "_end", "_first", "_last", "_o_n", "_a_n")
+
+
+def ranked_ranges(df: DataFrame, order_cols, group_cols=None, n_buckets: int | None = None, rank_col: str = "_rank",
+                  total_col: str | None = None) -> DataFrame:
+    """:func:`global_rank`, still with the columns of its ranges, for windows on (group, ``_bucket``)."""
     g = _as_list(group_cols)
-    mins = rows.groupBy(*g, BUCKET).agg(F.min(value_col).alias("_bmin"))
-    following = mins.select(*g, BUCKET, F.lead("_bmin").over(Window.partitionBy(*g).orderBy(BUCKET)).alias("_first_next"))
-    win = Window.partitionBy(*g, BUCKET).orderBy(value_col)
-    return null_safe_join(rows, _small(following, g), [*g, BUCKET]).withColumn(
-        out_col, F.coalesce(F.lead(value_col).over(win), F.col("_first_next"))).drop("_first_next")
+    rows = with_edges(ranged(df, [*g, *_as_list(order_cols)], n_buckets), g, {"n": F.count(F.lit(1))})
+    before = F.when(F.col("_first"), F.col("_o_n")).otherwise(0)
+    out = rows.withColumn(rank_col, F.col(POS) - F.col("_lo") + 1 + before)
+    if total_col:
+        inside = F.count(F.lit(1)).over(Window.partitionBy(*g, BUCKET))
+        out = out.withColumn(total_col, inside + before + F.when(F.col("_last"), F.col("_a_n")).otherwise(0))
+    return out
 
 
 def present(df: DataFrame, col: str) -> Column:

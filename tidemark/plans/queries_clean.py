@@ -142,7 +142,7 @@ def interpolate_order_prices(spark, sf_dir):
     """E1 ungrouped: one long series ordered by key, cut into 4096-row chunks with carried neighbours."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_totalprice")).alias("o_totalprice"))
-    return rounded(clean.interpolate_linear(o, "o_totalprice", ["o_orderkey"], chunk_rows=4096)
+    return rounded(clean.interpolate_linear(o, "o_totalprice", ["o_orderkey"])
                    .select("o_orderkey", "o_totalprice"))
 
 
