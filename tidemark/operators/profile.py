@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.ordered import null_safe_join, present
-from ..plans.quantiles import column_profile, column_quantiles, exact_quantiles, kinds, number
+from ..plans.quantiles import column_profile, exact_quantiles, number
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -65,6 +65,12 @@ def null_percentage(df: DataFrame, cols=None) -> DataFrame:
     return row.unpivot([], cols, "column", "null_pct")
 
 
+def kinds(df: DataFrame, cols) -> list[list[str]]:
+    """The columns by kind: whole numbers, others."""
+    whole = [c for c in cols if isinstance(df.schema[c].dataType, T.IntegralType)]
+    return [k for k in (whole, [c for c in cols if c not in whole]) if k]
+
+
 def column_counts(df: DataFrame, cols, by=()) -> list[DataFrame]:
     """Rows per (``by``, column, value), one frame for each kind of number (whole, double); nulls and NaN are one value."""
     by = list(by)
