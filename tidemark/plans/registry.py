@@ -17,6 +17,7 @@ MODULES = (
     "queries_stream",
     "queries_catalog",
     "queries_state",
+    "queries_holes",
 )
 
 
