@@ -148,6 +148,22 @@ def test_alert_stream_drops_late_points(spark):
     assert len(got) == 1 and got[0]["fires"] is True
 
 
+def test_incident_stream_over_restarts(spark):
+    """Points of one incident arrive in three runs; repeated points of a period count once; the open one is read from state."""
+    from tidemark.streaming import alerts as stream
+
+    base, schema = ensure_checkpoint_dir(spark) + "/incidents-" + uuid.uuid4().hex, "m string, t timestamp, v boolean"
+    at = lambda h, s=0: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h, seconds=s)
+    for rows in ([("a", at(0), True), ("a", at(0, 30), True), ("a", at(1), False)], [("a", at(2), True), ("b", at(2), True)],
+                 [("a", at(9), True), ("b", at(9), False)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(base + "/src")
+        src = spark.readStream.schema(schema).parquet(base + "/src")
+        stream.start_incident_stream(src, "t", "v", ["m"], base + "/sink", base + "/ckpt", "3 hours").awaitTermination()
+    done = spark.read.parquet(base + "/sink").unionByName(stream.open_incidents(spark, base + "/ckpt", ["m"]))
+    got = sorted((r.m, r.opened_at, r.last_firing_end, r.firing_periods, r.closes_at) for r in done.collect())
+    assert got == [("a", at(0), at(2, 60), 2, at(5)), ("a", at(9), at(9, 60), 1, at(12)), ("b", at(2), at(2, 60), 1, at(5))]
+
+
 def test_performance_job_writes_metrics_and_points(spark, sf_small):
     db = _db(spark)
     row = jobs.performance_monitoring(domain.inference_history(spark, sf_small), domain.ground_truth(spark, sf_small),

@@ -112,3 +112,42 @@ def parse_event_props(spark, sf_dir):
     """H11 batch twin: JSON text column parsed into typed fields with ``from_json``."""
     ev = table(spark, sf_dir, "events")
     return ev.select("event_id", F.from_json("props", "k int").getField("k").alias("k"))
+
+
+SQL_INCIDENTS = """
+WITH fired AS (SELECT DISTINCT event_type AS metric, time_bucket(INTERVAL 60 SECOND, ts) AS period_start FROM events WHERE value > 200),
+marked AS (SELECT *, CASE WHEN lag(period_start) OVER (PARTITION BY metric ORDER BY period_start)
+                             > period_start - INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM fired),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY metric ORDER BY period_start
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS incident FROM marked)
+SELECT metric, min(period_start) AS opened_at, max(period_start) + INTERVAL 60 SECOND AS last_firing_end, count(*) AS firing_periods,
+       max(period_start) + INTERVAL 6 HOUR AS closes_at
+FROM numbered GROUP BY metric, incident
+"""
+
+
+@register("stream_incidents_events", SQL_INCIDENTS)
+def stream_incidents_events(spark, sf_dir):
+    """J12 streaming: incidents of the events above 200 that close after 6 hours, by session windows with a watermark; those
+    still open at the end of the input are read from the stream's state."""
+    schema = table(spark, sf_dir, "events").schema
+    pts = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+           .select(F.col("event_type").alias("metric"), F.col("ts").alias("end_time"), (F.col("value") > 200).alias("v")))
+    sink, ckpt = _scratch(spark, "incidents"), _scratch(spark, "incidents-ckpt")
+    stream_alerts.start_incident_stream(pts, "end_time", "v", ["metric"], sink, ckpt, "6 hours").awaitTermination()
+    closed = spark.read.parquet(sink)
+    out = pin(closed.unionByName(stream_alerts.open_incidents(spark, ckpt, ["metric"])), "incidents")
+    unpin(spark, sink, ckpt)
+    return _zone_free(out)
+
+
+@register("incidents_events", SQL_INCIDENTS)
+def incidents_events(spark, sf_dir):
+    """J12 batch twin of the incident stream, by chunks of time."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("metric"), "ts", (F.col("value") > 200).alias("v"))
+    return _zone_free(alerts.incidents(alerts.alert_periods(ev, "ts", "v", ["metric"], "60 seconds"), ["metric"], "6 hours", "5 days"))
+
+
+def _zone_free(incidents):
+    return incidents.select("metric", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("opened_at", "last_firing_end")],
+                            "firing_periods", F.col("closes_at").cast("timestamp_ntz").alias("closes_at"))
