@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tidemark.llm import ann
 
@@ -80,3 +81,19 @@ def test_huge_numbers(spark):
     rows = [(i, [1e30 * i, 1.0], None, 0, None, None, None) for i in range(1, 6)]
     got = [r.vec_id for r in ann.nearest(frame(spark, rows), lambda i: i == 1).orderBy("rank").collect()]
     assert got == [2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("kind", ["clusters", "gaussian"])
+def test_recall_of_the_production_constants(spark, kind):
+    """6000 vectors are enough for several parts; nothing is set smaller than the registered query has it."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 64)) * 0.12
+    if kind == "clusters":
+        x += (rng.standard_normal((40, 64)) * 0.3)[rng.integers(0, 40, 6000)]
+    x = x.astype(np.float32)
+    df = frame(spark, [(i, v, None, 0, "", 1, "") for i, v in enumerate(x.tolist())]).repartition(6)
+    found = {}
+    for r in ann.nearest(df, lambda i: i % 100 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(found[q] & {w[0] for w in brute(np.arange(6000), x.astype(float), q)}) for q in range(0, 6000, 100))
+    assert hits / 600 >= 0.9
