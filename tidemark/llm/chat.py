@@ -1,7 +1,8 @@
 """Chat formatting of reply trees.
 
 Messages name their parents. Self-joins of the messages with their ancestors, each doubling the distance (so their
-number is the logarithm of the depth), give every message its depth, the score sum and the formatted length of its path from the root.
+number is the logarithm of the depth), give every message its depth, and the score sum and the formatted length of its
+path from the root.
 Branches (leaves) are ranked by mean score; self-joins from the chosen leaves upwards, again doubling, enumerate the
 messages of their root-to-leaf paths, and each path is formatted as one conversation.
 
@@ -18,9 +19,9 @@ Inside texts and roles a backslash is doubled, and a control string gets a backs
 control string occurs there; the reader removes one backslash of each run's pairs and every single one.
 
 Defined cases: null texts and roles count as empty; a null tree is a tree of its own; a message whose parent is null
-or not in its tree is a root (so is one without an id, which can have no replies); rows that repeat an id of their tree stand for one message (the least
-role, text, score, parent); messages that reply to each other in a circle have no root and lie on no path; null and NaN scores
-count as 0; branches of equal score go by leaf id; an empty table gives an empty result; extra columns are ignored.
+or not in its tree is a root (so is one without an id, which can have no replies); rows that repeat an id of their tree
+stand for one message (the least role, text, score, parent); messages that reply to each other in a circle have no root and
+lie on no path; null and NaN scores count as 0; branches of equal score go by leaf id; an empty table gives an empty result; extra columns are ignored.
 ``from_turns`` keeps every row: rows of one conversation are ordered by turn (nulls first), then role, then text.
 """
 
