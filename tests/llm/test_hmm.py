@@ -100,3 +100,18 @@ def test_all_documents_train_whatever_their_partitions(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     one, many = ({r.doc_id: r.score for r in hmm.score_texts(df.repartition(n)).collect()} for n in (1, 5))
     assert all(abs(one[i] - many[i]) < 1e-6 for i in one)
+
+
+def test_a_very_long_text_in_pieces(monkeypatch):
+    """Counts and likelihood of a text in pieces are those of the whole; so are those of scaling at other steps."""
+    text = np.random.default_rng(2).integers(0, 5, 1000).astype(np.uint16)
+    p, begin, size = small_model(), np.array([0]), np.array([1000])
+    whole, log = hmm.Expected(5), hmm.forward(p, text, begin, size)[0]
+    whole.add(p, text, begin, size)
+    for tokens, rescale in ((16, 16), (17, 16), (333, 1), (1, 7), (999, 16)):
+        monkeypatch.setattr(hmm, "GROUP_TOKENS", tokens)
+        monkeypatch.setattr(hmm, "RESCALE", rescale)
+        parts = hmm.Expected(5)
+        parts.add(p, text, begin, size)
+        assert np.allclose(whole.emit, parts.emit) and np.allclose(whole.move, parts.move) and np.allclose(whole.start, parts.start)
+        assert np.allclose(log, hmm.forward(p, text, begin, size)[0])

@@ -16,7 +16,7 @@ frequent words.
 
 Defined cases: a null or empty text is the end token alone; null ids are training rows; without training rows
 every word is unknown and the states are uniform; unknown words have count 0 and the probability of one word more;
-repeated rows are learned and scored each; an empty table gives an empty result; extra columns are ignored.
+repeated rows are learned and scored each; a very long text is gone through in pieces, with the same result; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ from .common import col, id_remainder, pin, text_or_empty
 FREQUENT, KNOWN, SHARED = 8192, 65_536, 1024  # own classes; counts sent to tasks; shared classes
 END_HASH = 1                                  # stands for the end token among the word hashes
 SCAN_BYTES = 4 << 20
-GROUP_TOKENS = 300_000                        # tokens whose forward variables are held at a time
+GROUP_TOKENS = 400_000                        # tokens whose variables are held at a time, 128 bytes each
+RESCALE = 16                                  # steps between two scalings
 STATES, PASSES = 8, 14
 PRIOR = 5.0                                   # pseudo-counts, spread as the classes occur
 
@@ -150,22 +151,113 @@ def groups(sizes: np.ndarray):
         a = b
 
 
-def forward(p: Params, cls: np.ndarray, begin: np.ndarray, size: np.ndarray, keep: bool):
-    """Scaled forward recursion of texts ordered by falling length. log10 likelihoods; with ``keep`` also the
-    variables of every step."""
-    log = np.zeros(len(begin))
+def step_offsets(size: np.ndarray) -> np.ndarray:
+    """Where the tokens of step t begin, of texts ordered by falling length that lie step by step."""
     alive = np.searchsorted(-size, -np.arange(int(size[0])), side="left")  # texts with more than t tokens
-    steps = []
-    a = None
-    for t, n in enumerate(alive):
-        e = p.emit[cls[begin[:n] + t]]
-        a = e * p.start if t == 0 else (a[:n] @ p.move) * e
-        c = a.sum(1)
-        a = a / c[:, None]
-        log[:n] += np.log10(c)
-        if keep:
-            steps.append((a, c, e))
-    return log, steps, alive
+    return np.concatenate([[0], np.cumsum(alive)])
+
+
+def by_step(cls: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Classes of texts ordered by falling length, all first tokens, then all second ones, and so on."""
+    offsets, before = step_offsets(size), np.concatenate([[0], np.cumsum(size)])
+    step = np.arange(before[-1]) - np.repeat(before[:-1], size)
+    out = np.empty(before[-1], cls.dtype)
+    out[offsets[step] + np.repeat(np.arange(len(size)), size)] = cls[np.repeat(begin, size) + step]
+    return out
+
+
+class Lattice:
+    """Forward and backward variables of a group of texts that lie step by step. Emissions are divided by their
+    class's mean over the states, which cancels out of the expected counts and is added to the likelihoods;
+    variables are scaled every RESCALE steps. The arrays are kept from group to group."""
+
+    def __init__(self, p: Params):
+        mean = p.emit.mean(1)
+        self.p, self.ratio, self.log_mean = p, p.emit / mean[:, None], np.log10(mean)
+        self.move_back = np.ascontiguousarray(p.move.T)
+        self.ones = np.ones(STATES)
+        self.a = self.e = np.empty((0, STATES))
+
+    def forward(self, tokens: np.ndarray, size: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        """log10 likelihoods, without the classes' means. ``before``: the variables of the step before (else the
+        texts begin here). Variables of all steps stay in ``a``, emissions in ``e``."""
+        n = len(tokens)
+        if n > len(self.a):
+            self.a, self.e = np.empty((n, STATES)), np.empty((n, STATES))
+        a, e, move, ones = self.a, self.e, self.p.move, self.ones
+        np.take(self.ratio, tokens, axis=0, out=e[:n], mode="clip")
+        self.offsets, self.scales = step_offsets(size), {}
+        log = np.zeros(len(size))
+        x, last = 0, None
+        for t, y in enumerate(self.offsets[1:].tolist()):
+            now = a[x:y]
+            if t:
+                np.dot(last[:y - x], move, out=now)
+            else:
+                now[:] = self.p.start if before is None else before @ move
+            now *= e[x:y]
+            if t % RESCALE == RESCALE - 1:
+                c = now @ ones
+                now /= c[:, None]
+                log[:y - x] += np.log10(c)
+                self.scales[t] = c
+            x, last = y, now
+        self.ends = a[self.offsets[size - 1] + np.arange(len(size))]
+        return log + np.log10(self.ends @ ones)
+
+    def backward(self, size: np.ndarray, move_counts: np.ndarray, after: np.ndarray | None = None) -> np.ndarray:
+        """After ``forward``: ``a`` becomes the states' probabilities, transitions are added to ``move_counts``
+        (without the factor ``move``). ``after``: backward variables of the last step, up to a factor, if texts go on.
+        Returns emissions times backward variables of the first step."""
+        a, e, back, offsets = self.a, self.e, self.move_back, self.offsets.tolist()
+        end = np.ones((len(size), STATES)) if after is None else after
+        end = end / np.einsum("ij,ij->i", self.ends, end)[:, None]
+        spare = np.empty((2, len(size), STATES))
+        b, m = spare[0, :0], 0
+        for t in range(len(offsets) - 2, -1, -1):
+            x, y = offsets[t], offsets[t + 1]
+            n, here = y - x, a[x:y]
+            now = spare[t & 1, :n]
+            if n > m:
+                now[m:] = end[m:n]
+            if m:
+                onward = e[y:y + m]
+                onward *= b
+                if t + 1 in self.scales:
+                    onward /= self.scales[t + 1][:, None]
+                np.dot(onward, back, out=now[:m])
+                move_counts += here[:m].T @ onward
+            here *= now
+            b, m = now, n
+        return e[:m] * b / (self.scales[0][:, None] if 0 in self.scales else 1.0)
+
+
+def pieces(tokens: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """The group's tokens; those of one very long text in pieces of GROUP_TOKENS steps."""
+    if len(size) > 1 or len(tokens) <= GROUP_TOKENS:
+        return [tokens]
+    return [tokens[i:i + GROUP_TOKENS] for i in range(0, len(tokens), GROUP_TOKENS)]
+
+
+def group_likelihood(lattice: Lattice, tokens: np.ndarray, size: np.ndarray) -> np.ndarray:
+    parts = pieces(tokens, size)
+    if len(parts) == 1:
+        return lattice.forward(tokens, size)
+    log, before = np.zeros(1), None
+    for part in parts:
+        log += lattice.forward(part, np.array([len(part)]), before)
+        before = lattice.ends / lattice.ends.sum()
+    return log
+
+
+def forward(p: Params | Lattice, cls: np.ndarray, begin: np.ndarray, size: np.ndarray, keep: bool = False):
+    """Scaled forward recursion of texts ordered by falling length: log10 likelihoods, and with ``keep`` the scaled
+    variables of the last group of steps and their offsets."""
+    lattice = p if isinstance(p, Lattice) else Lattice(p)
+    flat = np.concatenate([cls[x:x + n] for x, n in zip(begin, size)])
+    mean = np.add.reduceat(lattice.log_mean[flat], np.concatenate([[0], np.cumsum(size)[:-1]]))
+    log = group_likelihood(lattice, by_step(cls, begin, size), size) + mean
+    return log, lattice.a if keep else None, lattice.offsets if keep else None
 
 
 class Expected:
@@ -174,28 +266,32 @@ class Expected:
     def __init__(self, n_classes: int):
         self.start, self.move, self.emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((n_classes, STATES))
 
-    def add(self, p: Params, cls: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
-        _, steps, alive = forward(p, cls, begin, size, True)
-        gammas, seen = [], []
-        b = np.zeros((0, STATES))
-        for t in range(len(steps) - 1, -1, -1):
-            a, _, _ = steps[t]
-            now = np.ones((len(a), STATES))
-            if t + 1 < len(steps):
-                n = len(b)
-                _, c, e = steps[t + 1]
-                onward = e * b / c[:, None]
-                now[:n] = onward @ p.move.T
-                self.move += (a[:n].T @ onward) * p.move
-            g = a * now
-            gammas.append(g)
-            seen.append(cls[begin[:len(a)] + t])
-            b = now
-            if t == 0:
-                self.start += g.sum(0)
-        g, where = np.concatenate(gammas), np.concatenate(seen)
-        for k in range(STATES):
-            self.emit[:, k] += np.bincount(where, weights=g[:, k], minlength=len(self.emit))
+    def add(self, p: Params | Lattice, cls: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        self.add_group(p if isinstance(p, Lattice) else Lattice(p), by_step(cls, begin, size), size)
+
+    def add_group(self, lattice: Lattice, tokens: np.ndarray, size: np.ndarray) -> None:
+        """Texts that lie step by step. The pieces of a very long text are gone through from its end, each from the
+        forward variables kept before it."""
+        parts = pieces(tokens, size)
+        before: list = [None]
+        for part in parts[:-1]:
+            lattice.forward(part, np.array([len(part)]), before[-1])
+            before.append(lattice.ends / lattice.ends.sum())
+        after, moves = None, np.zeros((STATES, STATES))
+        for part, first in zip(reversed(parts), reversed(before)):
+            sizes = size if len(parts) == 1 else np.array([len(part)])
+            lattice.forward(part, sizes, first)
+            onward = lattice.backward(sizes, moves, after)
+            g = np.ascontiguousarray(lattice.a[:len(part)].T)
+            where = part.astype(np.int64)
+            for k in range(STATES):
+                self.emit[:, k] += np.bincount(where, weights=g[k], minlength=len(self.emit))
+            if first is None:
+                self.start += g[:, :lattice.offsets[1]].sum(1)
+            else:
+                moves += first.T @ onward
+                after = onward @ lattice.move_back
+        self.move += moves * lattice.p.move
 
     def params(self, prior: np.ndarray) -> Params:
         start, move = self.start + 1.0 / STATES, self.move + 1.0 / STATES
@@ -209,23 +305,31 @@ def sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), np.uint16), offsets[:-1] // 2, np.diff(offsets) // 2
 
 
-def add_batch(e: Expected, p: Params, column: pa.Array) -> None:
-    cls, begin, size = sequences(column)
-    for rows in groups(size):
-        e.add(p, cls, begin[rows], size[rows])
+def training_groups(coded: DataFrame) -> DataFrame:
+    """(size, tokens): all training texts in groups that lie step by step, as every pass reads them."""
+    def lay(batches):
+        for b in batches:
+            cls, begin, size = sequences(b.column(0))
+            for rows in groups(size):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([size[rows].astype(np.int64).tobytes()], pa.binary()), pa.array([by_step(cls, begin[rows], size[rows]).tobytes()], pa.binary())],
+                    ["size", "tokens"])
+
+    return coded.filter("not held_out").select("seq").mapInArrow(lay, "size binary, tokens binary")
 
 
 def baum_welch(coded: DataFrame, n_classes: int, prior: np.ndarray) -> Params:
     """PASSES passes over all training documents."""
-    train = coded.filter("not held_out").select("seq")
+    train = pin(training_groups(coded), "lm-groups")
     p = random_params(n_classes, prior)
     names = [f"s{k}" for k in range(STATES)]
     schema = "i int, " + ", ".join(f"{x} double" for x in names)
     for _ in range(PASSES):
         def expect(batches, p=p):
-            e = Expected(n_classes)
+            e, lattice = Expected(n_classes), Lattice(p)
             for b in batches:
-                add_batch(e, p, b.column(0))
+                for size, tokens in zip(b.column(0), b.column(1)):
+                    e.add_group(lattice, np.frombuffer(tokens.as_buffer(), np.uint16), np.frombuffer(size.as_buffer(), np.int64))
             rows = np.concatenate([e.emit, e.move, e.start[None, :]])
             at = np.flatnonzero(rows.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32))] + [pa.array(rows[at, k]) for k in range(STATES)], ["i"] + names)
@@ -286,11 +390,12 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     p = baum_welch(coded, n_classes, prior)
 
     def likelihood(batches):
+        lattice = Lattice(p)
         for b in batches:
             cls, begin, size = sequences(b.column(7))
             log = np.zeros(len(size))
             for rows in groups(size):
-                log[rows] = forward(p, cls, begin[rows], size[rows], False)[0]
+                log[rows] = forward(lattice, cls, begin[rows], size[rows])[0]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(7)), pa.array(log)], [*b.schema.names[:7], "path"])
 
     scored = coded.drop("look").mapInArrow(likelihood, f"row long, id {id_type}, held_out boolean, n long, known long, base double, "
