@@ -92,3 +92,47 @@ def test_phrases_of_ordinary_words_are_samples():
     model = toxicity.fit(rows)
     measure = toxicity.Distance(model.toxic, model.ordinary)
     assert model.score(measure(rows[4][1])) > 0.5 > model.score(measure(rows[5][1]))
+
+
+def test_distance_is_the_difference_of_the_compressed_lengths():
+    import zstandard as z
+
+    rng = np.random.default_rng(3)
+    plain = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(plain, 40)) for _ in range(50)] + ["you grubblefink " * 3, ""]
+    ordinary, toxic = toxicity.train(texts[:50]), toxicity.train_parts([b" grubblefink "] * 20)
+    assert b" grubblef" in toxic
+    measure = toxicity.Distance(toxic, ordinary)
+    for t in texts:
+        lengths = []
+        for content in (ordinary, toxic + ordinary):
+            d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+            lengths.append([len(z.ZstdCompressor(level=toxicity.LEVEL, dict_data=d, write_content_size=False, write_dict_id=False).compress(w))
+                            for w in toxicity.windows(t)])
+        assert [abs((a - b) - v) <= 1 for a, b, v in zip(*lengths, measure(t))].count(False) == 0
+
+
+def test_toxic_parts_are_the_covered_stretches():
+    samples = [b" grub ", b" go jump ", b" jump off "]
+    texts = ["You GRUB, go jump off! then jump; off grub grub", "go, nothing", "", "jump off go"]
+    assert toxicity.toxic_parts(texts, samples) == [b" grub go jump off ", b" jump off grub grub ", b" jump off "]
+    assert toxicity.toxic_parts(texts, []) == []
+
+
+def test_the_toxic_dictionary_is_trained():
+    rows = held_samples(lambda i: ["grubblefink", "snorkwaddle"][i // 4 % 2])
+    model = toxicity.fit(rows)
+    assert model.toxic[:4] == model.ordinary[:4] == b"\x37\xa4\x30\xec"  # the mark of a trained zstandard dictionary
+    assert b"grubblef" in model.toxic and b"snorkwad" in model.toxic
+
+
+def test_the_sample_is_bounded_in_ids_rows_and_bytes(spark):
+    docs = spark.createDataFrame([(i % 60, f"text {i} " + "x" * (4000 if i % 60 == 7 else 10)) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    kw = dict(modulus=5, held_out=9, max_toxic=15, max_ordinary=1000)
+    rows = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", max_bytes=1 << 20, **kw)
+    assert len({i for i, _, _ in rows}) == len(rows) == 15 + 40  # ids without a document take no place
+    assert rows and sorted(rows) == sorted(toxicity.training_rows(docs.repartition(7), labels, "doc_id", "text", "toxic", max_bytes=1 << 20, **kw))
+    few = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", max_bytes=600, **kw)
+    assert 20 < len(few) and sum(len(t) for _, t, _ in few) <= 600 and 7 not in {i for i, _, _ in few}
+    assert toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", max_bytes=0, **kw) == []

@@ -1,24 +1,27 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on windows of ordinary text, one on what toxic documents say more
-often. Both codings of a window share the ordinary background (the toxic one has its own part in front of it), so
+Two dictionaries are trained by zstandard: one on windows of ordinary text, one on the parts of toxic windows that
+toxic documents say more often. Both codings of a window share the ordinary background (the toxic one has its own part in front of it), so
 the difference of the two compressed lengths is the bytes that the toxic dictionary alone explains; it is 0 for
 most windows of ordinary text. Windows are eight words in lower case.
 
 * Toxic samples: words, and phrases of up to a window's words, that recur in several toxic training documents and are
   over-represented there (standard score of the document count against the share of toxic documents); a phrase only if
-  it scores above all that it is made of. The toxic dictionary holds all samples from the least score on, whatever
-  their number and length. A dictionary that zstandard trains on the toxic windows is one more to choose from.
-* Thresholds: the toxic dictionary (least standard score of a sample, with phrases or without, or the trained one), and the least difference for a window to count as a hit, are
-  chosen by likelihood on training documents that didn't go into the dictionaries; a logistic curve over the
-  document's hits and mean difference turns them into a calibrated score.
+  it scores above all that it is made of. Every stretch of a toxic text that such samples cover is a training text of
+  the toxic dictionary, as often as it occurs, whatever its length; zstandard's trainer chooses what the dictionary
+  holds.
+* Thresholds: the toxic dictionary (least standard score of a sample, with phrases or without), and the least
+  difference for a window to count as a hit, are chosen by likelihood on training documents that didn't go into the
+  dictionaries; a logistic curve over the document's hits and mean difference turns them into a calibrated score.
 
 The fit reads at most ``max_toxic`` + ``max_ordinary`` labelled documents (those with the smallest hash of the
-id); scoring reads every whole text.
+id among those that have a document) and at most ``max_bytes`` of text: a text that doesn't fit any more is left out of
+the fit, the next ones are tried. Scoring reads every whole text.
 
 Defined cases: a null or empty text has no windows and gets the score of a document without hits; labels that
 are null or without a document are not used; without toxic or without ordinary training rows the score is the
-smoothed share of toxic rows; repeated rows and ids are scored each on its own; extra columns are ignored.
+smoothed share of toxic rows; repeated rows and ids are scored each on its own (the fit takes one text of an id, the
+one with the smallest hash); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, id_remainder, text_or_empty, worker_cache
+from .common import col, id_remainder, pin_at, text_or_empty, unpin, worker_cache
 
 WORD = re.compile(r"[^\W_]+")
 SPAN = 8                                    # words of a window
 ORDINARY_BYTES = 32768                      # size of a trained dictionary
 MIN_DOCS = 3                                # toxic documents that a sample must recur in
+SEGMENT, MATCH = 24, 6                      # bytes of the trainer's segments of toxic samples, and of what it counts in them
 SCORES = (3.0, 5.0, 8.0, 12.0)              # least standard scores to choose from
 MARGINS = (1, 2, 3, 4)                      # least differences of a hit to choose from
 SAMPLES = 40_000                            # ordinary windows that train the ordinary dictionary
@@ -154,6 +158,36 @@ def train_toxic(toxic: list[str], ordinary: list[str]) -> list[tuple[float, byte
     return sorted(found, key=lambda p: (-p[0], p[1]))
 
 
+def toxic_parts(texts: list[str], samples: list[bytes]) -> list[bytes]:
+    """The maximal stretches of words that the samples cover, text by text."""
+    known = {tuple(s.decode("utf-8", "surrogatepass").split(" ")[1:-1]) for s in samples}
+    sizes, out = sorted({len(p) for p in known}), []
+    for text in texts:
+        found = words(text)
+        covered = np.zeros(len(found) + 2, bool)
+        for n in sizes:
+            for i, phrase in enumerate(zip(*(found[j:] for j in range(n)))):
+                if phrase in known:
+                    covered[i + 1:i + n + 1] = True
+        edges = np.flatnonzero(covered[1:] != covered[:-1])
+        out.extend(f" {' '.join(found[a:b])} ".encode("utf-8", "surrogatepass") for a, b in zip(edges[::2], edges[1::2]))
+    return out
+
+
+def train_parts(parts: list[bytes]) -> bytes:
+    """A trained dictionary of the parts; parts too few for the trainer are the dictionary themselves. The trainer
+    stops after a run of ``10 * SEGMENT`` long stretches with nothing new, so a part is given to it in pieces of
+    that length, and pieces that a part repeats once."""
+    import zstandard as z
+
+    cut = 10 * SEGMENT
+    pieces = [w for p in parts for w in dict.fromkeys(p[i:i + cut] for i in range(0, len(p), cut))]
+    try:
+        return z.train_dictionary(ORDINARY_BYTES, pieces, k=SEGMENT, d=MATCH, level=3).as_bytes()
+    except z.ZstdError:
+        return b"".join(dict.fromkeys(parts))
+
+
 def fit(rows: list[tuple[object, str, int]]) -> Model:
     """Learns from (id, text, label) rows: two thirds train the dictionaries, one third the thresholds."""
     rows = sorted(((zlib.crc32(f"fold {i}".encode()), t, y) for i, t, y in rows))
@@ -172,8 +206,8 @@ def fit(rows: list[tuple[object, str, int]]) -> Model:
     ordinary, toxic = train(learn[0]), train_toxic(learn[1], learn[0])
     y = np.array([v for _, v in tune], float)
     best = None
-    contents = [b"".join(w for score, w, size in toxic if score >= least and size <= most) for most in (1, SPAN) for least in SCORES]
-    for content in dict.fromkeys([*contents, train(learn[1])]):
+    chosen = dict.fromkeys(tuple(w for score, w, size in toxic if score >= least and size <= most) for most in (1, SPAN) for least in SCORES)
+    for content in [train_parts(toxic_parts(learn[1], samples)) for samples in chosen if samples]:
         if not content or not ordinary:
             continue
         saved = list(map(Distance(content, ordinary), (t for t, _ in tune)))
@@ -190,27 +224,39 @@ def fit(rows: list[tuple[object, str, int]]) -> Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, *, modulus: int,
-                  held_out: int, max_toxic: int, max_ordinary: int) -> list[tuple[object, str, int]]:
-    """The labelled sample: of each class the rows with the smallest hash of the id, at most so many."""
+                  held_out: int, max_toxic: int, max_ordinary: int, max_bytes: int) -> list[tuple[object, str, int]]:
+    """The labelled sample: of each class the rows with the smallest hash of the id, at most so many and so long."""
     known = labels.select(col(labels, id_col).alias("id"), col(labels, label_col).cast("int").alias("y")).filter("y in (0, 1) and id is not null")
     known = known.filter(id_remainder(F.col("id"), modulus) != held_out).groupBy("id").agg(F.max("y").alias("y"))
+    known = known.join(docs.select(col(docs, id_col).alias("id")).distinct(), "id", "left_semi")
     picked = None
     for y, most in ((1, max_toxic), (0, max_ordinary)):
         some = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
         picked = some if picked is None else picked.unionByName(some)
     texts = docs.select(col(docs, id_col).alias("id"), text_or_empty(col(docs, text_col)).alias("text"))
-    # the sample has a fixed bound, so its ids may be broadcast and its texts read by the driver
-    rows = texts.join(F.broadcast(picked), "id").select("id", "text", "y").toArrow()
+    # a fixed bound of ids may be broadcast; equal ids are united before the shuffle
+    one = texts.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    sample, path = pin_at(one, "toxic-sample")
+    sizes = sample.select("id", F.octet_length("text").alias("n"), F.xxhash64("id").alias("h")).toArrow().to_pylist()
+    kept, left = [], max_bytes
+    for r in sorted(sizes, key=lambda r: (r["h"], r["id"])):
+        if r["n"] <= left:
+            left -= r["n"]
+            kept.append(r["id"])
+    if len(kept) < len(sizes):
+        sample = sample.filter(F.col("id").isin(kept))
+    rows = sample.select("id", "text", "y").toArrow()
+    unpin(docs.sparkSession, path)
     return list(zip(*(rows.column(i).to_pylist() for i in range(3))))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", *, modulus: int = 5, held_out: int = 0, max_toxic: int = 2000,
-                    max_ordinary: int = 4000, keep: bool = False) -> DataFrame:
+                    max_ordinary: int = 4000, max_bytes: int = 64 << 20, keep: bool = False) -> DataFrame:
     """Per document: id, score, hits, n_windows. With ``keep``: all columns of ``docs``, for its rows that score
     below one half."""
     model = fit(training_rows(docs, labels, id_col, text_col, label_col, modulus=modulus, held_out=held_out,
-                              max_toxic=max_toxic, max_ordinary=max_ordinary))
+                              max_toxic=max_toxic, max_ordinary=max_ordinary, max_bytes=max_bytes))
 
     def distance():
         if not model.weights:
