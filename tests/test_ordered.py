@@ -171,3 +171,32 @@ def test_append_with_other_columns_is_an_error(spark):
     with pytest.raises(ValueError, match="columns"):
         catalog.append_table(spark.range(2).selectExpr("id as a", "id as b"), "appenddb.t")
     spark.sql("DROP DATABASE appenddb CASCADE")
+
+
+def test_no_frame_is_computed_anew_for_every_row(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None), ("b", 1, 3.0)], "s string, t int, v double")
+    plans = [clean.interpolate_linear(df, "v", "t"), clean.interpolate_linear(df, "v", "t", "s"),
+             ordered.global_rank(df, ["t"], ["s"], total_col="n"),
+             ordered.running_totals(df.groupBy("s", "t").count(), "t", ["count"], ["s"], next_col="next")]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "specifiedwindowframe(RowFrame" in plan
+        assert not any(f"{lower}, unboundedfollowing$()" in plan for lower in ("currentrow$()", "1", "0"))
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 16])
+def test_interpolation_across_ranges(spark, buckets):
+    """Gaps at both ends of a series, inside a range and over whole ranges."""
+    known = {i: float(i * i % 97) for i in range(200) if 20 <= i < 180 and i % 50 < 4}
+    df = spark.createDataFrame([(i, known.get(i)) for i in range(200)], "t int, v double")
+    got = {r.t: r.v for r in clean.interpolate_linear(df, "v", "t", n_buckets=buckets).collect()}
+    at = sorted(known)
+    for i in range(200):
+        before, after = [k for k in at if k <= i], [k for k in at if k >= i]
+        if not before:
+            assert got[i] is None
+        elif not after:
+            assert got[i] == known[before[-1]]
+        else:
+            a, b = before[-1], after[0]
+            assert got[i] == pytest.approx(known[a] if a == b else known[a] + (known[b] - known[a]) * (i - a) / (b - a))

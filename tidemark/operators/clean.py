@@ -177,18 +177,17 @@ def interpolate_linear(df: DataFrame, value_col: str, order_cols, series_cols=No
     ).select(*s, BUCKET, "_first", "_last",
              F.when(F.col("_lp").isNotNull(), F.struct(F.col("_lp").alias("p"), F.col("_lv").alias("v"))).alias("_lk"),
              F.when(F.col("_fp").isNotNull(), F.struct(F.col("_fp").alias("p"), F.col("_fv").alias("v"))).alias("_fk"))
-    wc = (Window.partitionBy(*s) if s else Window.partitionBy(F.lit(1))).orderBy(BUCKET)  # without series: a row a range
-    ends = ends.select(BUCKET, "_first", "_last",
-                       F.last("_lk", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-                       F.first("_fk", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_behind"))
+    wc = Window.partitionBy(*s) if s else Window.partitionBy(F.lit(1))  # without series: a row a range
+    # what follows is read backwards: a frame that ends at the last row is computed anew for every row
+    earlier = lambda *order: wc.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(BUCKET, "_first", "_last", F.last("_lk", ignorenulls=True).over(earlier(BUCKET)).alias("_before"),
+                       F.last("_fk", ignorenulls=True).over(earlier(F.desc(BUCKET))).alias("_behind"))
     carry = ends.where("_first").select(F.col(BUCKET).alias("_b1"), "_before").join(
         ends.where("_last").select(F.col(BUCKET).alias("_b2"), "_behind"), F.col("_b1") == F.col("_b2"), "inner").drop("_b2")
     j = ranked.join(F.broadcast(carry), F.col(BUCKET) == F.col("_b1"), "inner").drop("_b1")  # a row a range
-    w = Window.partitionBy(*s, BUCKET).orderBy("_pos")
-    prev = F.coalesce(F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-                      F.when(F.col("_first"), F.col("_before")))
-    nxt = F.coalesce(F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-                     F.when(F.col("_last"), F.col("_behind")))
+    upto = lambda order: Window.partitionBy(*s, BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    prev = F.coalesce(F.last(known, ignorenulls=True).over(upto(F.asc("_pos"))), F.when(F.col("_first"), F.col("_before")))
+    nxt = F.coalesce(F.last(known, ignorenulls=True).over(upto(F.desc("_pos"))), F.when(F.col("_last"), F.col("_behind")))
     j = j.withColumn("_prev", prev).withColumn("_next", nxt)
     filled = (
         F.when(is_known, v)

@@ -86,8 +86,10 @@ def _edges(rows: DataFrame, g: list[str], sums: dict[str, Column], value: str |
         per = per.where((F.col("_lo") == 0) | (F.col("_hi") == F.col("_end")))  # first or last group of their range
     else:  # all ranges are one group's: as many rows as there are ranges
         per = per.withColumn("_end", F.col("_hi"))
-    w = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))).orderBy(BUCKET)
-    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    of = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))
+    w = of.orderBy(BUCKET)
+    # later ranges are read backwards: a frame that ends at the last row is computed anew for every row
+    before, after = (x.rowsBetween(Window.unboundedPreceding, -1) for x in (w, of.orderBy(F.desc(BUCKET))))
     per = per.select(BUCKET, "_lo", "_hi", "_end", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums],
                      *[F.coalesce(F.sum(f"_t_{k}").over(after), F.lit(0)).alias(f"_a_{k}") for k in sums],
                      *([F.lead("_v").over(w).alias("_next_first")] if value else []))
