@@ -200,3 +200,11 @@ def test_interpolation_across_ranges(spark, buckets):
         else:
             a, b = before[-1], after[0]
             assert got[i] == pytest.approx(known[a] if a == b else known[a] + (known[b] - known[a]) * (i - a) / (b - a))
+
+
+def test_ranges_hold_unpacked_rows(spark, tmp_path, monkeypatch):
+    """A range is sized by its rows in memory, not by their bytes in the file."""
+    monkeypatch.setattr(ordered, "BYTES_PER_BUCKET", 64 << 10)
+    spark.range(200_000).select(F.rand(1).alias("v")).write.parquet(str(tmp_path / "t"))
+    n = ordered.bucket_count(spark.read.parquet(str(tmp_path / "t")))
+    assert 200_000 / n * 100 <= 64 << 10

@@ -30,6 +30,7 @@ SHIFT = 33  # monotonically_increasing_id holds the partition above this bit, th
 
 BYTES_PER_BUCKET = 64 << 20
 MIN_BUCKETS, MAX_BUCKETS = 8, 100_000  # as many as Spark lets a bucketed table have: 1 GB a range at 100 TB
+ROW_EXPANSION = 16  # bytes of unpacked rows, in the sorts and windows of a task, for a byte of the scanned columnar files
 UNKNOWN_BYTES = 1 << 60  # leaves without size statistics report more than this
 
 
@@ -41,11 +42,11 @@ def _as_list(cols) -> list[str]:
 
 def bucket_count(df: DataFrame) -> int:
     """Partitions for the range exchange: by the size of the scanned tables (planning statistics, no
-    job), between 8 and 100,000. It only sets the size of the tasks."""
+    job) as unpacked rows, between 8 and 100,000. It only sets the size of the tasks."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if any(s > UNKNOWN_BYTES for s in sizes) else MIN_BUCKETS
-    return buckets_for(sum(s for s in sizes if s <= UNKNOWN_BYTES), least)
+    return buckets_for(ROW_EXPANSION * sum(s for s in sizes if s <= UNKNOWN_BYTES), least)
 
 
 def buckets_for(size: int, least: int = MIN_BUCKETS) -> int:
