@@ -45,6 +45,10 @@ def start_scoring(spark: SparkSession, source_dir: str, instance: T.StructType,
     return w.start()
 
 
+# Bytes of request files in one micro-batch. Every micro-batch costs a task per state partition, whatever it holds.
+BATCH_BYTES = 256 << 20
+
+
 # ------------------------------------------------------------------ requests with an id: duplicates, broken records, restarts
 
 
@@ -60,12 +64,12 @@ def read_requests(raw: DataFrame, instance: T.StructType, payload_col: str = "va
 
 
 def start_scoring_once(spark: SparkSession, source_dir: str, instance: T.StructType, model: PipelineModel, id_col: str,
-                       sink_dir: str, broken_dir: str, checkpoint_dir: str, delay: str = "1 hour"):
+                       sink_dir: str, broken_dir: str, checkpoint_dir: str, delay: str = "1 hour", batch_bytes: int = BATCH_BYTES):
     """Score every request once: a request id that comes again within ``delay`` of event time is dropped, also after a
     restart (the ids seen are in the checkpoint). Broken records go to ``broken_dir``. Runs over what has arrived; returns
-    the two queries (scores, broken records), each with its own checkpoint."""
+    the two queries (scores, broken records), each with its own checkpoint. Micro-batches take files up to ``BATCH_BYTES``."""
     def source():
-        return read_requests(spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(source_dir), instance)
+        return read_requests(spark.readStream.format("text").option("maxBytesPerTrigger", batch_bytes).load(source_dir), instance)
 
     once = source().where(F.col("request_id").isNotNull()).withWatermark("sent_at", delay) \
         .dropDuplicatesWithinWatermark(["request_id"])
